@@ -54,8 +54,8 @@ def sorted_prefix(df: DataFrame, part_cols: str | Sequence[str], order_col: str,
     wcols = {f"__w_{n}": (F.col(v) if isinstance(v, str) else v) for n, v in weights.items()}
     base = df.select("*", *[c.alias(n) for n, c in wcols.items()])
 
-    sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > target_rows).select(*part)
+    sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("__sp_rows"))
+    hot = sizes.where(F.col("__sp_rows") > target_rows).select(*part)
     qs = [i / n_sub for i in range(1, n_sub)]
     cuts = (base.join(hot, part, "left_semi")
             .groupBy(*part)

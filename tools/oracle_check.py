@@ -14,17 +14,20 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from tabsieve.plans import catalog  # noqa: E402
 from tabsieve.plans.tables import TABLES  # noqa: E402
 
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer():
+            return int(v)
         return round(v, 6)
     if hasattr(v, "item"):
         return norm(v.item())

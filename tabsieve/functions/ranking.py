@@ -1,19 +1,21 @@
 """Exact ordered prefix sums and ranks without one-task groups.
 
 A window ``sum(w) over (partition by g order by x)`` sends every row of a
-group to one task.  When one group holds a third of the data that task holds
-a third of the data.  ``sorted_prefix`` computes the same exclusive prefix sum
-in three bounded steps:
-
-1. groups above ``target_rows`` rows get ``n_sub - 1`` approximate quantile
-   cut points of the order column (a few numbers per hot group, materialised
-   once through a reliable checkpoint so every later read sees the same cuts);
-2. every row gets ``bucket = #cuts < x``; rows of one value share a bucket, so
-   the within-bucket window plus the totals of earlier buckets is exact;
-3. totals per (group, bucket) are tiny; their exclusive running sum is the
-   offset of each bucket.
-
-Small groups keep a single bucket, which is the ordinary window.
+group to one task; when one group holds a third of the data, so does that
+task.  ``sorted_prefix`` computes the same exclusive prefix sum in bounded
+pieces:
+
+1. every row gets a *sub-bucket* ``b = bucket(x)``, a deterministic,
+   order-preserving function of the value (log-scale for general numbers,
+   the top bits for uniform hash keys), so equal values share a bucket and
+   buckets are ordered like their values;
+2. a window over (group, bucket) gives the prefix inside the bucket;
+3. per (group, bucket) totals are one row per bucket; their exclusive running
+   sum is the bucket's offset.
+
+Because the bucket is a pure function of the row, the plan stays lazy (no
+sampling pass), and a recomputation after a lost executor yields the same
+buckets.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 
 
 def _cols(xs: str | Sequence[str]) -> list[str]:
@@ -42,36 +43,39 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+LOG_BUCKETS_PER_E = 16384  # relative bucket width ~6e-5
+HASH_BUCKET_BITS = 20  # 2^20 buckets over a uniform 60-bit key
+
+
+def log_bucket(x: Column) -> Column:
+    """Monotone non-decreasing bucket of a number: 0 for 0, positive for x > 0,
+    negative for x < 0, width ~1/16384 in log scale (Java's log is
+    semi-monotonic, so the floor of a scaled log is monotone)."""
+    a = F.abs(x.cast("double"))
+    k = F.floor(F.log(a) * F.lit(LOG_BUCKETS_PER_E)) + F.lit(800 * LOG_BUCKETS_PER_E + 1)
+    return F.when(x > 0, k).when(x < 0, -k).otherwise(F.lit(0)).cast("long")
+
+
+def hash_bucket(h: Column) -> Column:
+    """Top bits of a uniform non-negative 60-bit key."""
+    return F.shiftright(h, 60 - HASH_BUCKET_BITS)
+
+
 def sorted_prefix(df: DataFrame, part_cols: str | Sequence[str], order_col: str,
                   weights: dict[str, Column | str], tie_cols: Sequence[str] = (),
-                  target_rows: int = 2_000_000, n_sub: int = 64) -> DataFrame:
+                  bucket: Column | None = None) -> DataFrame:
     """Add ``<name>`` = sum of ``weights[name]`` over rows of the same
     partition strictly before this row in (order_col, *tie_cols) order.
 
-    ``order_col`` must be numeric (quantile cut points are taken on it).
-    """
+    ``bucket`` must be non-decreasing in ``order_col``; the default is
+    :func:`log_bucket` of the (numeric) order column."""
     part = _cols(part_cols)
     wcols = {f"__w_{n}": (F.col(v) if isinstance(v, str) else v) for n, v in weights.items()}
-    base = df.select("*", *[c.alias(n) for n, c in wcols.items()])
-
-    sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("__sp_rows"))
-    hot = sizes.where(F.col("__sp_rows") > target_rows).select(*part)
-    qs = [i / n_sub for i in range(1, n_sub)]
-    cuts = (base.join(hot, part, "left_semi")
-            .groupBy(*part)
-            .agg(F.percentile_approx(F.col(order_col), qs, 10_000).alias("__cuts")))
-    # Materialise the cut points once (usually zero rows): re-evaluating an
-    # approximate sketch in two plan branches could give two answers.
-    cuts = cut_lineage(cuts)
-
     x = F.col(order_col)
-    bucketed = (join_null_safe(base, cuts, part, "left")
-                .withColumn("__b", F.coalesce(
-                    F.size(F.filter(F.col("__cuts"), lambda c: c < x)), F.lit(0)))
-                .drop("__cuts"))
+    b = bucket if bucket is not None else log_bucket(x)
+    base = df.select("*", *[c.alias(n) for n, c in wcols.items()], b.alias("__b"))
 
-    totals = bucketed.groupBy(*part, "__b").agg(
-        *[F.sum(n).alias(f"{n}_t") for n in wcols])
+    totals = base.groupBy(*part, "__b").agg(*[F.sum(n).alias(f"{n}_t") for n in wcols])
     before_bucket = Window.partitionBy(*part).orderBy("__b").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -81,14 +85,13 @@ def sorted_prefix(df: DataFrame, part_cols: str | Sequence[str], order_col: str,
 
     inside = Window.partitionBy(*part, "__b").orderBy(x, *[F.col(t) for t in tie_cols]) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    within = bucketed.select(
+    within = base.select(
         "*", *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(f"{n}_i") for n in wcols])
 
     out = join_null_safe(within, offsets, [*part, "__b"], "inner")
     result_cols = [(F.col(f"{n}_o") + F.col(f"{n}_i")).alias(name)
                    for name, n in zip(weights, wcols)]
-    keep = [c for c in df.columns]
-    return out.select(*keep, *result_cols)
+    return out.select(*df.columns, *result_cols)
 
 
 def average_rank(df: DataFrame, part_cols: str | Sequence[str], value_col: str,
@@ -129,5 +132,5 @@ def hashed_row_number(df: DataFrame, part_cols: str | Sequence[str], key_col: st
                           F.col(key_col).cast("string")))
     tmp = df.withColumn("__h", h).withColumn("__hx", full)
     out = sorted_prefix(tmp, part_cols, "__h", {out_col: F.lit(1)},
-                        tie_cols=["__hx", key_col], **kw)
+                        tie_cols=["__hx", key_col], bucket=hash_bucket(F.col("__h")), **kw)
     return out.drop("__h", "__hx")

@@ -247,8 +247,9 @@ def text_fold(spark, sf):
     return d.select("doc_id", text_fold_udf(F.col("text")).alias("title_clean"))
 
 
-TEXT_FOLD_SQL = r"""
-SELECT doc_id, strip_accents(lower(trim(text, ' \t\n\r'))) AS title_clean FROM documents"""
+TEXT_FOLD_SQL = """
+SELECT doc_id, strip_accents(lower(trim(text, ' ' || chr(9) || chr(10) || chr(13)))) AS title_clean
+FROM documents"""
 
 QUERIES = {
     "messy_parse": (messy_parse, MESSY_PARSE_SQL),

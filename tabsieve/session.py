@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     parts = shuffle_partitions or int(os.environ.get("TABSIEVE_SHUFFLE_PARTITIONS", cpus))
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -53,7 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss;
-    never ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint directory
+    and read it back: one job (an RDD checkpoint recomputes its plan unless
+    cached), columnar storage, and row/size statistics for AQE's join choice.
+    The files live on the cluster's shared storage, so losing an executor
+    later does not lose them (never ``localCheckpoint``)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tabsieve-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

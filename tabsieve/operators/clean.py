@@ -22,10 +22,10 @@ from ..functions.ranking import join_null_safe, sorted_prefix
 def grouped_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
                    out_col: str = "median", approx: bool = False,
                    accuracy: int = 10_000) -> DataFrame:
-    """One row per group: median of non-NULL values (mean of the two middle
-    values for an even count; NULL for an all-NULL group)."""
+    """One row per group (one row overall when ``group_cols`` is empty):
+    median of non-NULL values (mean of the two middle values for an even
+    count; NULL for an all-NULL group)."""
     g = list(group_cols)
-    groups = df.select(*g).distinct()
     vals = df.where(F.col(value_col).isNotNull())
     if approx:
         med = vals.groupBy(*g).agg(
@@ -33,16 +33,22 @@ def grouped_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
             .alias(out_col))
     else:
         vc = vals.groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__cnt"))
-        pre = sorted_prefix(vc, g, value_col, {"__before": "__cnt"})
-        tot = vc.groupBy(*g).agg(F.sum("__cnt").alias("__total"))
-        pos = join_null_safe(pre, tot, g)
-        lo = F.floor((F.col("__total") + 1) / 2)
-        hi = F.ceil((F.col("__total") + 1) / 2)
+        pos = sorted_prefix(vc, g, value_col, {"__before": "__cnt"})
+        if g:
+            tot = vc.groupBy(*g).agg(F.sum("__cnt").alias("__total"))
+            pos = join_null_safe(pos, tot, g)
+            total = F.col("__total")
+        else:  # whole column: the count is a scalar subquery, not a join
+            total = vc.select(F.sum("__cnt")).scalar()
+        lo = F.floor((total + 1) / 2)
+        hi = F.ceil((total + 1) / 2)
         holds = lambda p: (F.col("__before") < p) & (p <= F.col("__before") + F.col("__cnt"))
         med = pos.groupBy(*g).agg(
             ((F.max(F.when(holds(lo), F.col(value_col))).cast("double")
               + F.max(F.when(holds(hi), F.col(value_col))).cast("double")) / 2).alias(out_col))
-    return join_null_safe(groups, med, g, "left")
+    if not g:
+        return med
+    return join_null_safe(df.select(*g).distinct(), med, g, "left")
 
 
 def impute_bucket_median(df: DataFrame, year_col: str, fills: dict[str, dict],

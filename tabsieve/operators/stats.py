@@ -123,8 +123,7 @@ def permuted_labels(rows: DataFrame, n_perms: int, id_col: str = "id",
     md5(perm ':' id).  Both ranks are exact row numbers computed in bounded
     tasks; rows are replicated with ``explode(sequence)`` (no cross join)."""
     base = rows.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
-    r0 = sorted_prefix(base.withColumn("__g", F.lit(0)), ["__g"], "__id", {"__r0": F.lit(1)}) \
-        .select("__id", "__r0")
+    r0 = sorted_prefix(base, [], "__id", {"__r0": F.lit(1)}).select("__id", "__r0")
     rep = base.select("__id", "__y", F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1)))
                       .alias("perm"))
     rp = hashed_row_number(rep, "perm", "__id", salt="perm", out_col="__rp")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.special import normal_sf_sql
+from ..functions.special import digamma_sql, normal_sf_sql
 from ..operators import stats
 from .tables import r6, table
 
@@ -305,7 +305,49 @@ def pca_components(spark, sf):
     return scores
 
 
+K_NEIGHBORS = 5
+
+
+def mi_knn(spark, sf):
+    return stats.mi_knn(long_form(spark, sf), k=K_NEIGHBORS).select("feature", r6("mi"))
+
+
+def _knn_radius_sql(k: int) -> str:
+    def at(d):
+        return "v" if d == 0 else (f"m{-d}" if d < 0 else f"p{d}")
+    cases = []
+    for kk in range(k, 0, -1):
+        terms = [f"CASE WHEN {at(-j)} IS NOT NULL AND {at(kk - j)} IS NOT NULL "
+                 f"THEN greatest(v - {at(-j)}, {at(kk - j)} - v) END" for j in range(kk + 1)]
+        cases.append(f"WHEN {kk} THEN least({', '.join(terms)})")
+    return "CASE kc " + " ".join(cases) + " END"
+
+
+MI_KNN_SQL = "WITH " + FEAT_CTE + f""",
+sc AS (SELECT feature, stddev_pop(x) AS sd FROM long GROUP BY feature),
+x0 AS (SELECT l.id, l.y, l.feature, l.x / CASE WHEN sc.sd > 0 THEN sc.sd ELSE 1.0 END AS x0
+       FROM long l JOIN sc ON sc.feature = l.feature),
+ma AS (SELECT feature, avg(abs(x0)) AS ma FROM x0 GROUP BY feature),
+pt0 AS (SELECT x0.id, x0.y, x0.feature,
+          x0.x0 + 1e-10 * greatest(1.0, ma.ma) *
+            (CAST('0x' || substr(md5(x0.feature || ':' || CAST(x0.id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) AS v
+        FROM x0 JOIN ma ON ma.feature = x0.feature),
+cc AS (SELECT feature, y, count(*) AS nc FROM pt0 GROUP BY feature, y),
+pts AS (SELECT pt0.*, cc.nc, least({K_NEIGHBORS}, cc.nc - 1) AS kc FROM pt0
+        JOIN cc ON cc.feature = pt0.feature AND cc.y = pt0.y WHERE cc.nc > 1),
+nb AS (SELECT *, """ + ", ".join(
+    [f"lag(v, {j}) OVER w AS m{j}" for j in range(1, K_NEIGHBORS + 1)]
+    + [f"lead(v, {j}) OVER w AS p{j}" for j in range(1, K_NEIGHBORS + 1)]) + f"""
+       FROM pts WINDOW w AS (PARTITION BY feature, y ORDER BY v, id)),
+rd AS (SELECT feature, id, v, kc, nc, ({_knn_radius_sql(K_NEIGHBORS)}) * (1.0 - 1e-12) AS rad FROM nb),
+mm AS (SELECT a.feature, a.id, count(*) AS m FROM rd a JOIN pts b
+       ON b.feature = a.feature AND b.v > a.v - a.rad AND b.v < a.v + a.rad GROUP BY a.feature, a.id)
+SELECT rd.feature, round(greatest(0.0, {digamma_sql("CAST(count(*) AS DOUBLE)")} + avg({digamma_sql("CAST(rd.kc AS DOUBLE)")})
+       - avg({digamma_sql("CAST(rd.nc AS DOUBLE)")}) - avg({digamma_sql("CAST(greatest(mm.m, 1) AS DOUBLE)")})), 6) AS mi
+FROM rd JOIN mm ON mm.feature = rd.feature AND mm.id = rd.id GROUP BY rd.feature"""
+
 QUERIES = {
+    "mi_knn": (mi_knn, MI_KNN_SQL),
     "avg_rank": (avg_rank, AVG_RANK_SQL),
     "mann_whitney": (mann_whitney, MANN_WHITNEY_SQL),
     "mi_binned": (mi_binned, MI_BINNED_SQL),

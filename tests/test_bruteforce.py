@@ -128,3 +128,58 @@ def test_binned_mi_matches_numpy(spark):
                 mi += pxy * math.log(pxy / (np.mean(bins == b) * np.mean(y == c)))
     assert got == pytest.approx(max(mi, 0.0), abs=1e-12)
     assert got >= 0
+
+
+def _digamma(x):
+    # psi via recurrence + asymptotic series (independent of the Column version)
+    acc = 0.0
+    while x < 6:
+        acc -= 1.0 / x
+        x += 1
+    return acc + math.log(x) - 0.5 / x - sum(c / x ** p for c, p in
+                                             [(1 / 12, 2), (-1 / 120, 4), (1 / 252, 6),
+                                              (-1 / 240, 8), (1 / 132, 10)])
+
+
+def test_digamma_known_values(spark):
+    from tabsieve.functions.special import digamma
+    df = spark.createDataFrame([(1.0,), (2.0,), (10.0,), (1000.0,)], "x double")
+    got = [r[0] for r in df.select(digamma(F.col("x"))).collect()]
+    euler = 0.5772156649015329
+    assert got[0] == pytest.approx(-euler, abs=1e-10)
+    assert got[1] == pytest.approx(1 - euler, abs=1e-10)
+    assert got[2] == pytest.approx(2.251752589066721, abs=1e-10)
+    assert got[3] == pytest.approx(_digamma(1000.0), abs=1e-10)
+
+
+def test_mi_knn_matches_direct_estimator(spark):
+    import hashlib
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(0, 1), float(rnd.randint(0, 40)) + (0.5 if i % 3 == 0 else 0.0))
+            for i in range(300)] + [(1000, 2, 5.0)]  # a singleton class is dropped
+    df = spark.createDataFrame(rows, "id long, y int, a double")
+    got = stats.mi_knn(stats.to_long(df, "id", "y", ["a"]), k=3).collect()[0]["mi"]
+
+    ids = np.array([r[0] for r in rows])
+    y = np.array([r[1] for r in rows])
+    x = np.array([r[2] for r in rows])
+    x0 = x / x.std()
+    u = np.array([int(hashlib.md5(f"a:{i}".encode()).hexdigest()[:8], 16) / 4294967296.0 - 0.5
+                  for i in ids])
+    v = x0 + 1e-10 * max(1.0, np.mean(np.abs(x0))) * u
+    keep = np.array([np.sum(y == c) > 1 for c in y])
+    v, y = v[keep], y[keep]
+    n = len(v)
+    ks, ncs, ms = [], [], []
+    for i in range(n):
+        same = v[(y == y[i])]
+        nc = len(same)
+        kc = min(3, nc - 1)
+        d = np.sort(np.abs(same - v[i]))[1:]  # drop self
+        r = d[kc - 1] * (1 - 1e-12)
+        ms.append(max(1, int(np.sum((v > v[i] - r) & (v < v[i] + r)))))
+        ks.append(kc)
+        ncs.append(nc)
+    want = _digamma(n) + np.mean([_digamma(k) for k in ks]) - np.mean([_digamma(c) for c in ncs]) \
+        - np.mean([_digamma(m) for m in ms])
+    assert got == pytest.approx(max(0.0, want), abs=1e-9)

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = ["prestige", "prestige_oof", "stratified_folds", "impute_bucket_median",
             "derived_features", "dedup_key", "rating_stats", "enrich_left", "band_join",
             "prior_count", "title_join", "nested_role_extract", "mann_whitney",
-            "mi_permutation", "screen_candidates", "partial_spearman", "spearman_matrix",
+            "mi_permutation", "mi_knn", "screen_candidates", "partial_spearman", "spearman_matrix",
             "cov_matrix", "tfidf_top_terms", "tfidf_wide", "threshold_sweep", "cv_summary"]
 
 

@@ -144,3 +144,9 @@ def item_count(x: Column | str, sep: str = "|") -> Column:
     """Number of delimited items; NULL -> 0."""
     pat = "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep
     return F.coalesce(F.regexp_count(_c(x), F.lit(pat)) + F.lit(1), F.lit(0)).cast("int")
+
+
+def year_of(x: Column | str) -> Column:
+    """Year of a date string (or date/timestamp); unparsable -> NULL."""
+    c = _c(x)
+    return F.year(F.try_to_timestamp(c.cast("string"))).cast("int")

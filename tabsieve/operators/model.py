@@ -52,6 +52,15 @@ def select_features(columns: Sequence[str], numeric: Sequence[str] = DEFAULT_NUM
     return out
 
 
+def label_index(df: DataFrame, col: str, out_col: str = "label_idx") -> DataFrame:
+    """Class label -> index in *sorted* class order (0 for the alphabetically
+    first), not Spark's default frequency order."""
+    from pyspark.ml.feature import StringIndexer
+    idx = StringIndexer(inputCol=col, outputCol=out_col, stringOrderType="alphabetAsc")
+    return idx.fit(df.select(F.col(col).cast("string").alias(col))).transform(
+        df.withColumn(col, F.col(col).cast("string")))
+
+
 def feature_matrix(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     """keys + features as DOUBLE with NULL/NaN -> 0."""
     cols = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
@@ -167,7 +176,7 @@ def cv_summary(acc: DataFrame) -> DataFrame:
 
 
 def tune_forest(pipeline: Pipeline, data: DataFrame, fold_col: str, label: str = "y",
-                grid: dict | None = None, parallelism: int = 2):
+                grid: dict | None = None, parallelism: int = 2, num_folds: int = 5):
     """Grid search with ``CrossValidator(foldCol=...)``; the encoder stage is
     refit per fold.  Returns the fitted CrossValidatorModel."""
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -179,7 +188,7 @@ def tune_forest(pipeline: Pipeline, data: DataFrame, fold_col: str, label: str =
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=b.build(),
                         evaluator=MulticlassClassificationEvaluator(labelCol=label,
                                                                     metricName="accuracy"),
-                        foldCol=fold_col, parallelism=parallelism)
+                        foldCol=fold_col, numFolds=num_folds, parallelism=parallelism)
     return cv.fit(data)
 
 

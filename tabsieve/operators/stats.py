@@ -354,14 +354,13 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10) -> DataFrame:
     """
     from ..functions.special import digamma
 
-    per_f = long.groupBy("feature").agg(F.stddev_pop("x").alias("__sd"))
-    scaled = long.join(per_f, "feature").select(
+    # one pass: population std and mean |x| (mean |x / sd| = mean |x| / sd)
+    per_f = long.groupBy("feature").agg(F.stddev_pop("x").alias("__sd"),
+                                        F.avg(F.abs("x")).alias("__mabs"))
+    sd = F.when(F.col("__sd") > 0, F.col("__sd")).otherwise(F.lit(1.0))
+    pts = long.join(per_f, "feature").select(
         "id", "y", "feature",
-        (F.col("x") / F.when(F.col("__sd") > 0, F.col("__sd")).otherwise(F.lit(1.0))).alias("__x0"))
-    mabs = scaled.groupBy("feature").agg(F.avg(F.abs("__x0")).alias("__ma"))
-    pts = scaled.join(mabs, "feature").select(
-        "id", "y", "feature",
-        (F.col("__x0") + F.lit(jitter) * F.greatest(F.lit(1.0), F.col("__ma"))
+        (F.col("x") / sd + F.lit(jitter) * F.greatest(F.lit(1.0), F.col("__mabs") / sd)
          * hash_uniform("feature", "id")).alias("v"))
     cls = pts.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("nc"))
     pts = (pts.join(cls, ["feature", "y"]).where(F.col("nc") > 1)

@@ -51,12 +51,20 @@ def idf_column(df: Column, n_docs: Column) -> Column:
     return F.log((n_docs + F.lit(1.0)) / (df + F.lit(1.0)))
 
 
-def top_terms(tf_train: DataFrame, n_train: Column, top_n: int = 50) -> DataFrame:
+def top_terms(tf: DataFrame, n_train: Column, top_n: int = 50,
+              train: Column | None = None) -> DataFrame:
     """(term, idf, mass, idx) for the ``top_n`` terms by training L1 mass;
-    ties by term.  ``idx`` = 0..top_n-1 in that order (the column index)."""
-    st = term_stats(tf_train)
-    ranked = st.select("term", idf_column(F.col("df"), n_train).alias("idf"),
-                       (F.col("total") * idf_column(F.col("df"), n_train)).alias("mass"))
+    ties by term; ``idx`` = 0..top_n-1 (the column index).
+
+    ``train`` flags training rows of ``tf`` (all rows when None), so callers
+    can pass the one (doc, term, tf) table they also use for weights and the
+    token scan is shared."""
+    t = F.lit(True) if train is None else train
+    st = (tf.groupBy("term")
+          .agg(F.sum(F.when(t, F.col("tf"))).alias("total"), F.count_if(t).alias("df"))
+          .where(F.col("df") > 0))
+    idf = idf_column(F.col("df"), n_train)
+    ranked = st.select("term", idf.alias("idf"), (F.col("total") * idf).alias("mass"))
     top = ranked.orderBy(F.desc("mass"), F.asc("term")).limit(top_n)
     # the top table has top_n rows; numbering it is a bounded single-task window
     from pyspark.sql import Window
@@ -74,11 +82,13 @@ def tfidf_weights(tf_all: DataFrame, tf_train: DataFrame, n_train: Column) -> Da
                     .alias("weight"))
 
 
-def tfidf_wide(weights: DataFrame, top: DataFrame, docs: DataFrame, id_col: str,
+def tfidf_wide(tf_all: DataFrame, top: DataFrame, docs: DataFrame, id_col: str,
                top_n: int, prefix: str = "tfidf_") -> DataFrame:
-    """One column per top term (0 when absent), every doc kept.  ``top`` has
-    ``top_n`` rows, so it is broadcast."""
-    sel = weights.join(F.broadcast(top.select("term", "idx")), "term", "inner")
+    """One column per top term (0 when absent), every doc kept.  Only the
+    ``top_n`` chosen terms are joined (a broadcast of ``top_n`` rows carrying
+    their IDF), so the vocabulary is never joined to the (doc, term) table."""
+    sel = tf_all.join(F.broadcast(top.select("term", "idx", "idf")), "term", "inner") \
+        .select("doc", "idx", (F.col("tf") * F.col("idf")).alias("weight"))
     wide = sel.groupBy("doc").pivot("idx", list(range(top_n))).agg(F.first("weight"))
     cols = [F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"{prefix}{i}") for i in range(top_n)]
     return (docs.select(F.col(id_col).alias("doc")).join(wide, "doc", "left")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.special import digamma_sql, normal_sf_sql
 from ..operators import stats
+from ..session import cut_lineage
 from .tables import r6, table
 
 FEATURES = ["n_chars", "n_words", "uniq_ratio", "mean_word_len", "digit_share",
@@ -42,7 +43,9 @@ def doc_features(spark, sf):
 
 
 def long_form(spark, sf):
-    return stats.to_long(doc_features(spark, sf), "doc_id", "quality", FEATURES)
+    """The long (id, y, feature, x) table, written once: every screening plan
+    reads it from several branches, and the features scan whole texts."""
+    return cut_lineage(stats.to_long(doc_features(spark, sf), "doc_id", "quality", FEATURES))
 
 
 FEAT_CTE = r"""

@@ -55,8 +55,8 @@ SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term"""
 
 
 def tfidf_top_terms(spark, sf):
-    _, _, tf_train, n_train = _tf(spark, sf)
-    top = T.top_terms(tf_train, n_train, TOP_N)
+    _, tf_all, _, n_train = _tf(spark, sf)
+    top = T.top_terms(tf_all, n_train, TOP_N, train=F.col("doc") % 10 < 8)
     return top.select("term", r6("idf"), r6("mass"), F.col("idx").cast("int").alias("idx"))
 
 
@@ -80,10 +80,9 @@ SELECT doc AS doc_id, doc % 10 < 8 AS is_train, count(*) AS n_terms, round(sum(w
 
 
 def tfidf_wide(spark, sf):
-    d, tf_all, tf_train, n_train = _tf(spark, sf)
-    top = T.top_terms(tf_train, n_train, TOP_N)
-    w = T.tfidf_weights(tf_all, tf_train, n_train)
-    wide = T.tfidf_wide(w, top, d, "doc_id", TOP_N)
+    d, tf_all, _, n_train = _tf(spark, sf)
+    top = T.top_terms(tf_all, n_train, TOP_N, train=F.col("doc") % 10 < 8)
+    wide = T.tfidf_wide(tf_all, top, d, "doc_id", TOP_N)
     return wide.select("doc_id", *[r6(f"tfidf_{i}") for i in range(TOP_N)])
 
 

@@ -21,10 +21,11 @@ from ..functions.ranking import join_null_safe, sorted_prefix
 
 def grouped_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
                    out_col: str = "median", approx: bool = False,
-                   accuracy: int = 10_000) -> DataFrame:
+                   accuracy: int = 10_000, all_groups: bool = True) -> DataFrame:
     """One row per group (one row overall when ``group_cols`` is empty):
     median of non-NULL values (mean of the two middle values for an even
-    count; NULL for an all-NULL group)."""
+    count).  ``all_groups`` adds all-NULL groups with a NULL median; callers
+    that left-join the result anyway can skip that extra pass."""
     g = list(group_cols)
     vals = df.where(F.col(value_col).isNotNull())
     if approx:
@@ -46,7 +47,7 @@ def grouped_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
         med = pos.groupBy(*g).agg(
             ((F.max(F.when(holds(lo), F.col(value_col))).cast("double")
               + F.max(F.when(holds(hi), F.col(value_col))).cast("double")) / 2).alias(out_col))
-    if not g:
+    if not g or not all_groups:
         return med
     return join_null_safe(df.select(*g).distinct(), med, g, "left")
 
@@ -57,21 +58,29 @@ def impute_bucket_median(df: DataFrame, year_col: str, fills: dict[str, dict],
     """``MEDIAN(x) OVER (PARTITION BY bucket(year))`` fill for each column of
     ``fills``: ``{col: {"round_int": bool, "cap": float|None, "null_policy": str}}``.
 
-    The NULL bucket is one group.  Rather than a window (one task per bucket),
-    medians are aggregated per bucket and joined back; the bucket table is as
-    small as the year domain."""
-    out = df.withColumn("__bucket", S.time_bucket(year_col, width, compat=compat))
-    for col, opt in fills.items():
-        med = grouped_median(out, ["__bucket"], col, out_col="__med", approx=approx)
-        m = F.col("__med")
+    The NULL bucket is one group.  Instead of one window per column (one task
+    per bucket), the columns are stacked into (bucket, column, value) rows,
+    all medians come from one distributed selection, and one join on the
+    bucket (a table as small as the year domain) brings them back."""
+    cols = list(fills)
+    base = df.withColumn("__bucket", S.time_bucket(year_col, width, compat=compat))
+    stacked = base.select("__bucket", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in cols]))
+        .alias("__kv")).select("__bucket", "__kv.__c", "__kv.__v")
+    med = grouped_median(stacked, ["__bucket", "__c"], "__v", "__med", approx=approx,
+                         all_groups=False)
+    wide = med.groupBy("__bucket").pivot("__c", cols).agg(F.first("__med"))
+    wide = wide.select("__bucket", *[F.col(c).alias(f"__med_{i}") for i, c in enumerate(cols)])
+    out = join_null_safe(base, wide, ["__bucket"], "left")
+    for i, (col, opt) in enumerate(fills.items()):
+        m = F.col(f"__med_{i}")
         if opt.get("round_int"):
             m = S.round_half_even_int(m)
-        filled = F.coalesce(F.col(col), m)
+        filled = F.coalesce(F.col(col), m.cast(dict(df.dtypes)[col]))
         if opt.get("cap") is not None:
             filled = S.winsorize(filled, None, opt["cap"], opt.get("null_policy", "keep"))
-        out = (join_null_safe(out, med, ["__bucket"], "left")
-               .withColumn(col, filled).drop("__med"))
-    return out.drop("__bucket")
+        out = out.withColumn(col, filled)
+    return out.drop("__bucket", *[f"__med_{i}" for i in range(len(cols))])
 
 
 def derive_features(df: DataFrame, ref_year: int = 2026, short_runtime: int = 90,

@@ -134,20 +134,30 @@ def permuted_labels(rows: DataFrame, n_perms: int, id_col: str = "id",
 
 
 def mi_permutation(long: DataFrame, n_perms: int = 100, bins: int = 10,
-                   quantile: float = 0.95) -> DataFrame:
+                   quantile: float = 0.95, estimator: str = "binned",
+                   k: int = 5) -> DataFrame:
     """Per feature: real binned MI, the ``quantile`` of its permutation null,
     and the empirical p-value ``(#{null >= real} + 1) / (P + 1)``.
 
     All (perm, feature) MI values come from one grouped job: permuted labels
     are joined to each row's bins, cell counts are combined map-side."""
-    rb = rank_bins(long, bins)
     rows = long.select("id", "y").distinct()
     perm_y = permuted_labels(rows, n_perms)
-    pr = rb.drop("y").join(perm_y, "id")
-    counts = pr.groupBy("perm", "feature", "bin", "y").agg(F.count(F.lit(1)).alias("c"))
-    null = mi_from_counts(counts, ["perm", "feature"]) \
-        .withColumn("mi", F.round("mi", 12))
-    real = mi_binned(long, bins).withColumn("mi", F.round("mi", 12))
+    if estimator == "knn":
+        # the reference's estimator; (perm, feature) groups in one plan
+        plong = long.drop("y").join(perm_y, "id")
+        null = mi_knn(plong, k, keys=("perm", "feature"), scale_from=long)
+        real = mi_knn(long, k)
+    elif estimator == "binned":
+        rb = rank_bins(long, bins)
+        pr = rb.drop("y").join(perm_y, "id")
+        counts = pr.groupBy("perm", "feature", "bin", "y").agg(F.count(F.lit(1)).alias("c"))
+        null = mi_from_counts(counts, ["perm", "feature"])
+        real = mi_binned(long, bins)
+    else:
+        raise ValueError(estimator)
+    null = null.withColumn("mi", F.round("mi", 12))
+    real = real.withColumn("mi", F.round("mi", 12))
     j = null.withColumnRenamed("mi", "null_mi").join(real, "feature")
     return j.groupBy("feature").agg(
         F.first("mi").alias("mi"),
@@ -333,7 +343,8 @@ def hash_uniform(*cols) -> "F.Column":
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) - F.lit(0.5)
 
 
-def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10) -> DataFrame:
+def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
+           keys: Sequence[str] = ("feature",), scale_from: DataFrame | None = None) -> DataFrame:
     """Per feature: kNN mutual information between a continuous x and a
     discrete label (Ross 2014), the estimator behind the reference's MI.
 
@@ -341,39 +352,47 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10) -> DataFrame:
     (``jitter * max(1, mean|x|) * u``) to break ties.  Classes with a single
     row are dropped; each class uses ``k_c = min(k, n_c - 1)``.
 
-    * radius: within (feature, class), exact row numbers (bounded prefix
-      sums); the 2k neighbouring values come from an equi join on
-      (feature, class, row number + offset), 2k rows per row, never all pairs;
-      the k-th neighbour distance is the narrowest window of k_c + 1
-      consecutive values holding the row.
+    * radius: within (keys, class), exact row numbers (bounded prefix sums);
+      the 2k neighbouring values come from an equi join on (keys, class,
+      row number + offset), 2k rows per row, never all pairs; the k-th
+      neighbour distance is the narrowest window of k_c + 1 consecutive
+      values holding the row.
     * m_i: points of any class strictly inside the radius, from one ordered
       sweep over the points and the two bounds of every row (bounded prefix
       sums again); the radius is shrunk by 1e-12 relative so the k-th
       neighbour itself is excluded.
     * MI = psi(n) + mean psi(k_c) - mean psi(n_c) - mean psi(m), floored at 0.
+
+    ``keys`` groups the estimate (default per feature; ``("perm", "feature")``
+    for permuted labels).  Scaling and jitter depend on (feature, id) only;
+    ``scale_from`` supplies the unreplicated long table for the scaling
+    statistics (default: ``long`` itself).
     """
     from ..functions.special import digamma
 
-    # one pass: population std and mean |x| (mean |x / sd| = mean |x| / sd)
-    per_f = long.groupBy("feature").agg(F.stddev_pop("x").alias("__sd"),
+    K = list(keys)
+    # one pass: population std and mean |x| (mean |x / sd| = mean |x| / sd);
+    # label-free, so replicated (permuted) copies give the same numbers
+    per_f = (long if scale_from is None else scale_from).groupBy("feature").agg(
+        F.stddev_pop("x").alias("__sd"),
                                         F.avg(F.abs("x")).alias("__mabs"))
     sd = F.when(F.col("__sd") > 0, F.col("__sd")).otherwise(F.lit(1.0))
     pts = long.join(per_f, "feature").select(
-        "id", "y", "feature",
+        *K, "id", "y",
         (F.col("x") / sd + F.lit(jitter) * F.greatest(F.lit(1.0), F.col("__mabs") / sd)
          * hash_uniform("feature", "id")).alias("v"))
-    cls = pts.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("nc"))
-    pts = (pts.join(cls, ["feature", "y"]).where(F.col("nc") > 1)
+    cls = pts.groupBy(*K, "y").agg(F.count(F.lit(1)).alias("nc"))
+    pts = (pts.join(cls, [*K, "y"]).where(F.col("nc") > 1)
            .withColumn("kc", F.least(F.lit(k), F.col("nc") - 1)))
 
-    ranked = sorted_prefix(pts, ["feature", "y"], "v", {"r": F.lit(1)}, tie_cols=["id"])
+    ranked = sorted_prefix(pts, [*K, "y"], "v", {"r": F.lit(1)}, tie_cols=["id"])
     offs = [d for d in range(-k, k + 1) if d != 0]
-    ask = ranked.select("feature", "y", "id", "v", "kc", "nc",
+    ask = ranked.select(*K, "y", "id", "v", "kc", "nc",
                         F.explode(F.array(*[F.lit(d) for d in offs])).alias("d"),
                         "r").withColumn("rr", F.col("r") + F.col("d"))
-    have = ranked.select("feature", "y", F.col("r").alias("rr"), F.col("v").alias("vn"))
-    nb = (ask.join(have, ["feature", "y", "rr"], "left")
-          .groupBy("feature", "y", "id", "v", "kc", "nc")
+    have = ranked.select(*K, "y", F.col("r").alias("rr"), F.col("v").alias("vn"))
+    nb = (ask.join(have, [*K, "y", "rr"], "left")
+          .groupBy(*K, "y", "id", "v", "kc", "nc")
           .pivot("d", offs).agg(F.first("vn")))
 
     def at(d):
@@ -390,24 +409,23 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10) -> DataFrame:
     rad = F.lit(None).cast("double")
     for kk in range(k, 0, -1):
         rad = F.when(F.col("kc") == kk, radius_for(kk)).otherwise(rad)
-    withr = nb.select("feature", "id", "v", "kc", "nc",
-                      (rad * F.lit(1.0 - 1e-12)).alias("rad"))
+    withr = nb.select(*K, "id", "v", "kc", "nc", (rad * F.lit(1.0 - 1e-12)).alias("rad"))
 
-    events = (pts.select("feature", "id", F.col("v").alias("val"), F.lit(1).alias("kind"),
+    events = (pts.select(*K, "id", F.col("v").alias("val"), F.lit(1).alias("kind"),
                          F.lit(1).alias("w"))
-              .unionByName(withr.select("feature", "id", (F.col("v") + F.col("rad")).alias("val"),
+              .unionByName(withr.select(*K, "id", (F.col("v") + F.col("rad")).alias("val"),
                                         F.lit(0).alias("kind"), F.lit(0).alias("w")))
-              .unionByName(withr.select("feature", "id", (F.col("v") - F.col("rad")).alias("val"),
+              .unionByName(withr.select(*K, "id", (F.col("v") - F.col("rad")).alias("val"),
                                         F.lit(2).alias("kind"), F.lit(0).alias("w"))))
-    swept = sorted_prefix(events, "feature", "val", {"before": "w"}, tie_cols=["kind", "id"])
-    bounds = swept.where(F.col("kind") != 1).groupBy("feature", "id").agg(
+    swept = sorted_prefix(events, K, "val", {"before": "w"}, tie_cols=["kind", "id"])
+    bounds = swept.where(F.col("kind") != 1).groupBy(*K, "id").agg(
         (F.max(F.when(F.col("kind") == 0, F.col("before")))
          - F.max(F.when(F.col("kind") == 2, F.col("before")))).alias("m"))
-    per_row = withr.join(bounds, ["feature", "id"]).select(
-        "feature", F.col("kc").cast("double").alias("kc"), F.col("nc").cast("double").alias("nc"),
+    per_row = withr.join(bounds, [*K, "id"]).select(
+        *K, F.col("kc").cast("double").alias("kc"), F.col("nc").cast("double").alias("nc"),
         F.greatest(F.col("m"), F.lit(1)).cast("double").alias("m"))
-    agg = per_row.groupBy("feature").agg(
+    agg = per_row.groupBy(*K).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg(digamma(F.col("kc"))).alias("pk"),
         F.avg(digamma(F.col("nc"))).alias("pn"), F.avg(digamma(F.col("m"))).alias("pm"))
-    return agg.select("feature", F.greatest(
+    return agg.select(*K, F.greatest(
         F.lit(0.0), digamma(F.col("n")) + F.col("pk") - F.col("pn") - F.col("pm")).alias("mi"))

@@ -21,6 +21,7 @@ PARTIAL_TESTS = [("n_words", ["n_chars"]), ("mean_word_len", ["n_words", "n_char
                  ("uniq_ratio", ["n_words"])]
 N_PERMS = 100
 BINS = 10
+K_NEIGHBORS = 5
 MW_ALPHA, MI_ALPHA, CORR_THRESHOLD, PARTIAL_ALPHA = 0.05, 0.1, 0.85, 0.05
 
 
@@ -158,12 +159,13 @@ SELECT feature, round(p_value, 6) AS p_value, round(p_adj, 6) AS p_adj, p_adj <
 FROM ({_bh_sql("perm", MI_ALPHA)})"""
 
 
-def screen_gates(spark, sf):
+def screen_gates(spark, sf, estimator="binned"):
     lf = long_form(spark, sf)
     mw = stats.bh_adjust(stats.mann_whitney(lf), "p_value", "mw_p_adj", alpha=MW_ALPHA,
                          reject_col="mw_reject")
-    mp = stats.bh_adjust(stats.mi_permutation(lf, N_PERMS, BINS), "p_value", "mi_p_adj",
-                         alpha=MI_ALPHA, reject_col="mi_reject")
+    mp = stats.bh_adjust(stats.mi_permutation(lf, N_PERMS, BINS, estimator=estimator,
+                                              k=K_NEIGHBORS),
+                         "p_value", "mi_p_adj", alpha=MI_ALPHA, reject_col="mi_reject")
     return mw.select("feature", "effect", "mw_p_adj", "mw_reject").join(
         mp.select("feature", "mi", "null_q", "mi_p_adj", "mi_reject"), "feature")
 
@@ -262,7 +264,7 @@ def _selection(spark, sf, candidates):
     kept = remaining
     if len(remaining) > 1:
         pairs = [(r[0], r[1], r[2]) for r in stats.spearman_pairs(ranks, remaining).collect()]
-        mi = {r["feature"]: r["mi"] for r in stats.mi_binned(long_form(spark, sf), BINS).collect()}
+        mi = {r["feature"]: r["mi"] for r in stats.mi_knn(long_form(spark, sf), K_NEIGHBORS).collect()}
         kept = stats.redundancy_prune(remaining, pairs, mi, CORR_THRESHOLD)
     return drops, kept
 
@@ -270,14 +272,16 @@ def _selection(spark, sf, candidates):
 def redundancy_prune(spark, sf):
     ranks = rank_table(spark, sf)
     pairs = [(r[0], r[1], r[2]) for r in stats.spearman_pairs(ranks, FEATURES).collect()]
-    mi = {r["feature"]: r["mi"] for r in stats.mi_binned(long_form(spark, sf), BINS).collect()}
+    mi = {r["feature"]: r["mi"] for r in stats.mi_knn(long_form(spark, sf), K_NEIGHBORS).collect()}
     kept = set(stats.redundancy_prune(FEATURES, pairs, mi, CORR_THRESHOLD))
     rows = [(f, int(f in kept), float(mi.get(f, 0.0))) for f in FEATURES]
     return spark.createDataFrame(rows, "feature string, kept int, mi double")
 
 
 def screen_report(spark, sf):
-    g = screen_gates(spark, sf)
+    """The reference's four stages with its estimators: Mann-Whitney + BH,
+    kNN-MI permutation test + BH, partial Spearman, kNN-MI-ranked redundancy."""
+    g = screen_gates(spark, sf, estimator="knn")
     gates = {r["feature"]: r for r in g.collect()}  # one row per feature
     candidates = [f for f in FEATURES if gates[f]["mw_reject"] and gates[f]["mi_reject"]]
     drops, kept = _selection(spark, sf, candidates)
@@ -308,9 +312,6 @@ def pca_components(spark, sf):
     return scores
 
 
-K_NEIGHBORS = 5
-
-
 def mi_knn(spark, sf):
     return stats.mi_knn(long_form(spark, sf), k=K_NEIGHBORS).select("feature", r6("mi"))
 
@@ -326,31 +327,65 @@ def _knn_radius_sql(k: int) -> str:
     return "CASE kc " + " ".join(cases) + " END"
 
 
-MI_KNN_SQL = "WITH " + FEAT_CTE + f""",
-sc AS (SELECT feature, stddev_pop(x) AS sd FROM long GROUP BY feature),
-x0 AS (SELECT l.id, l.y, l.feature, l.x / CASE WHEN sc.sd > 0 THEN sc.sd ELSE 1.0 END AS x0
-       FROM long l JOIN sc ON sc.feature = l.feature),
-ma AS (SELECT feature, avg(abs(x0)) AS ma FROM x0 GROUP BY feature),
-pt0 AS (SELECT x0.id, x0.y, x0.feature,
-          x0.x0 + 1e-10 * greatest(1.0, ma.ma) *
-            (CAST('0x' || substr(md5(x0.feature || ':' || CAST(x0.id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) AS v
-        FROM x0 JOIN ma ON ma.feature = x0.feature),
-cc AS (SELECT feature, y, count(*) AS nc FROM pt0 GROUP BY feature, y),
-pts AS (SELECT pt0.*, cc.nc, least({K_NEIGHBORS}, cc.nc - 1) AS kc FROM pt0
-        JOIN cc ON cc.feature = pt0.feature AND cc.y = pt0.y WHERE cc.nc > 1),
-nb AS (SELECT *, """ + ", ".join(
-    [f"lag(v, {j}) OVER w AS m{j}" for j in range(1, K_NEIGHBORS + 1)]
-    + [f"lead(v, {j}) OVER w AS p{j}" for j in range(1, K_NEIGHBORS + 1)]) + f"""
-       FROM pts WINDOW w AS (PARTITION BY feature, y ORDER BY v, id)),
-rd AS (SELECT feature, id, v, kc, nc, ({_knn_radius_sql(K_NEIGHBORS)}) * (1.0 - 1e-12) AS rad FROM nb),
-mm AS (SELECT a.feature, a.id, count(*) AS m FROM rd a JOIN pts b
-       ON b.feature = a.feature AND b.v > a.v - a.rad AND b.v < a.v + a.rad GROUP BY a.feature, a.id)
-SELECT rd.feature, round(greatest(0.0, {digamma_sql("CAST(count(*) AS DOUBLE)")} + avg({digamma_sql("CAST(rd.kc AS DOUBLE)")})
-       - avg({digamma_sql("CAST(rd.nc AS DOUBLE)")}) - avg({digamma_sql("CAST(greatest(mm.m, 1) AS DOUBLE)")})), 6) AS mi
-FROM rd JOIN mm ON mm.feature = rd.feature AND mm.id = rd.id GROUP BY rd.feature"""
+KNN_SCALE_CTE = """,
+ksc AS (SELECT feature, stddev_pop(x) AS sd, avg(abs(x)) AS mabs FROM long GROUP BY feature)"""
+
+
+def _knn_sql(src: str, keys: list[str], p: str) -> str:
+    """CTEs computing kNN MI per ``keys`` from ``src`` (keys..., id, y, x);
+    the last CTE ``{p}mi`` holds (keys..., mi).  Needs ``ksc``."""
+    K = ", ".join(keys)
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+    dg = digamma_sql
+    return f""",
+{p}pt0 AS (SELECT {", ".join("s." + c for c in keys)}, s.id, s.y,
+          s.x / CASE WHEN ksc.sd > 0 THEN ksc.sd ELSE 1.0 END
+          + 1e-10 * greatest(1.0, ksc.mabs / CASE WHEN ksc.sd > 0 THEN ksc.sd ELSE 1.0 END) *
+            (CAST('0x' || substr(md5(s.feature || ':' || CAST(s.id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) AS v
+        FROM {src} s JOIN ksc ON ksc.feature = s.feature),
+{p}cc AS (SELECT {K}, y, count(*) AS nc FROM {p}pt0 GROUP BY {K}, y),
+{p}pts AS (SELECT a.*, c.nc, least({K_NEIGHBORS}, c.nc - 1) AS kc FROM {p}pt0 a
+        JOIN {p}cc c ON {on("c", "a")} AND c.y = a.y WHERE c.nc > 1),
+{p}nb AS (SELECT *, """ + ", ".join(
+        [f"lag(v, {j}) OVER w AS m{j}" for j in range(1, K_NEIGHBORS + 1)]
+        + [f"lead(v, {j}) OVER w AS p{j}" for j in range(1, K_NEIGHBORS + 1)]) + f"""
+       FROM {p}pts WINDOW w AS (PARTITION BY {K}, y ORDER BY v, id)),
+{p}rd AS (SELECT {K}, id, v, kc, nc, ({_knn_radius_sql(K_NEIGHBORS)}) * (1.0 - 1e-12) AS rad FROM {p}nb),
+{p}mm AS (SELECT {", ".join("a." + c for c in keys)}, a.id, count(*) AS m FROM {p}rd a JOIN {p}pts b
+       ON {on("b", "a")} AND b.v > a.v - a.rad AND b.v < a.v + a.rad GROUP BY {", ".join("a." + c for c in keys)}, a.id),
+{p}mi AS (SELECT {", ".join("r." + c for c in keys)}, greatest(0.0, {dg("CAST(count(*) AS DOUBLE)")} + avg({dg("CAST(r.kc AS DOUBLE)")})
+       - avg({dg("CAST(r.nc AS DOUBLE)")}) - avg({dg("CAST(greatest(mm.m, 1) AS DOUBLE)")})) AS mi
+       FROM {p}rd r JOIN {p}mm mm ON {on("mm", "r")} AND mm.id = r.id GROUP BY {", ".join("r." + c for c in keys)})"""
+
+
+MI_KNN_SQL = "WITH " + FEAT_CTE + KNN_SCALE_CTE + _knn_sql("long", ["feature"], "k") + """
+SELECT feature, round(mi, 6) AS mi FROM kmi"""
+
+
+def mi_permutation_knn(spark, sf):
+    mp = stats.mi_permutation(long_form(spark, sf), N_PERMS, estimator="knn", k=K_NEIGHBORS)
+    return mp.select("feature", r6("mi"), r6("null_q"), r6("p_value"))
+
+
+PERMY_BODY = f""",
+rws AS (SELECT DISTINCT id, y FROM long),
+r0 AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r FROM rws),
+rep AS (SELECT p.range AS perm, rws.id, rws.y FROM rws CROSS JOIN range({N_PERMS}) p),
+rp AS (SELECT perm, y, row_number() OVER (PARTITION BY perm ORDER BY md5(CAST(perm AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) - 1 AS r FROM rep),
+py AS (SELECT rp.perm, r0.id, rp.y FROM r0 JOIN rp ON rp.r = r0.r),
+plong AS (SELECT py.perm, long.id, py.y, long.feature, long.x FROM long JOIN py ON py.id = long.id)"""
+
+MI_PERMUTATION_KNN_SQL = ("WITH " + FEAT_CTE + KNN_SCALE_CTE + PERMY_BODY
+                          + _knn_sql("long", ["feature"], "k") + _knn_sql("plong", ["perm", "feature"], "q")
+                          + f"""
+SELECT q.feature, round(any_value(round(k.mi, 12)), 6) AS mi,
+       round(quantile_cont(round(q.mi, 12), 0.95), 6) AS null_q,
+       round((count(*) FILTER (WHERE round(q.mi, 12) >= round(k.mi, 12)) + 1) / {N_PERMS + 1.0}, 6) AS p_value
+FROM qmi q JOIN kmi k ON k.feature = q.feature GROUP BY q.feature""")
 
 QUERIES = {
     "mi_knn": (mi_knn, MI_KNN_SQL),
+    "mi_permutation_knn": (mi_permutation_knn, MI_PERMUTATION_KNN_SQL),
     "avg_rank": (avg_rank, AVG_RANK_SQL),
     "mann_whitney": (mann_whitney, MANN_WHITNEY_SQL),
     "mi_binned": (mi_binned, MI_BINNED_SQL),

@@ -158,7 +158,10 @@ def test_mi_knn_matches_direct_estimator(spark):
     rows = [(i, rnd.randint(0, 1), float(rnd.randint(0, 40)) + (0.5 if i % 3 == 0 else 0.0))
             for i in range(300)] + [(1000, 2, 5.0)]  # a singleton class is dropped
     df = spark.createDataFrame(rows, "id long, y int, a double")
-    got = stats.mi_knn(stats.to_long(df, "id", "y", ["a"]), k=3).collect()[0]["mi"]
+    long = stats.to_long(df, "id", "y", ["a"])
+    got = stats.mi_knn(long, k=3).collect()[0]["mi"]
+    # tiny blocks: most rows go through the block-edge join path
+    assert stats.mi_knn(long, k=3, block_rows=8).collect()[0]["mi"] == pytest.approx(got, abs=1e-12)
 
     ids = np.array([r[0] for r in rows])
     y = np.array([r[1] for r in rows])

@@ -104,6 +104,55 @@ def out_of_fold_encode(labeled: DataFrame, bridge: DataFrame, entity: str, perso
             .drop("__enc", "__gm"))
 
 
+def fold_iteration_encode(labeled: DataFrame, bridge: DataFrame, entity: str, person: str,
+                          label: str, fold: str, out_col: str, count_col: str | None = None,
+                          k: float = 20.0) -> DataFrame:
+    """All k cross-validation iterations in one pass.
+
+    Returns (``fold_iter``, entity, ``out_col`` [, ``count_col``]) for every
+    labelled entity and every fold f: the encoding fitted on the rows of the
+    other folds (what refitting an encoder on ``fold != f`` and applying it to
+    every entity gives).  Rows with ``fold_iter == fold`` are the out-of-fold
+    encodings.  Per-person totals minus per-(person, fold) sums replace k
+    refits; iterations are replicated with ``explode`` of the k fold ids (read
+    from a k-row table), never a cross join."""
+    lab = labeled.select(entity, fold, F.col(label).cast("double").alias("__y"))
+    br = bridge.select(entity, person).where(F.col(person).isNotNull())
+    rows = br.join(lab, entity, "inner")
+    fold_ids = [r[0] for r in lab.select(fold).distinct().collect()]  # k values
+    iters = F.explode(F.array(*[F.lit(v) for v in fold_ids])).alias("fold_iter")
+
+    per_fold = rows.groupBy(fold).agg(F.count(F.lit(1)).alias("__nf"), F.sum("__y").alias("__sf"))
+    tot_n = per_fold.select(F.sum("__nf")).scalar()
+    tot_s = per_fold.select(F.sum("__sf")).scalar()
+    gm = (lab.select(fold).distinct().join(per_fold, fold, "left")
+          .select(F.col(fold).alias("fold_iter"),
+                  ((tot_s - F.coalesce(F.col("__sf"), F.lit(0.0)))
+                   / (tot_n - F.coalesce(F.col("__nf"), F.lit(0)))).alias("__gm")))
+
+    pf = rows.groupBy(person, fold).agg(F.count(F.lit(1)).alias("__npf"), F.sum("__y").alias("__spf"))
+    pt = pf.groupBy(person).agg(F.sum("__npf").alias("__np"), F.sum("__spf").alias("__sp"))
+    scores = (pt.select(person, "__np", "__sp", iters)
+              .join(pf.withColumnRenamed(fold, "fold_iter"), [person, "fold_iter"], "left")
+              .join(F.broadcast(gm), "fold_iter")  # k rows
+              .select(person, "fold_iter", "__gm",
+                      (F.col("__np") - F.coalesce(F.col("__npf"), F.lit(0))).alias("__n"),
+                      (F.col("__sp") - F.coalesce(F.col("__spf"), F.lit(0.0))).alias("__s")))
+    scores = scores.select(person, "fold_iter", F.when(
+        F.col("__n") > 0, (F.col("__s") + F.lit(k) * F.col("__gm")) / (F.col("__n") + F.lit(k)))
+        .otherwise(F.col("__gm")).alias("__score"))
+    per_entity = (rows.select(entity, person, iters)
+                  .join(scores, [person, "fold_iter"], "inner")
+                  .groupBy("fold_iter", entity)
+                  .agg(F.avg("__score").alias("__enc"), F.count(F.lit(1)).alias("__cnt")))
+    out = (lab.select(entity, iters).join(per_entity, ["fold_iter", entity], "left")
+           .join(F.broadcast(gm), "fold_iter"))
+    cols = [F.coalesce(F.col("__enc"), F.col("__gm")).alias(out_col)]
+    if count_col:
+        cols.append(F.coalesce(F.col("__cnt"), F.lit(1)).cast("long").alias(count_col))
+    return out.select("fold_iter", entity, *cols)
+
+
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: str = "",
                      out_col: str = "fold") -> DataFrame:
     """fold = (row_number over (partition by label order by md5(seed||key), key) - 1) % k.

@@ -15,6 +15,7 @@ from ..operators import encode
 from ..operators import model as M
 from .cleaning import IMPUTED_CTE, imputed_movies
 from .encoding import PRESTIGE_OOF_SQL, prestige_oof
+from ..session import cut_lineage
 from .tables import movies, part_bridge, r6, supplier_bridge, table
 from ..operators import clean
 
@@ -83,10 +84,24 @@ def rf_predict(spark, sf):
                          F.col("prediction").cast("int").alias("prediction"))
 
 
+def encoded_iterations(spark, sf):
+    """(fold_iter, o_orderkey, fold, y, features..., encodings...) for all k
+    CV iterations, from one pass over each bridge.  The training table is
+    read by both encoders and the final join, so it is written once."""
+    data = cut_lineage(_training_table(spark, sf))
+    lab = data.select("o_orderkey", "y", "fold")
+    bs = supplier_bridge(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
+    bp = part_bridge(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
+    ed = encode.fold_iteration_encode(lab, bs, "o_orderkey", "l_suppkey", "y", "fold",
+                                      "director_prestige", "n_directors")
+    ew = encode.fold_iteration_encode(lab, bp, "o_orderkey", "l_partkey", "y", "fold",
+                                      "writer_prestige", "n_writers")
+    return ed.join(ew, ["fold_iter", "o_orderkey"]).join(data, "o_orderkey")
+
+
 def cv_summary(spark, sf):
-    data = _training_table(spark, sf)
-    pipe = M.forest_pipeline(_encoder(spark, sf), MODEL_FEATURES, "y", num_trees=10, max_depth=6)
-    acc, _oof = M.cross_validate(pipe, data, "fold", "y", keys=["o_orderkey"])
+    pipe = M.forest_pipeline(None, MODEL_FEATURES, "y", num_trees=10, max_depth=6)
+    acc = M.cross_validate_encoded(pipe, encoded_iterations(spark, sf), "fold", "y")
     return M.cv_summary(acc)
 
 

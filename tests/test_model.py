@@ -82,3 +82,18 @@ def test_stream_static_scoring(spark):
     q.stop()
     got = {r["e"]: r["enc"] for r in spark.sql("SELECT * FROM enc_out").collect()}
     assert got["e"] == pytest.approx(0.750518, abs=1e-6) and got["f"] == pytest.approx(0.75)
+
+
+def test_fold_iterations_equal_per_fold_refits(spark):
+    data = MM._training_table(spark, SF_SMALL)
+    lab = data.select("o_orderkey", "y", "fold")
+    bs = MM.supplier_bridge(spark, SF_SMALL).withColumnRenamed("l_orderkey", "o_orderkey")
+    it = {(r["fold_iter"], r["o_orderkey"]): (r["enc"], r["cnt"]) for r in
+          encode.fold_iteration_encode(lab, bs, "o_orderkey", "l_suppkey", "y", "fold",
+                                       "enc", "cnt").collect()}
+    for f in range(5):
+        ref = encode.target_encode(lab.where(F.col("fold") != f), lab, bs, "o_orderkey",
+                                   "l_suppkey", "y", "enc", "cnt")
+        for r in ref.collect():
+            e, c = it[(f, r["o_orderkey"])]
+            assert e == pytest.approx(r["enc"], abs=1e-12) and c == r["cnt"]

@@ -105,6 +105,21 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def sortable_micros(x: Column, dtype: str) -> Column:
+    """Order-preserving BIGINT of a date/time value.  Wall-clock
+    ``timestamp_ntz`` values are converted field by field, so the session
+    time zone (and its DST gaps) cannot reorder them."""
+    if dtype == "timestamp":
+        return F.unix_micros(x)
+    day = F.unix_date(F.to_date(x)).cast("long") * F.lit(86_400_000_000)
+    if dtype == "date":
+        return day
+    secs = F.extract(F.lit("SECOND"), x)  # seconds with microseconds
+    return (day + F.hour(x).cast("long") * F.lit(3_600_000_000)
+            + F.minute(x).cast("long") * F.lit(60_000_000)
+            + (secs * F.lit(1_000_000)).cast("long"))
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str],
                 order: Sequence[tuple[str, str]]) -> DataFrame:
     """Deterministic keep-first per key; ``order`` = [(column, 'asc'|'desc')].
@@ -117,8 +132,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
     for c, direction in order:
         x = F.col(c)
         t = dtypes[c]
-        if t.startswith("timestamp") or t == "date":
-            x = F.unix_micros(x.cast("timestamp"))
+        if t in ("timestamp_ntz", "timestamp", "date"):
+            x = sortable_micros(x, t)
         elif direction == "desc" and t == "string":
             raise TypeError(f"descending string key {c} is not supported")
         parts.append(-x if direction == "desc" else x)

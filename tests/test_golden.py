@@ -167,3 +167,16 @@ def test_c16_leak_free_out_of_fold(spark):
     fold2 = [e for e, _, f in ents if f == 2]
     assert all(math.isclose(a[e], b[e], abs_tol=1e-12) for e in fold2)
     assert any(not math.isclose(a[e], b[e], abs_tol=1e-12) for e, _, f in ents if f != 2)
+
+
+def test_keep_first_ignores_session_time_zone(spark):
+    import datetime
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1, datetime.datetime(2021, 3, 14, 2, 30), "a"),
+                                    (1, datetime.datetime(2021, 3, 14, 3, 15), "b")],
+                                   "k int, ts timestamp_ntz, v string")
+        assert clean.dedup_first(df, ["k"], [("ts", "desc")]).collect()[0]["v"] == "b"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

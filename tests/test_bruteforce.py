@@ -186,3 +186,16 @@ def test_mi_knn_matches_direct_estimator(spark):
     want = _digamma(n) + np.mean([_digamma(k) for k in ks]) - np.mean([_digamma(c) for c in ncs]) \
         - np.mean([_digamma(m) for m in ms])
     assert got == pytest.approx(max(0.0, want), abs=1e-9)
+
+
+def test_hot_group_is_split_into_bounded_buckets(spark):
+    # one group holds every row: the window inside sorted_prefix must not see it whole
+    df = spark.range(200_000).select(
+        (F.rand(seed=3) * 1e6 + 1).alias("x"),
+        ranking.hash_order_key(F.col("id")).alias("h"))
+    per_log = df.groupBy(ranking.log_bucket(F.col("x")).alias("b")).count()
+    stats_log = per_log.agg(F.count("*").alias("nb"), F.max("count").alias("mx")).collect()[0]
+    assert stats_log["nb"] > 10_000 and stats_log["mx"] < 0.01 * 200_000
+    per_hash = df.groupBy(ranking.hash_bucket(F.col("h")).alias("b")).count()
+    stats_hash = per_hash.agg(F.count("*").alias("nb"), F.max("count").alias("mx")).collect()[0]
+    assert stats_hash["nb"] > 100_000 and stats_hash["mx"] <= 10

@@ -97,3 +97,11 @@ def test_fold_iterations_equal_per_fold_refits(spark):
         for r in ref.collect():
             e, c = it[(f, r["o_orderkey"])]
             assert e == pytest.approx(r["enc"], abs=1e-12) and c == r["cnt"]
+
+
+def test_predict_ordered_follows_file_order(spark):
+    import pyarrow.parquet as pq
+    keys = pq.read_table(f"{SF_SMALL}/orders.parquet", columns=["o_orderkey"]).column(0).to_pylist()
+    want = [k for k in keys if k % 10 >= 8]
+    got = [r["o_orderkey"] for r in MM.predict_ordered(spark, SF_SMALL).collect()]
+    assert got == want

@@ -154,3 +154,32 @@ def dup_profile(df: DataFrame, key: str, approx: bool = False) -> DataFrame:
     uniq = F.approx_count_distinct(key) if approx else F.count_distinct(key)
     return (df.agg(F.count(F.lit(1)).alias("n_raw"), uniq.alias("n_unique"))
             .withColumn("dup_factor", F.floor(F.col("n_raw") / F.col("n_unique")).cast("long")))
+
+
+def clean_split(raw: DataFrame, ref_year: int = 2026, width: int = 10, compat: bool = False,
+                runtime_bounds: tuple[int, int] = (1, 210), votes_cap: float = 400000.0,
+                approx: bool = False) -> DataFrame:
+    """Raw title rows (text columns as in ``MOVIE_CSV_COLUMNS``) -> typed,
+    clamped, bucket-median imputed, derived features and ``title_clean``.
+
+    ``compat=True`` reproduces the coded behaviour of the reference (exact-year
+    buckets, NULL runtime/votes/age collapsing to the clamp bounds)."""
+    from ..functions.textfold import text_fold_udf
+    policy = "floor" if compat else "keep"
+    lo, hi = runtime_bounds
+    typed = raw.select(
+        "*",
+        S.parse_int("startYear").alias("__year_raw"),
+        S.parse_int("endYear").alias("__end_raw"),
+        S.winsorize(S.parse_int("runtimeMinutes"), lo, hi, policy).alias("runtime"),
+        S.parse_double("numVotes", sentinel=None).alias("votes"))
+    typed = typed.withColumn("year", F.coalesce("__year_raw", "__end_raw"))
+    imputed = impute_bucket_median(typed, "year", {
+        "runtime": {"round_int": True},
+        "votes": {"cap": votes_cap, "null_policy": policy}}, width=width, compat=compat,
+        approx=approx)
+    feats = derive_features(imputed, ref_year=ref_year, compat=compat,
+                            primary="primaryTitle", original="originalTitle")
+    feats = feats.withColumn("title_clean", text_fold_udf(F.col("primaryTitle")))
+    return feats.drop("__year_raw", "__end_raw", "startYear", "endYear", "runtimeMinutes",
+                      "numVotes", "primaryTitle", "originalTitle")

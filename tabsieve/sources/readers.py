@@ -25,6 +25,23 @@ MOVIE_CSV_COLUMNS = ["tconst", "primaryTitle", "originalTitle", "startYear", "en
                      "runtimeMinutes", "numVotes", "label"]
 
 
+# Layouts of the public rating-site files the enrichment reads
+# (DDL strings; identifiers stay as published).
+EXTERNAL_CSV_SCHEMAS = {
+    "links": "movieId BIGINT, imdbId BIGINT, tmdbId BIGINT",
+    "movies": "movieId BIGINT, title STRING, genres STRING",
+    "ratings": "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT",
+    "tags": "userId BIGINT, movieId BIGINT, tag STRING, timestamp BIGINT",
+    "genome-scores": "movieId BIGINT, tagId INT, relevance DOUBLE",
+    "genome-tags": "tagId INT, tag STRING",
+}
+
+
+def read_external_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of the rating-site CSVs with its published schema."""
+    return read_csv(spark, path, T._parse_datatype_string(EXTERNAL_CSV_SCHEMAS[name]))
+
+
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 

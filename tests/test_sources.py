@@ -87,3 +87,66 @@ def test_ordered_text_sink(spark):
             with open(os.path.join(out, name)) as fh:
                 lines += fh.read().splitlines()
     assert lines == ["True", "False", "True", "False", "True", "False"]
+
+
+def test_multiline_quoted_csv(spark):
+    d = _scratch()
+    p = os.path.join(d, "credits.csv")
+    with open(p, "w") as fh:
+        fh.write('id,crew\n1,"[{\'job\': \'Director\', \'name\': \'A, B\'},\n {\'job\': \'Editor\', \'name\': None}]"\n')
+    df = readers.read_csv(spark, p, ["id", "crew"], multiline=True, escape='"')
+    rows = df.collect()
+    assert len(rows) == 1 and "Editor" in rows[0]["crew"]
+    from tabsieve.operators import joins
+    names = df.select(joins.names_with_role(joins.parse_crew("crew"), "director").alias("d")).collect()
+    assert names[0]["d"] == ["A, B"]
+
+
+def test_clean_split_end_to_end(spark):
+    from tabsieve.operators import clean
+    d = _scratch()
+    p = os.path.join(d, "train-1.csv")
+    with open(p, "w") as fh:
+        fh.write(",".join(readers.MOVIE_CSV_COLUMNS) + "\n")
+        fh.write("tt1,The Birds,,1963,\\N,119,50000,True\n")
+        fh.write("tt2,AmÃ©lie,Le Fabuleux,2001,\\N,\\N,700000,True\n")
+        fh.write("tt3,Short,,2001,\\N,5000,,False\n")
+        fh.write("tt4,X,,\\N,\\N,80,10,False\n")
+    raw = readers.read_movie_csv(spark, p).distinct()
+    out = {r["tconst"]: r for r in clean.clean_split(raw).collect()}
+    assert out["tt1"]["runtime"] == 119 and out["tt1"]["title_clean"] == "the birds"
+    assert out["tt2"]["title_clean"] == "amelie" and out["tt2"]["is_foreign"] == 1
+    assert out["tt2"]["votes"] == 400000.0 and out["tt2"]["runtime"] == 210  # cap; decade median
+    assert out["tt3"]["runtime"] == 210 and out["tt3"]["votes"] == 400000.0  # clamp; median fill
+    assert out["tt4"]["film_age"] is None and out["tt4"]["runtime_short"] == 1
+    coded = {r["tconst"]: r for r in clean.clean_split(raw, compat=True).collect()}
+    assert coded["tt4"]["film_age"] == 1 and coded["tt2"]["runtime"] == 1
+
+
+def test_external_features(spark):
+    from tabsieve.operators import enrich
+    d = _scratch()
+    files = {
+        "links": "movieId,imdbId,tmdbId\n1,1234,5\n2,12345678,6\n3,,7\n",
+        "movies": "movieId,title,genres\n1,A,Drama|Sci-Fi\n2,B,(no genres listed)\n3,C,Comedy\n",
+        "ratings": "userId,movieId,rating,timestamp\n1,1,4.0,0\n2,1,3.0,0\n3,1,5.0,0\n1,2,2.5,0\n",
+        "tags": "userId,movieId,tag,timestamp\n1,1,x,0\n1,1,y,0\n",
+        "genome-scores": "movieId,tagId,relevance\n1,10,0.9\n1,11,0.2\n2,10,0.1\n",
+        "genome-tags": "tagId,tag\n10,Feel-Good\n11,dark\n",
+    }
+    dfs = {}
+    for name, body in files.items():
+        path = os.path.join(d, f"{name}.csv")
+        with open(path, "w") as fh:
+            fh.write(body)
+        dfs[name] = readers.read_external_csv(spark, path, name)
+    out, missing = enrich.external_features(dfs["links"], dfs["movies"], dfs["ratings"],
+                                            dfs["tags"], dfs["genome-scores"], dfs["genome-tags"])
+    rows = {r["tconst"]: r for r in out.collect()}
+    assert set(rows) == {"tt0001234", "tt12345678"}
+    a, b = rows["tt0001234"], rows["tt12345678"]
+    assert a["genre_drama"] == 1 and a["genre_sci_fi"] == 1 and a["genre_count"] == 2
+    assert a["ml_rating_mean"] == 4.0 and a["ml_rating_median"] == 4.0 and a["ml_tag_count"] == 2
+    assert b["ml_rating_std"] == 0.0 and b["ml_tag_count"] == 0 and b["genre_count"] == 1
+    assert a["mltag_feel_good"] == 0.9 and a["mltag_dark"] == 0.2 and b["mltag_dark"] is None
+    assert "masterpiece" in missing and "dark" not in missing

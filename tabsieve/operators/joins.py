@@ -109,3 +109,26 @@ def fill_rank(df: DataFrame, col: str, lookup: DataFrame, rank: str) -> DataFram
 
 __all__ = ["band_join", "prior_count", "title_join", "title_key", "parse_crew",
            "names_with_role", "pair_explode", "fill_rank", "S"]
+
+
+def curated_list_features(films: DataFrame, lookup: DataFrame, key: str = "tconst",
+                          title_col: str = "title_clean", year_col: str = "year",
+                          lookup_title: str = "title", lookup_year: str = "year",
+                          rank_col: str = "rank", out_rank: str = "list_rank",
+                          out_flag: str = "in_list", tol: int = 2,
+                          null_year_matches: bool = False) -> DataFrame:
+    """Curated-list enrichment: titles normalised on both sides (one leading
+    article stripped), band join on year within ``tol`` (nearest year, then
+    best rank), unmatched films get ``max(rank) + 1`` and flag 0."""
+    from ..functions.scalar import flag, title_norm
+    left = films.select(key, title_norm(title_col).alias("__tn"),
+                        F.col(year_col).cast("int").alias("__y"))
+    lk = lookup.select(title_norm(lookup_title).alias("__lt"),
+                       F.col(lookup_year).cast("string").try_cast("double").cast("int").alias("__ly"),
+                       F.col(rank_col).cast("string").try_cast("double").cast("long").alias("__r")) \
+        .where(F.col("__r").isNotNull())
+    out = band_join(left, lk, "__tn", "__y", "__lt", "__ly", "__r", tol=tol,
+                    null_year_matches=null_year_matches, out_col=out_rank)
+    out = out.withColumn(out_flag, flag(F.col(out_rank).isNotNull()))
+    out = fill_rank(out, out_rank, lk, "__r")
+    return out.select(key, out_rank, out_flag)

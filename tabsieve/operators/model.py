@@ -170,20 +170,27 @@ def cross_validate(pipeline: Pipeline, data: DataFrame, fold_col: str, label: st
 
 
 def cross_validate_encoded(pipeline: Pipeline, data: DataFrame, fold_col: str,
-                           label: str = "y", iter_col: str = "fold_iter") -> DataFrame:
+                           label: str = "y", iter_col: str = "fold_iter",
+                           parallelism: int = 4) -> DataFrame:
     """CV over a table that already holds every iteration's leak-free
     encodings (see :func:`tabsieve.operators.encode.fold_iteration_encode`):
     iteration f trains on ``iter == f and fold != f`` and scores
     ``iter == f and fold == f``.  The table is materialised once; only the
-    learner is fitted per fold.  Returns the per-fold accuracy table."""
+    learner is fitted per fold, ``parallelism`` folds at a time (concurrent
+    Spark jobs from driver threads, as ``CrossValidator(parallelism=...)``
+    does).  Returns the per-fold accuracy table."""
+    from concurrent.futures import ThreadPoolExecutor
     data = cut_lineage(data)
     folds = [r[0] for r in data.select(fold_col).distinct().orderBy(fold_col).collect()]
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    accs = []
-    for f in folds:
+
+    def one(f):
         it = data.where(F.col(iter_col) == f)
         model = pipeline.fit(it.where(F.col(fold_col) != f))
-        accs.append((int(f), float(evaluator.evaluate(model.transform(it.where(F.col(fold_col) == f))))))
+        return int(f), float(evaluator.evaluate(model.transform(it.where(F.col(fold_col) == f))))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        accs = list(pool.map(one, folds))
     return data.sparkSession.createDataFrame(accs, "fold int, accuracy double")
 
 

@@ -61,6 +61,24 @@ def hash_bucket(h: Column) -> Column:
     return F.shiftright(h, 60 - HASH_BUCKET_BITS)
 
 
+_ZERO = {"string": "", "boolean": False, "date": "1970-01-01"}
+
+
+def _null_free(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Replace nullable key columns by (filled value, is-null flag) columns so
+    that a plain equi join equals a null-safe one — and can reuse the hash
+    partitioning of an earlier window on the same columns."""
+    dtypes = dict(df.dtypes)
+    keys: list[str] = []
+    for i, c in enumerate(cols):
+        t = dtypes[c]
+        zero = _ZERO.get(t, 0)
+        df = df.withColumn(f"__k{i}", F.coalesce(F.col(c), F.lit(zero).cast(t))) \
+               .withColumn(f"__z{i}", F.col(c).isNull())
+        keys += [f"__k{i}", f"__z{i}"]
+    return df, keys
+
+
 def sorted_prefix(df: DataFrame, part_cols: str | Sequence[str], order_col: str,
                   weights: dict[str, Column | str], tie_cols: Sequence[str] = (),
                   bucket: Column | None = None) -> DataFrame:
@@ -68,27 +86,30 @@ def sorted_prefix(df: DataFrame, part_cols: str | Sequence[str], order_col: str,
     partition strictly before this row in (order_col, *tie_cols) order.
 
     ``bucket`` must be non-decreasing in ``order_col``; the default is
-    :func:`log_bucket` of the (numeric) order column."""
+    :func:`log_bucket` of the (numeric) order column.  The in-bucket window and
+    the join with the bucket offsets are keyed by the same columns, so the
+    rows are shuffled once; only the small offsets table moves for the join."""
     part = _cols(part_cols)
     wcols = {f"__w_{n}": (F.col(v) if isinstance(v, str) else v) for n, v in weights.items()}
     x = F.col(order_col)
     b = bucket if bucket is not None else log_bucket(x)
     base = df.select("*", *[c.alias(n) for n, c in wcols.items()], b.alias("__b"))
+    base, keys = _null_free(base, part)
 
-    totals = base.groupBy(*part, "__b").agg(*[F.sum(n).alias(f"{n}_t") for n in wcols])
-    before_bucket = Window.partitionBy(*part).orderBy("__b").rowsBetween(
+    totals = base.groupBy(*keys, "__b").agg(*[F.sum(n).alias(f"{n}_t") for n in wcols])
+    before_bucket = Window.partitionBy(*keys).orderBy("__b").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *part, "__b",
+        *keys, "__b",
         *[F.coalesce(F.sum(f"{n}_t").over(before_bucket), F.lit(0)).alias(f"{n}_o")
           for n in wcols])
 
-    inside = Window.partitionBy(*part, "__b").orderBy(x, *[F.col(t) for t in tie_cols]) \
+    inside = Window.partitionBy(*keys, "__b").orderBy(x, *[F.col(t) for t in tie_cols]) \
         .rowsBetween(Window.unboundedPreceding, -1)
     within = base.select(
         "*", *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(f"{n}_i") for n in wcols])
 
-    out = join_null_safe(within, offsets, [*part, "__b"], "inner")
+    out = within.join(offsets, [*keys, "__b"], "inner")
     result_cols = [(F.col(f"{n}_o") + F.col(f"{n}_i")).alias(name)
                    for name, n in zip(weights, wcols)]
     return out.select(*df.columns, *result_cols)

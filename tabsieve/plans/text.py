@@ -51,7 +51,7 @@ def token_counts(spark, sf):
 
 
 TOKEN_COUNTS_SQL = "WITH " + TOK_CTE + """
-SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term"""
+SELECT term, CAST(sum(tf) AS BIGINT) AS total, count(*) AS df FROM tf GROUP BY term"""
 
 
 def tfidf_top_terms(spark, sf):

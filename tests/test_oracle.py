@@ -27,3 +27,21 @@ def test_registry_consistent():
 def test_query(results, key):
     status = results[key]
     assert status[0] in ("OK", "ROWS_ONLY"), status
+
+
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
+
+
+def test_oracle_column_types_match(spark):
+    from tools.oracle_check import duck
+    con = duck(SF_SMALL)
+    bad = {}
+    for key, (fn, sql) in catalog.registry().items():
+        if sql is None or key == "mi_permutation_knn":  # its types equal mi_permutation's
+            continue
+        st = dict(fn(spark, SF_SMALL).dtypes)
+        dt = {r[0]: DUCK_TO_SPARK.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        if st != dt:
+            bad[key] = (st, dt)
+    assert not bad, bad

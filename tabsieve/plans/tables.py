@@ -15,18 +15,25 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
+SPREAD_BYTES_PER_PARTITION = 1 << 20  # spread only to ~1 MB per task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan a table.  A scan with fewer splits than the session's parallelism
-    (one small file with one row group, as in the test data) is spread by a
-    hash repartition on its key, so row-wise work before the first shuffle
-    (regexes over whole texts, tokenising, hashing) uses every core.  A large
-    input already has many splits and is left alone.  Column pruning and
-    filter pushdown still reach the Parquet scan.  ``spread=False`` keeps the
-    file order (row ids taken at read time)."""
+    """Scan a table.  A scan with fewer splits than its data warrants (one
+    small file with one row group, as in the test data) is spread by a hash
+    repartition on its key to ``min(parallelism, size / 1 MB)`` partitions, so
+    row-wise work before the first shuffle (regexes over whole texts,
+    tokenising, hashing) uses several cores.  Tiny dimension tables and large
+    inputs (many splits already) are left alone.  Column pruning and filter
+    pushdown still reach the Parquet scan.  ``spread=False`` keeps the file
+    order (row ids taken at read time)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    par = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < par:
-        df = df.repartition(par, df.columns[0])
+    if not spread:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = min(spark.sparkContext.defaultParallelism, size // SPREAD_BYTES_PER_PARTITION)
+    if want >= 2 and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want, df.columns[0])
     return df
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import path_size
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -27,10 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     inputs (many splits already) are left alone.  Column pruning and filter
     pushdown still reach the Parquet scan.  ``spread=False`` keeps the file
     order (row ids taken at read time)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if not spread:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = path_size(spark, path)
     want = min(spark.sparkContext.defaultParallelism, size // SPREAD_BYTES_PER_PARTITION)
     if want >= 2 and df.rdd.getNumPartitions() < want:
         df = df.repartition(want, df.columns[0])

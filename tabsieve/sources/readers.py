@@ -56,6 +56,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (file or directory), from its Hadoop FileSystem."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(conf).getContentSummary(p).getLength())
+
+
 def read_optional(spark: SparkSession, path: str, reader) -> DataFrame | None:
     """``reader(spark, path)`` when the path exists, else None (skip the step)."""
     return reader(spark, path) if path_exists(spark, path) else None

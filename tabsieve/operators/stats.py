@@ -441,3 +441,74 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
         F.avg(digamma(F.col("nc"))).alias("pn"), F.avg(digamma(F.col("m"))).alias("pm"))
     return agg.select(*K, F.greatest(
         F.lit(0.0), digamma(F.col("n")) + F.col("pk") - F.col("pn") - F.col("pm")).alias("mi"))
+
+
+# ------------------------------------------------------------ orchestration
+REPORT_SCHEMA = ("feature string, mw_effect double, mw_p_adj double, mi double, "
+                 "mi_null_q double, mi_p_adj double, passed_tests int, partial_drop int, "
+                 "redundant_drop int, selected int")
+
+
+def screen(long: DataFrame, features: Sequence[str],
+           partial_tests: Sequence[tuple[str, Sequence[str]]] = (), n_perms: int = 100,
+           estimator: str = "knn", k: int = 5, bins: int = 10, mw_alpha: float = 0.05,
+           mi_alpha: float = 0.1, partial_alpha: float = 0.05,
+           corr_threshold: float = 0.85) -> DataFrame:
+    """The four screening stages on the long form, one report row per feature:
+
+    1. Mann-Whitney U + BH at ``mw_alpha``; 2. permutation MI + BH at
+    ``mi_alpha`` (a feature must pass both); 3. partial Spearman of each
+    interaction test whose feature and controls all passed (drop at
+    p >= ``partial_alpha``); 4. greedy redundancy walk over |Spearman| >
+    ``corr_threshold``, dropping the lower-MI feature (the later on ties).
+
+    Statistics are distributed jobs; only per-feature and per-pair rows reach
+    the driver for the greedy walk."""
+    spark = long.sparkSession
+    mw = bh_adjust(mann_whitney(long), "p_value", "mw_p_adj", alpha=mw_alpha,
+                   reject_col="mw_reject")
+    mp = bh_adjust(mi_permutation(long, n_perms, bins, estimator=estimator, k=k),
+                   "p_value", "mi_p_adj", alpha=mi_alpha, reject_col="mi_reject")
+    gates = {r["feature"]: r for r in
+             mw.select("feature", "effect", "mw_p_adj", "mw_reject")
+             .join(mp.select("feature", "mi", "null_q", "mi_p_adj", "mi_reject"), "feature")
+             .collect()}  # one row per feature
+    candidates = [f for f in features if f in gates and gates[f]["mw_reject"]
+                  and gates[f]["mi_reject"]]
+    tests = [(f, list(c)) for f, c in partial_tests
+             if f in candidates and all(x in candidates for x in c)]
+    drops: set[str] = set()
+    ranks = rank_wide(long, list(features)) if (tests or len(candidates) > 1) else None
+    if tests:
+        ps = partial_spearman(ranks, tests).collect()
+        drops = {r["feature"] for r in ps if r["p_value"] is None or r["p_value"] >= partial_alpha}
+    remaining = [c for c in candidates if c not in drops]
+    kept = remaining
+    if len(remaining) > 1:
+        pairs = [(r[0], r[1], r[2]) for r in spearman_pairs(ranks, remaining).collect()]
+        mi = {f: gates[f]["mi"] for f in remaining}
+        kept = redundancy_prune(remaining, pairs, mi, corr_threshold)
+
+    def num(v):
+        return None if v is None else float(v)
+
+    rows = [(f, num(gates[f]["effect"]), num(gates[f]["mw_p_adj"]), num(gates[f]["mi"]),
+             num(gates[f]["null_q"]), num(gates[f]["mi_p_adj"]), int(f in candidates),
+             int(f in drops), int(f in remaining and f not in kept), int(f in kept))
+            for f in features if f in gates]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def screen_in_folds(long: DataFrame, folds: DataFrame, **kw) -> DataFrame:
+    """Selection *inside* cross-validation: for each fold f, :func:`screen`
+    on the rows of the other folds only, so a fold's labels never influence
+    the features chosen for scoring it.  ``folds`` is (id, fold); returns the
+    per-fold reports with a ``fold`` column (k screening runs, k bounded)."""
+    fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())
+    out = None
+    for f in fold_ids:
+        train_ids = folds.where(F.col("fold") != f).select("id")
+        rep = screen(long.join(train_ids, "id", "left_semi"), **kw) \
+            .withColumn("fold", F.lit(int(f)))
+        out = rep if out is None else out.unionByName(rep)
+    return out

@@ -251,24 +251,6 @@ HAVING stddev_pop(x) > 0 AND corr(x, y) IS NOT NULL
 ORDER BY abs(corr(x, y)) DESC, feature LIMIT 3"""
 
 
-def _selection(spark, sf, candidates):
-    """Partial-Spearman drops and the greedy redundancy walk over per-feature
-    tables (features and feature pairs only reach the driver)."""
-    ranks = rank_table(spark, sf)
-    tests = [(f, c) for f, c in PARTIAL_TESTS if f in candidates and all(x in candidates for x in c)]
-    drops = set()
-    if tests:
-        ps = stats.partial_spearman(ranks, tests).collect()
-        drops = {r["feature"] for r in ps if r["p_value"] is None or r["p_value"] >= PARTIAL_ALPHA}
-    remaining = [c for c in candidates if c not in drops]
-    kept = remaining
-    if len(remaining) > 1:
-        pairs = [(r[0], r[1], r[2]) for r in stats.spearman_pairs(ranks, remaining).collect()]
-        mi = {r["feature"]: r["mi"] for r in stats.mi_knn(long_form(spark, sf), K_NEIGHBORS).collect()}
-        kept = stats.redundancy_prune(remaining, pairs, mi, CORR_THRESHOLD)
-    return drops, kept
-
-
 def redundancy_prune(spark, sf):
     ranks = rank_table(spark, sf)
     pairs = [(r[0], r[1], r[2]) for r in stats.spearman_pairs(ranks, FEATURES).collect()]
@@ -279,19 +261,14 @@ def redundancy_prune(spark, sf):
 
 
 def screen_report(spark, sf):
-    """The reference's four stages with its estimators: Mann-Whitney + BH,
-    kNN-MI permutation test + BH, partial Spearman, kNN-MI-ranked redundancy."""
-    g = screen_gates(spark, sf, estimator="knn")
-    gates = {r["feature"]: r for r in g.collect()}  # one row per feature
-    candidates = [f for f in FEATURES if gates[f]["mw_reject"] and gates[f]["mi_reject"]]
-    drops, kept = _selection(spark, sf, candidates)
-    rows = [(f, float(gates[f]["effect"]), float(gates[f]["mw_p_adj"]), float(gates[f]["mi"]),
-             float(gates[f]["null_q"]), float(gates[f]["mi_p_adj"]), int(f in candidates),
-             int(f in drops), int(f in candidates and f not in drops and f not in kept),
-             int(f in kept)) for f in FEATURES]
-    schema = ("feature string, mw_effect double, mw_p_adj double, mi double, mi_null_q double, "
-              "mi_p_adj double, passed_tests int, partial_drop int, redundant_drop int, selected int")
-    return spark.createDataFrame(rows, schema)
+    """The reference's four stages with its estimators (Mann-Whitney + BH,
+    kNN-MI permutation test + BH, partial Spearman, kNN-MI-ranked redundancy),
+    selecting on all labelled rows as the reference does; see
+    ``stats.screen_in_folds`` for selection inside folds."""
+    return stats.screen(long_form(spark, sf), FEATURES, PARTIAL_TESTS, n_perms=N_PERMS,
+                        estimator="knn", k=K_NEIGHBORS, bins=BINS, mw_alpha=MW_ALPHA,
+                        mi_alpha=MI_ALPHA, partial_alpha=PARTIAL_ALPHA,
+                        corr_threshold=CORR_THRESHOLD)
 
 
 def cov_matrix(spark, sf):

@@ -68,3 +68,24 @@ def test_mann_whitney_mi_spearman_properties(spark, rows):
     ab = stats.spearman_pairs(rw, ["a", "b"]).collect()[0]["rho"]
     ba = stats.spearman_pairs(rw, ["b", "a"]).collect()[0]["rho"]
     assert (ab is None and ba is None) or ab == pytest.approx(ba)
+
+
+def test_screen_and_screen_in_folds(spark):
+    import random
+    rnd = random.Random(2)
+    rows = []
+    for i in range(160):
+        y = rnd.randint(0, 1)
+        a = y * 3 + rnd.random()          # informative
+        rows.append((i, y, a, a * 2.0 + 0.001 * rnd.random(), rnd.random()))  # b ~ a, c noise
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double, c double")
+    long = stats.to_long(df, "id", "y", ["a", "b", "c"])
+    rep = {r["feature"]: r for r in stats.screen(long, ["a", "b", "c"], n_perms=19,
+                                                 estimator="binned", bins=4).collect()}
+    assert rep["a"]["passed_tests"] == 1 and rep["b"]["passed_tests"] == 1
+    assert rep["c"]["selected"] == 0
+    assert rep["a"]["selected"] + rep["b"]["selected"] == 1  # redundant pair, one kept
+    folds = df.select("id", (F.col("id") % 3).alias("fold"))
+    per = stats.screen_in_folds(long, folds, features=["a", "b", "c"], n_perms=9,
+                                estimator="binned", bins=4).collect()
+    assert sorted({r["fold"] for r in per}) == [0, 1, 2] and len(per) == 9

@@ -34,7 +34,6 @@ def test_sorted_prefix_matches_window_across_buckets(spark):
     pdf["before"] = pdf.groupby("g")["n"].cumsum() - pdf["n"]
     want = {(g, x): b for g, x, b in pdf[["g", "x", "before"]].itertuples(index=False)}
     assert got == want
-    assert len({ranking.log_bucket(F.lit(v)) is not None for v in vals}) == 1
 
 
 def test_log_bucket_is_monotone(spark):

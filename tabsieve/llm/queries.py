@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import tokenfile
+from . import mixing, tokenfile
 from .common import read
 
 
@@ -31,6 +31,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, read(spark, sf_dir, "documents"))
 
 
+def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    return mixing.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),
     "op10_token_files": (op10_token_files, None),
 }

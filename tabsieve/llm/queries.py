@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, tokenfile
+from . import mixing, quality, tokenfile
 from .common import read
 
 
@@ -36,7 +36,14 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of the decision list learned from ``labels``."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op9_quality_rules": (op9_quality_rules, None),  # the list is learned
     "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),
     "op10_token_files": (op10_token_files, None),
 }

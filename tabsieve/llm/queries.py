@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, quality, tokenfile
+from . import mixing, quality, tokencount, tokenfile
 from .common import read
 
 
@@ -31,6 +31,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, read(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents in the byte-level vocabulary."""
+    return tokencount.token_counts(read(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mixing.report(read(spark, sf_dir, "documents"))
@@ -43,6 +49,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_token_counts": (op5_token_counts, None),
     "op9_quality_rules": (op9_quality_rules, None),  # the list is learned
     "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),
     "op10_token_files": (op10_token_files, None),

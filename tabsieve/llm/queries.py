@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, quality, tokencount, tokenfile
+from . import mixing, quality, simhash, tokencount, tokenfile
 from .common import read
 
 
@@ -31,6 +31,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, read(spark, sf_dir, "documents"))
 
 
+def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""
+    return simhash.groups(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents in the byte-level vocabulary."""
     return tokencount.token_counts(read(spark, sf_dir, "documents"),
@@ -49,6 +54,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_golay_simhash": (op4_golay_simhash, None),
     "op5_token_counts": (op5_token_counts, None),
     "op9_quality_rules": (op9_quality_rules, None),  # the list is learned
     "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),

@@ -5,7 +5,7 @@ doubly linked list of bytes, a heap holds every adjacent pair that has a merge
 rank, and the pair of lowest rank (leftmost first) is merged until none is
 left.  A piece's count is its symbols minus its merges; no ids are made.
 
-Tasks keep the counts of pieces seen lately in a bounded two-generation cache;
+Workers keep the counts of pieces seen lately in a bounded two-generation cache;
 pieces longer than ``CACHED_BYTES`` are never kept.  Counting is row-wise: no
 shuffle, memory bounded by one Arrow batch plus the cache.
 
@@ -16,6 +16,7 @@ with NULL or repeated ids give one row each; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 from collections.abc import Iterator
@@ -126,6 +127,12 @@ class Counter:
         return sum(map(self.plain, parts)) + len(parts) - 1
 
 
+@functools.cache
+def shared(path: str) -> Counter:
+    """The Python worker's counter, so that its next tasks find its cache filled."""
+    return Counter(path)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) per document."""
@@ -133,7 +140,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(tokenizer_path)
+        counter = shared(tokenizer_path)
         for b in batches:
             n = [counter(t.as_py()) for t in b["text"]]
             size = pa.compute.fill_null(pa.compute.binary_length(b["text"]), 0).cast(pa.int64())

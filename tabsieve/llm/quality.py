@@ -83,6 +83,18 @@ def feature(s: Column, name: str) -> Column:
             "repeat_share": s["n_repeat_words"] / n}[name]
 
 
+def _thresholds(x: np.ndarray, bad: np.ndarray) -> list[tuple[str, float]]:
+    """Candidate tests of one feature: at quantiles of all documents and of the
+    low-quality ones, each moved half way to the next value outside."""
+    values = np.unique(x)
+    at = np.unique(np.concatenate([np.quantile(v, np.linspace(0, 1, 129), method="nearest")
+                                   for v in (x, x[bad]) if len(v)]))
+    k = np.searchsorted(values, at)
+    low = (at + values[np.maximum(k - 1, 0)]) / 2
+    high = (at + values[np.minimum(k + 1, len(values) - 1)]) / 2
+    return [(">=", float(v)) for v in low] + [("<=", float(v)) for v in high]
+
+
 @dataclass
 class Rule:
     """A conjunction of (feature, ">=" or "<=", threshold) that rejects."""
@@ -121,8 +133,7 @@ def learn(docs: DataFrame, labels: DataFrame, min_precision: float = 0.95, min_s
     prune = np.array([r["prune"] for r in rows])
     order = np.lexsort((*x.T, bad, prune))  # the same list whatever order the rows came in
     x, bad, prune = x[order], bad[order], prune[order]
-    tests = [(f, op, float(v)) for j, f in enumerate(FEATURES)
-             for v in np.unique(np.quantile(x[:, j], np.linspace(0, 1, 129), method="nearest")) for op in (">=", "<=")]
+    tests = [(f, op, v) for j, f in enumerate(FEATURES) for op, v in _thresholds(x[:, j], bad)]
     masks = {t: (x[:, FEATURES.index(t[0])] >= t[2]) if t[1] == ">=" else (x[:, FEATURES.index(t[0])] <= t[2])
              for t in tests}
 

@@ -20,6 +20,7 @@ cannot leave partial files, and any store that Spark can write works.
 
 from __future__ import annotations
 
+import functools
 import io
 import os
 import struct
@@ -90,6 +91,12 @@ class WordIds:
                 self.old, self.young = self.young, {}
 
 
+@functools.cache
+def shared(path: str) -> WordIds:
+    """The Python worker's encoder, so that its next tasks find its cache filled."""
+    return WordIds(path)
+
+
 class Packer:
     """Builds one file; ``add`` documents in order, then ``finish``."""
 
@@ -191,7 +198,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, out = WordIds(tokenizer_path), None
+        ids, out = shared(tokenizer_path), None
         end = struct.pack("<I", end_id)
 
         def file(p: Packer) -> pa.RecordBatch:

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import chat, decontam, mixing, quality, simhash, tokencount, tokenfile
+from . import chat, decontam, linechunks, mixing, quality, simhash, tokencount, tokenfile
 from .common import read
 
 
@@ -41,6 +41,11 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed of every document as parts of repeated chunks."""
+    return linechunks.report(read(spark, sf_dir, "documents"))
+
+
 def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""
     return simhash.groups(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -66,6 +71,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_collapse": (op1_chat_collapse, chat.SQL),
     "op2_string_tiling": (op2_string_tiling, None),
+    "op3_line_chunks": (op3_line_chunks, None),
     "op4_golay_simhash": (op4_golay_simhash, None),
     "op5_token_counts": (op5_token_counts, None),
     "op9_quality_rules": (op9_quality_rules, None),  # the list is learned

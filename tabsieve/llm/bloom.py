@@ -1,6 +1,6 @@
 """A Bloom filter of 64-bit hashes, built by Spark and of bounded size.
 
-At most ``MAX_BITS`` bits (2 MB) reach the driver and the tasks, whatever the
+At most ``max_bits`` bits (2 MB by default) reach the driver and the tasks, whatever the
 number of keys.  It only thins rows out ahead of an exact join: beyond its
 capacity more rows get through, and results stay the same.
 """
@@ -30,15 +30,15 @@ class Bloom:
         return first[self._at((h[first] << np.uint64(32)) >> self.shift) == 1]
 
 
-def build(keys: DataFrame, n: int) -> Bloom:
+def build(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> Bloom:
     """Filter of the long column ``h`` of ``keys``, sized for ``n`` keys."""
-    size = min(max(1 << (max(n, 1) * BITS_PER_KEY - 1).bit_length(), MIN_BITS), MAX_BITS)
+    size = min(max(1 << (max(n, 1) * BITS_PER_KEY - 1).bit_length(), MIN_BITS), max_bits)
     shift = 64 - (size.bit_length() - 1)
     slots = keys.select(F.explode(F.array(F.shiftrightunsigned("h", shift), F.shiftrightunsigned(
         F.shiftleft("h", 32), shift))).alias("slot"))
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
     out = np.zeros(size >> 6, np.int64)
-    for r in words.collect():  # at most MAX_BITS / 64 rows of two numbers
+    for r in words.collect():  # at most max_bits / 64 rows of two numbers
         out[r.word] = r.bits
     return Bloom(size, out.view(np.uint64))

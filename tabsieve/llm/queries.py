@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import chat, decontam, linechunks, mixing, quality, simhash, tokencount, tokenfile, urlfilter
+from . import chat, decontam, linechunks, mixing, quality, runindex, simhash, tokencount, tokenfile, urlfilter
 from .common import read
 
 
@@ -67,6 +67,11 @@ def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(read(spark, sf_dir, "pages"))
 
 
+def op8_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed of every document as parts of earlier 100-byte strings."""
+    return runindex.report(read(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of the decision list learned from ``labels``."""
     docs = read(spark, sf_dir, "documents")
@@ -80,6 +85,7 @@ QUERIES = {
     "op4_golay_simhash": (op4_golay_simhash, None),
     "op5_token_counts": (op5_token_counts, None),
     "op7_url_ratio": (op7_url_ratio, None),  # the models are learned
+    "op8_run_index": (op8_run_index, None),
     "op9_quality_rules": (op9_quality_rules, None),  # the list is learned
     "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),
     "op10_token_files": (op10_token_files, None),

@@ -26,11 +26,10 @@ HEADLINE = ["prestige", "prestige_oof", "stratified_folds", "impute_bucket_media
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    os.environ.setdefault("BENCH_CPUS", cpus)
     from tabsieve.plans import catalog
     from tabsieve.session import get_spark
 
-    spark = get_spark(master=f"local[{cpus}]")
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus), driver_memory="16g")
     qs = catalog.queries()
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q in qs]
     # warm-up: JVM, Python workers, parquet footers

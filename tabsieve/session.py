@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -10,45 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tabsieve") -> SparkSession:
-    """Session with AQE (coalesce + skew join) on and the UI off.
-
-    On a cluster ``master`` is left to spark-submit; locally it defaults to
-    ``local[$BENCH_CPUS]``.
-    """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app_name)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(os.environ.get("TABSIEVE_SHUFFLE_PARTITIONS", cpus))
+              driver_memory: str | None = None, app_name: str = "tabsieve") -> SparkSession:
+    """Session with AQE (coalesce + skew join) on and the UI off.  Master,
+    shuffle partitions and memory are the submitting side's unless given."""
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("TABSIEVE_DRIVER_MEMORY", "16g"),
+        "spark.master": master,
+        "spark.sql.shuffle.partitions": shuffle_partitions and str(shuffle_partitions),
+        "spark.driver.memory": driver_memory,
     }
+    builder = SparkSession.builder.appName(app_name)
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if v is not None:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (tests, laptops) fall back to a fresh scratch folder."""
+    """The cluster's shared folder, ``spark.checkpoint.dir``.  Only a local
+    master, whose executors share the driver's disk, may go without: it gets a
+    fresh scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tabsieve-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

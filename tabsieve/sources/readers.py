@@ -1,12 +1,17 @@
 """Typed readers and writers.
 
-* CSV scans take an explicit schema with every numeric field read as STRING,
-  then ``try_cast`` (schema inference on a sample can pick BIGINT and make a
-  later ``NULLIF(x, '\\N')`` fail); malformed rows are dropped.
+* CSV scans read every field as text with a ``_rejected`` column that holds the
+  raw line of a row that does not fit the header (and NULL otherwise): nothing
+  is lost unseen.  :func:`read_csv` drops such rows or fails on them, as asked;
+  :func:`count_rejected` counts them.  Types come from ``try_cast`` afterwards,
+  so ``5.0`` in an integer column is 5 and a word is NULL; no row is dropped for
+  its values.
+* Files may lack columns (hidden splits have no label): absent ones are NULL.
 * Column-oriented JSON (``{"movie": {"0": .., ..}, "director": {"0": .., ..}}``)
-  is read as two maps and paired *by key*.  Note: such a file is one JSON
-  document, hence one row and one task; convert it once to JSON Lines or
-  Parquet when it is large.  Array-of-records JSON is read row per element.
+  is read as two maps and paired *by key*.  Such a file is one JSON document,
+  hence one row and one task; convert it once to JSON Lines or Parquet when it
+  is large.  Records are read as JSON Lines (a file is split by lines) or, when
+  asked, as one JSON array per file.
 * Optional inputs are probed through the Hadoop FileSystem of the path, so the
   same code works on local disk, HDFS or object stores.
 * Splits are one table with a ``split`` column, written ``partitionBy('split')``.
@@ -14,12 +19,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+REJECTED = "_rejected"
+
 # Column layout of the raw title CSV files (all read as text).
 MOVIE_CSV_COLUMNS = ["tconst", "primaryTitle", "originalTitle", "startYear", "endYear",
                      "runtimeMinutes", "numVotes", "label"]
@@ -56,49 +64,93 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
-def path_size(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` (file or directory), from its Hadoop FileSystem."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem access
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(conf).getContentSummary(p).getLength())
-
-
 def read_optional(spark: SparkSession, path: str, reader) -> DataFrame | None:
     """``reader(spark, path)`` when the path exists, else None (skip the step)."""
     return reader(spark, path) if path_exists(spark, path) else None
 
 
+def lenient(text: Column, to: T.DataType) -> Column:
+    """Text -> ``to``, NULL where it does not fit; a whole number may be written
+    with a decimal point."""
+    if isinstance(to, T.StringType):
+        return text
+    out = F.trim(text).try_cast(to)
+    if isinstance(to, T.IntegralType):
+        exact = F.trim(text).try_cast("decimal(38,9)")
+        out = F.coalesce(out, F.when(exact == F.floor(exact), exact).try_cast(to))
+    return out
+
+
+def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, header: bool = True,
+             **options) -> DataFrame:
+    """Text columns of a CSV (file, directory or glob; one layout) and ``_rejected``.
+
+    With a header its names decide which field is which; ``columns`` (default:
+    all) picks and orders them, and absent ones are NULL.  Lines are parsed
+    whole whatever columns are used: a parser that skips fields cannot see
+    that there are too many or too few."""
+    options = {"quote": '"', "escape": '"', "columnPruning": False} | options
+    reader = spark.read.option("mode", "PERMISSIVE").option("header", header).options(**options)
+    there = reader.csv(path).columns if header else list(columns)  # reads the first line
+    df = reader.schema(string_schema([*there, REJECTED])) \
+        .option("columnNameOfCorruptRecord", REJECTED).csv(path)
+    wanted = there if columns is None else columns
+    return df.select(*[(F.col(f"`{c}`") if c in there else F.lit(None).cast("string")).alias(c) for c in wanted],
+                     REJECTED)
+
+
+def count_rejected(scan: DataFrame) -> int:
+    """Rows of a :func:`scan_csv` that do not fit the header."""
+    # Spark refuses to read the raw line alone, so another column goes along
+    return scan.agg(F.count(REJECTED).alias("n"), F.max(scan.columns[0])).first()["n"]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | Sequence[str],
-             header: bool = True, drop_malformed: bool = True, null_value: str | None = None,
+             header: bool = True, on_bad: str = "fail", null_value: str | None = None,
              multiline: bool = False, quote: str = '"', escape: str = '"') -> DataFrame:
-    """CSV (file, directory or glob) with an explicit schema."""
+    """CSV with an explicit schema.  Rows with more or fewer fields than the
+    header make the read fail (``on_bad='fail'``) or are left out ('drop')."""
     if not isinstance(schema, T.StructType):
         schema = string_schema(schema)
-    r = (spark.read.schema(schema).option("header", header)
-         .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-         .option("multiLine", multiline).option("quote", quote).option("escape", escape))
+    if on_bad not in ("fail", "drop"):
+        raise ValueError("on_bad is 'fail' or 'drop'")
+    options = {"multiLine": multiline, "quote": quote, "escape": escape}
     if null_value is not None:
-        r = r.option("nullValue", null_value)
-    return r.csv(path)
+        options["nullValue"] = null_value
+    scan = scan_csv(spark, path, schema.names, header, **options)
+    if on_bad == "drop":
+        scan = scan.filter(F.col(REJECTED).isNull())
+    else:
+        first = schema.names[0]
+        scan = scan.withColumn(first, F.when(F.col(REJECTED).isNotNull(), F.raise_error(F.concat(
+            F.lit("malformed CSV row: "), REJECTED)).cast("string")).otherwise(F.col(first)))
+    return scan.select(*[lenient(F.col(f.name), f.dataType).alias(f.name) for f in schema])
 
 
 def read_movie_csv(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Raw title CSVs (glob) as text columns, plus an optional ``split`` literal."""
-    df = read_csv(spark, path, MOVIE_CSV_COLUMNS)
+    """Raw title CSVs (glob) as text columns, plus an optional ``split``
+    literal.  Malformed rows are skipped (count them with ``count_rejected(scan_csv(..))``);
+    a hidden split without label gets a NULL one."""
+    df = read_csv(spark, path, MOVIE_CSV_COLUMNS, on_bad="drop")
     return df.withColumn("split", F.lit(split)) if split else df
 
 
 def read_csv_with_header(spark: SparkSession, path: str, **options) -> DataFrame:
-    """CSV whose header drifts between versions: all columns as text, names
-    normalised (trim, lower, spaces -> _)."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "DROPMALFORMED").options(**options).csv(path))
-    return normalize_headers(df)
+    """CSV whose header drifts between versions: all columns as text under
+    normalised names; malformed rows are left out."""
+    scan = scan_csv(spark, path, None, True, **options)
+    return normalize_headers(scan.filter(F.col(REJECTED).isNull()).drop(REJECTED))
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
+    """Byte-order mark dropped, runs of white space as one underscore, lower
+    case; a name that comes again gets its ordinal."""
+    names: list[str] = []
+    for raw in df.columns:
+        name = re.sub(r"\s+", "_", raw.lstrip("\ufeff").strip()).lower()
+        n = sum(x == name or re.fullmatch(re.escape(name) + r"_\d+", x) is not None for x in names)
+        names.append(f"{name}_{n + 1}" if n else name)
+    return df.toDF(*names)
 
 
 def read_column_json(spark: SparkSession, path: str, key_field: str, value_field: str,
@@ -113,9 +165,10 @@ def read_column_json(spark: SparkSession, path: str, key_field: str, value_field
 
 
 def read_records_json(spark: SparkSession, path: str, rename: dict[str, str],
-                      schema: T.StructType | None = None) -> DataFrame:
-    """JSON array of records (or JSON Lines) -> selected, renamed columns."""
-    r = spark.read.option("multiLine", True)
+                      schema: T.StructType | None = None, lines: bool = True) -> DataFrame:
+    """JSON records -> selected, renamed columns: one record a line (files are
+    split), or with ``lines=False`` one array of records a file (one task each)."""
+    r = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
     if schema is not None:
         r = r.schema(schema)
     df = r.json(path)

@@ -12,6 +12,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tabsieve.session import get_spark
-    s = get_spark(master="local[*]", shuffle_partitions=8)
+    s = get_spark(master="local[*]", shuffle_partitions=8, driver_memory="16g")
     yield s
     s.stop()

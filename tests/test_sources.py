@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabsieve.functions import scalar as S
@@ -58,7 +59,8 @@ def test_records_json(spark):
     p = os.path.join(d, "writing.json")
     with open(p, "w") as fh:
         json.dump([{"movie": "tt1", "writer": "nm1"}, {"movie": "tt1", "writer": "nm2"}], fh)
-    df = readers.read_records_json(spark, p, {"movie": "tconst", "writer": "writer_id"})
+    df = readers.read_records_json(spark, p, {"movie": "tconst", "writer": "writer_id"},
+                                   lines=False)
     assert df.columns == ["tconst", "writer_id"] and df.count() == 2
 
 
@@ -150,3 +152,45 @@ def test_external_features(spark):
     assert b["ml_rating_std"] == 0.0 and b["ml_tag_count"] == 0 and b["genre_count"] == 1
     assert a["mltag_feel_good"] == 0.9 and a["mltag_dark"] == 0.2 and b["mltag_dark"] is None
     assert "masterpiece" in missing and "dark" not in missing
+
+
+def test_json_lines_are_all_read(spark):
+    p = os.path.join(_scratch(), "writing.json")
+    with open(p, "w") as fh:
+        fh.writelines(json.dumps({"movie": f"tt{i}", "writer": "nm1"}) + "\n" for i in range(100))
+    df = readers.read_records_json(spark, p, {"movie": "tconst", "writer": "writer_id"})
+    assert df.select("tconst").distinct().count() == 100
+
+
+def test_hidden_split_without_label(spark):
+    p = os.path.join(_scratch(), "hidden-1.csv")
+    with open(p, "w") as fh:
+        fh.write(",".join(readers.MOVIE_CSV_COLUMNS[:-1]) + "\n")
+        fh.write("tt1,One,,1999,\\N,90,10\ntt2,Two,,2000,\\N,95,20\n")
+    rows = readers.read_movie_csv(spark, p, split="hidden").orderBy("tconst").collect()
+    assert [(r.tconst, r.numVotes, r.label, r.split) for r in rows] == [
+        ("tt1", "10", None, "hidden"), ("tt2", "20", None, "hidden")]
+
+
+def test_whole_numbers_with_decimal_point(spark):
+    p = os.path.join(_scratch(), "links.csv")
+    with open(p, "w") as fh:
+        fh.write("movieId,imdbId,tmdbId\n1,1234,5.0\n2,77,\n3,x,9.5\n")
+    rows = readers.read_external_csv(spark, p, "links").orderBy("movieId").collect()
+    assert [tuple(r) for r in rows] == [(1, 1234, 5), (2, 77, None), (3, None, None)]
+
+
+def test_malformed_rows_are_counted(spark):
+    p = os.path.join(_scratch(), "train-1.csv")
+    with open(p, "w") as fh:
+        fh.write(",".join(readers.MOVIE_CSV_COLUMNS) + "\n")
+        fh.write("tt1,One,,1999,\\N,90,10,True\ntt2,broken\ntt3,a,b,c,d,e,f,g,h,i\ntt4,Four,,2000,\\N,95,20,False\n")
+    assert {r.tconst for r in readers.read_movie_csv(spark, p).collect()} == {"tt1", "tt4"}
+    assert readers.count_rejected(readers.scan_csv(spark, p)) == 2
+    with pytest.raises(Exception, match="malformed CSV row"):
+        readers.read_csv(spark, p, readers.MOVIE_CSV_COLUMNS).collect()
+
+
+def test_drifting_headers(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["\ufeffPos  Nr", " title", "Title "])
+    assert readers.normalize_headers(df).columns == ["pos_nr", "title", "title_2"]

@@ -33,7 +33,7 @@ def final_plan(df) -> str:
 def main() -> None:
     args = sys.argv[1:]
     sf = args[0] if args and not args[0].startswith("--") else "/root/testdata/sf0.01"
-    spark = get_spark()
+    spark = get_spark(master="local[*]", shuffle_partitions=8, driver_memory="16g")
     qs = catalog.queries()
     if "--full" in args:
         key = args[args.index("--full") + 1]

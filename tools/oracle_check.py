@@ -97,6 +97,6 @@ if __name__ == "__main__":
     from tabsieve.session import get_spark
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     ks = sys.argv[2:] or None
-    res = check(get_spark(), sf, ks)
+    res = check(get_spark(master="local[*]", shuffle_partitions=8, driver_memory="16g"), sf, ks)
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")}
     print("FAILED:", sorted(bad) if bad else "none")

@@ -50,8 +50,9 @@ HASH_BUCKET_BITS = 20  # 2^20 buckets over a uniform 60-bit key
 def log_bucket(x: Column) -> Column:
     """Monotone non-decreasing bucket of a number: 0 for 0, positive for x > 0,
     negative for x < 0, width ~1/16384 in log scale (Java's log is
-    semi-monotonic, so the floor of a scaled log is monotone)."""
-    a = F.abs(x.cast("double"))
+    semi-monotonic, so the floor of a scaled log is monotone).  Infinities and
+    NaN (Spark's largest value) share the outermost buckets."""
+    a = F.least(F.abs(x.cast("double")), F.lit(1.7e308))
     k = F.floor(F.log(a) * F.lit(LOG_BUCKETS_PER_E)) + F.lit(800 * LOG_BUCKETS_PER_E + 1)
     return F.when(x > 0, k).when(x < 0, -k).otherwise(F.lit(0)).cast("long")
 

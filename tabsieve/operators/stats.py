@@ -17,16 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import average_rank, hashed_row_number, sorted_prefix
+from ..functions.ranking import average_rank, sorted_prefix
 from ..functions.special import normal_sf, student_t_two_sided
 from ..session import cut_lineage
 
 
 # ---------------------------------------------------------------- long form
 def to_long(df: DataFrame, id_col: str, label_col: str, features: Sequence[str]) -> DataFrame:
-    """Wide -> long (id, y, feature, x double)."""
+    """Wide -> long (id, y, feature, x double); NaN becomes NULL."""
     wide = df.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"),
-                     *[F.col(f).cast("double").alias(f) for f in features])
+                     *[F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias(f) for f in features])
     return wide.unpivot(["id", "y"], list(features), "feature", "x")
 
 
@@ -52,7 +52,8 @@ def row_ranks(long: DataFrame) -> DataFrame:
 def mann_whitney(long: DataFrame) -> DataFrame:
     """Per feature: two-sided Mann-Whitney U of class 0 vs class 1 with tie
     correction and continuity 1/2 (normal approximation), and the effect
-    ``1 - 2U/(n0 n1)``.  U is the class-0 statistic ``R0 - n0(n0+1)/2``."""
+    ``1 - 2U/(n0 n1)``.  U is the class-0 statistic ``R0 - n0(n0+1)/2``.  A
+    constant feature, or a missing class, has z NULL and p-value 1."""
     rv = ranked_values(long)
     per = rv.groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum(F.col("n") - F.col("n0")).alias("n1"),
@@ -60,11 +61,12 @@ def mann_whitney(long: DataFrame) -> DataFrame:
         F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("ties"))
     n0, n1, N = F.col("n0"), F.col("n1"), F.col("n0") + F.col("n1")
     u = F.col("r0") - n0 * (n0 + 1) / 2
-    sigma = F.sqrt(n0 * n1 / 12.0 * ((N + 1) - F.col("ties") / (N * (N - 1))))
-    z = (F.abs(u - n0 * n1 / 2.0) - 0.5) / sigma
+    sigma = F.sqrt(n0 * n1 / 12.0 * ((N + 1) - F.try_divide("ties", N * (N - 1))))
+    z = F.try_divide(F.abs(u - n0 * n1 / 2.0) - 0.5, sigma)
     return per.select("feature", "n0", "n1", u.alias("u"),
-                      (1 - 2 * u / (n0 * n1)).alias("effect"), z.alias("z"),
-                      F.least(F.lit(1.0), 2 * normal_sf(z)).alias("p_value"))
+                      (1 - F.try_divide(2 * u, n0 * n1)).alias("effect"), z.alias("z"),
+                      F.coalesce(F.least(F.when(z.isNotNull(), F.lit(1.0)), 2 * normal_sf(z)), F.lit(1.0))
+                      .alias("p_value"))
 
 
 # ------------------------------------------------------- Benjamini-Hochberg
@@ -115,22 +117,50 @@ def mi_binned(long: DataFrame, bins: int = 10) -> DataFrame:
     return mi_from_counts(counts, ["feature"])
 
 
+PERM_BUCKETS = 1 << 12
+
+
+def _perm_key(perm, id_col) -> "F.Column":
+    return F.md5(F.concat(perm.cast("string"), F.lit(":"), F.col(id_col).cast("string")))
+
+
+def permutation_cuts(rows: DataFrame, n_perms: int) -> list[str]:
+    """Per permutation the (md5, id) key, as one string, of the last row that
+    gets label 1: as many rows of least md5(perm ':' id) as carry label 1.
+
+    Rows are counted per (permutation, 1/4096 of the hash range) map-side, and
+    only the rows of the bucket in which the count is reached are ranked.
+    ``n_perms`` strings come back.  Ids may be of any type."""
+    n1 = rows.agg(F.coalesce(F.sum("y"), F.lit(0))).first()[0]
+    keyed = rows.select("id", F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1))).alias("perm"))
+    keyed = keyed.select("perm", F.concat(_perm_key(F.col("perm"), "id"), F.col("id").cast("string")).alias("key"))
+    keyed = keyed.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    upto = Window.partitionBy("perm").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    edge = keyed.groupBy("perm", "bucket").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(upto)) \
+        .filter((F.col("upto") >= n1) & (F.col("upto") - F.col("c") < n1)) \
+        .select("perm", "bucket", (n1 - (F.col("upto") - F.col("c"))).alias("nth"))  # a row per permutation
+    inside = keyed.join(F.broadcast(edge), ["perm", "bucket"])
+    found = inside.withColumn("rn", F.row_number().over(Window.partitionBy("perm").orderBy("key"))) \
+        .filter("rn = nth").select("perm", "key").collect()
+    cuts = dict((r["perm"], r["key"]) for r in found)
+    return [cuts.get(p, "") for p in range(n_perms)]  # no label 1: nothing is at or under ""
+
+
 def permuted_labels(rows: DataFrame, n_perms: int, id_col: str = "id",
                     label_col: str = "y") -> DataFrame:
-    """(perm, id, y): label of permutation ``perm`` for row ``id``.
-
-    Row i (i-th smallest id) receives the label of the row ranked i-th by
-    md5(perm ':' id).  Both ranks are exact row numbers computed in bounded
-    tasks; rows are replicated with ``explode(sequence)`` (no cross join)."""
-    base = rows.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
-    r0 = sorted_prefix(base, [], "__id", {"__r0": F.lit(1)}).select("__id", "__r0")
-    rep = base.select("__id", "__y", F.explode(F.sequence(F.lit(0), F.lit(n_perms - 1)))
-                      .alias("perm"))
-    rp = hashed_row_number(rep, "perm", "__id", salt="perm", out_col="__rp")
-    donors = rp.select("perm", F.col("__rp").alias("__r"), F.col("__y").alias("y"))
-    takers = (rep.select("perm", "__id").join(r0, "__id")
-              .select("perm", F.col("__id").alias(id_col), F.col("__r0").alias("__r")))
-    return takers.join(donors, ["perm", "__r"]).select("perm", id_col, "y")
+    """(perm, id, y): in permutation ``perm`` the rows of least md5(perm ':' id)
+    have label 1, as many as really do.  Labels are computed row by row from
+    the permutations' cut keys: no join and no order of the ids."""
+    base = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
+    labels = label_vector(permutation_cuts(base, n_perms), "id")
+    return base.select(F.col("id").alias(id_col), F.posexplode(labels).alias("perm", "y"))
+
+
+def label_vector(cuts: list[str], id_col: str) -> "F.Column":
+    """Array of a row's labels (0 or 1) in every permutation."""
+    known = F.array(*[F.lit(c) for c in cuts])
+    return F.transform(known, lambda cut, perm: F.when(
+        F.concat(_perm_key(perm, id_col), F.col(id_col).cast("string")) <= cut, 1).otherwise(0))
 
 
 def mi_permutation(long: DataFrame, n_perms: int = 100, bins: int = 10,
@@ -139,19 +169,21 @@ def mi_permutation(long: DataFrame, n_perms: int = 100, bins: int = 10,
     """Per feature: real binned MI, the ``quantile`` of its permutation null,
     and the empirical p-value ``(#{null >= real} + 1) / (P + 1)``.
 
-    All (perm, feature) MI values come from one grouped job: permuted labels
-    are joined to each row's bins, cell counts are combined map-side."""
+    All (perm, feature) MI values come from one grouped job: a row's bins meet
+    its label vector once, and only (perm, feature, bin, label) cells, combined
+    map-side, are shuffled."""
     rows = long.select("id", "y").distinct()
-    perm_y = permuted_labels(rows, n_perms)
     if estimator == "knn":
         # the reference's estimator; (perm, feature) groups in one plan
-        plong = long.drop("y").join(perm_y, "id")
+        plong = long.drop("y").join(permuted_labels(rows, n_perms), "id")
         null = mi_knn(plong, k, keys=("perm", "feature"), scale_from=long)
         real = mi_knn(long, k)
     elif estimator == "binned":
-        rb = rank_bins(long, bins)
-        pr = rb.drop("y").join(perm_y, "id")
-        counts = pr.groupBy("perm", "feature", "bin", "y").agg(F.count(F.lit(1)).alias("c"))
+        cuts = permutation_cuts(rows, n_perms)
+        per_id = rank_bins(long, bins).groupBy("id").agg(F.collect_list(F.struct("feature", "bin")).alias("bins"))
+        cells = per_id.select("bins", F.posexplode(label_vector(cuts, "id")).alias("perm", "y")) \
+            .select("perm", "y", F.explode("bins").alias("b")).select("perm", "y", "b.*")
+        counts = cells.groupBy("perm", "feature", "bin", "y").agg(F.count(F.lit(1)).alias("c"))
         null = mi_from_counts(counts, ["perm", "feature"])
         real = mi_binned(long, bins)
     else:
@@ -182,24 +214,30 @@ def rank_wide(long: DataFrame, features: Sequence[str], materialize: bool = True
 
 def spearman_pairs(wide_ranks: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature_a, feature_b, rho) for a < b in list order: Pearson of average
-    ranks, all pairs in one aggregation pass."""
+    ranks over the rows that have all of them, from one covariance matrix
+    summed up from Gram blocks.  A constant feature has rho NULL."""
     fs = list(features)
-    aggs = []
-    names = []
-    for i, a in enumerate(fs):
-        for b in fs[i + 1:]:
-            aggs.append(F.corr(F.col(a), F.col(b)).alias(f"{a}\u0001{b}"))
-            names.append((a, b))
-    row = wide_ranks.agg(*aggs)
-    stack = ", ".join(f"'{a}', '{b}', `{a}\u0001{b}`" for a, b in names)
-    return row.selectExpr(f"stack({len(names)}, {stack}) as (feature_a, feature_b, rho)")
+    vectors = wide_ranks.dropna(subset=fs).select(F.array(*[F.col(f"`{f}`") for f in fs]).alias("v"))
+    cov = cut_lineage(covariance_matrix(vectors, "v"))
+    var = cov.filter("i = j").select(F.col("i").alias("k"), F.col("cov").alias("var"))
+    names = F.array(*[F.lit(f) for f in fs])
+    rho = F.try_divide("cov", F.sqrt(F.col("va") * F.col("vb")))
+    return cov.filter("i < j").join(var.select(F.col("k").alias("i"), F.col("var").alias("va")), "i") \
+        .join(var.select(F.col("k").alias("j"), F.col("var").alias("vb")), "j") \
+        .select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"),
+                rho.alias("rho"))
+
+
+def _pearson(a: str, b: str) -> "F.Column":
+    """Correlation, NULL where one side is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+                                                  * F.var_pop(F.when(F.col(a).isNotNull(), F.col(b)))))
 
 
 def point_biserial_top(long: DataFrame, top_n: int) -> DataFrame:
     """Top-N features by |corr(y, x)|, constant features skipped; ties by name."""
-    per = long.groupBy("feature").agg(F.corr("x", "y").alias("r"),
-                                      F.stddev_pop("x").alias("__sd"))
-    return (per.where((F.col("__sd") > 0) & F.col("r").isNotNull())
+    per = long.groupBy("feature").agg(_pearson("x", "y").alias("r"))
+    return (per.where(F.col("r").isNotNull())
             .select("feature", F.abs("r").alias("abs_r"))
             .orderBy(F.desc("abs_r"), F.asc("feature")).limit(top_n))
 
@@ -207,9 +245,11 @@ def point_biserial_top(long: DataFrame, top_n: int) -> DataFrame:
 def partial_spearman(wide_ranks: DataFrame, tests: Sequence[tuple[str, Sequence[str]]],
                      label: str = "__label") -> DataFrame:
     """For each (feature, controls): regress the ranks of feature and label on
-    the ranks of 1-2 controls (least squares from ``covar_pop``), rank the
+    the ranks of the controls (least squares from ``covar_pop``), rank the
     residuals (rounded to 9 places so float noise does not break ties) and
-    correlate them.  Returns (feature, controls, n, rho, t_stat, p_value).
+    correlate them.  Returns (feature, controls, n, rho, t_stat, p_value); a
+    residual without spread has rho and t_stat NULL and p-value 1, a perfect
+    one t_stat NULL and p-value 0.
 
     One aggregation pass gives every moment of every test (a handful of
     numbers); residuals of all tests are ranked together (partitioned by test)
@@ -227,19 +267,13 @@ def partial_spearman(wide_ranks: DataFrame, tests: Sequence[tuple[str, Sequence[
         return mom[f"c|{a}|{b}"]
 
     def resid(t, cs):
-        if len(cs) == 1:
-            c = cs[0]
-            b1 = cov(t, c) / cov(c, c)
-            a0 = mom[f"m|{t}"] - b1 * mom[f"m|{c}"]
-            return F.col(t) - (F.lit(a0) + F.lit(b1) * F.col(c))
-        if len(cs) == 2:
-            c1, c2 = cs
-            det = cov(c1, c1) * cov(c2, c2) - cov(c1, c2) ** 2
-            b1 = (cov(t, c1) * cov(c2, c2) - cov(t, c2) * cov(c1, c2)) / det
-            b2 = (cov(t, c2) * cov(c1, c1) - cov(t, c1) * cov(c1, c2)) / det
-            a0 = mom[f"m|{t}"] - b1 * mom[f"m|{c1}"] - b2 * mom[f"m|{c2}"]
-            return F.col(t) - (F.lit(a0) + F.lit(b1) * F.col(c1) + F.lit(b2) * F.col(c2))
-        raise ValueError("1 or 2 controls supported")
+        # pseudo-inverse: constant or collinear controls explain nothing more
+        gram = np.array([[cov(a, b) for b in cs] for a in cs])
+        beta = np.linalg.pinv(gram, rcond=1e-10, hermitian=True) @ np.array([cov(t, c) for c in cs])
+        fitted = F.lit(float(mom[f"m|{t}"] - sum(b * mom[f"m|{c}"] for b, c in zip(beta, cs))))
+        for b, c in zip(beta, cs):
+            fitted = fitted + F.lit(float(b)) * F.col(c)
+        return F.col(t) - fitted
 
     rcols = []
     for i, (f, cs) in enumerate(tests):
@@ -254,7 +288,7 @@ def partial_spearman(wide_ranks: DataFrame, tests: Sequence[tuple[str, Sequence[
     paired = rr.groupBy("test", "id").agg(
         F.max(F.when(F.col("kind") == "x", F.col("rank"))).alias("rx"),
         F.max(F.when(F.col("kind") == "y", F.col("rank"))).alias("ry"))
-    stat = paired.groupBy("test").agg(F.corr("rx", "ry").alias("rho"),
+    stat = paired.groupBy("test").agg(_pearson("rx", "ry").alias("rho"),
                                       F.count(F.lit(1)).alias("n"))
     names = F.create_map(*[x for i, (f, cs) in enumerate(tests)
                            for x in (F.lit(i), F.lit(f))])
@@ -262,28 +296,30 @@ def partial_spearman(wide_ranks: DataFrame, tests: Sequence[tuple[str, Sequence[
                           for x in (F.lit(i), F.lit(",".join(cs)))])
     out = stat.select(names[F.col("test")].alias("feature"), ctrl[F.col("test")].alias("controls"),
                       "n", "rho")
-    t = F.col("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") * F.col("rho")))
+    left = F.greatest(1 - F.col("rho") * F.col("rho"), F.lit(0.0))
+    t = F.when(left > 0, F.col("rho") * F.sqrt(F.try_divide(F.col("n") - 2, left)))
+    p = student_t_two_sided(F.col("t_stat"), (F.col("n") - 2).cast("double"))
     return out.withColumn("t_stat", t).withColumn(
-        "p_value", student_t_two_sided(F.col("t_stat"), (F.col("n") - 2).cast("double")))
-
-
-def redundancy_prune(candidates: Sequence[str], rho_pairs: list[tuple[str, str, float]],
-                     mi: dict[str, float], threshold: float = 0.85) -> list[str]:
-    """Greedy walk in candidate order over pairs (a before b): if |rho| >
-    threshold and neither is dropped yet, drop the one with lower MI; equal MI
-    drops the later one.  Runs on the per-pair table (features^2 rows)."""
-    rho = {(a, b): r for a, b, r in rho_pairs}
-    rho.update({(b, a): r for a, b, r in rho_pairs})
-    dropped: set[str] = set()
-    cands = list(candidates)
-    for i, a in enumerate(cands):
-        for b in cands[i + 1:]:
-            if a in dropped or b in dropped:
-                continue
-            r = rho.get((a, b))
-            if r is not None and abs(r) > threshold:
-                dropped.add(a if mi.get(a, 0.0) < mi.get(b, 0.0) else b)
-    return [c for c in cands if c not in dropped]
+        "p_value", F.when(F.col("rho").isNull() | (F.col("n") < 3), 1.0).when(F.col("t_stat").isNull(), 0.0).otherwise(p))
+
+
+def conflicts(wide_ranks: DataFrame, features: Sequence[str], threshold: float = 0.85) -> list[tuple[str, str]]:
+    """Pairs of features with |Spearman| over ``threshold``; the rest of the
+    matrix stays in Spark."""
+    over = spearman_pairs(wide_ranks, features).filter(F.abs("rho") > threshold)
+    return [(r["feature_a"], r["feature_b"]) for r in over.collect()]
+
+
+def redundancy_prune(candidates: Sequence[str], pairs: Sequence[tuple[str, str]], mi: dict[str, float]) -> list[str]:
+    """Features left when every conflicting pair, in candidate order, loses its
+    member of lower MI (of equal MI the later one) unless one is gone already."""
+    place = {f: i for i, f in enumerate(candidates)}
+    edges = sorted(tuple(sorted((place[a], place[b]))) for a, b in pairs if a in place and b in place)
+    alive = set(place.values())
+    for edge in edges:
+        if alive.issuperset(edge):
+            alive.remove(min(edge, key=lambda i: (mi.get(candidates[i], 0.0), -i)))
+    return [f for f in candidates if place[f] in alive]
 
 
 # ------------------------------------------------------- covariance and PCA
@@ -340,7 +376,7 @@ def pca_scores(df: DataFrame, id_col: str, vec_col: str, k: int = 30,
 def hash_uniform(*cols) -> "F.Column":
     """Deterministic pseudo-uniform in [-0.5, 0.5) from md5 of the columns."""
     h = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in cols]))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) - F.lit(0.5)
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52)) - F.lit(0.5)
 
 
 def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
@@ -431,8 +467,9 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
                                         F.lit(2).alias("kind"), F.lit(0).alias("w"))))
     swept = sorted_prefix(events, K, "val", {"before": "w"}, tie_cols=["kind", "id"])
     bounds = swept.where(F.col("kind") != 1).groupBy(*K, "id").agg(
-        (F.max(F.when(F.col("kind") == 0, F.col("before")))
-         - F.max(F.when(F.col("kind") == 2, F.col("before")))).alias("m"))
+        # a radius of 0 (more ties than the jitter tells apart) counts the ties
+        F.abs(F.max(F.when(F.col("kind") == 0, F.col("before")))
+              - F.max(F.when(F.col("kind") == 2, F.col("before")))).alias("m"))
     per_row = withr.join(bounds, [*K, "id"]).select(
         *K, F.col("kc").cast("double").alias("kc"), F.col("nc").cast("double").alias("nc"),
         F.greatest(F.col("m"), F.lit(1)).cast("double").alias("m"))
@@ -485,9 +522,8 @@ def screen(long: DataFrame, features: Sequence[str],
     remaining = [c for c in candidates if c not in drops]
     kept = remaining
     if len(remaining) > 1:
-        pairs = [(r[0], r[1], r[2]) for r in spearman_pairs(ranks, remaining).collect()]
-        mi = {f: gates[f]["mi"] for f in remaining}
-        kept = redundancy_prune(remaining, pairs, mi, corr_threshold)
+        kept = redundancy_prune(remaining, conflicts(ranks, remaining, corr_threshold),
+                                {f: gates[f]["mi"] for f in remaining})
 
     def num(v):
         return None if v is None else float(v)

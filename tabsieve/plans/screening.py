@@ -91,10 +91,10 @@ def _mi_sql(src: str, keys: str) -> str:
 PERM_BODY = BINS_CTE + f""",
 rmi AS ({_mi_sql("(SELECT feature, bin, y, count(*) AS c FROM rb GROUP BY feature, bin, y)", "feature")}),
 rws AS (SELECT DISTINCT id, y FROM long),
-r0 AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r FROM rws),
-rep AS (SELECT p.range AS perm, rws.id, rws.y FROM rws CROSS JOIN range({N_PERMS}) p),
-rp AS (SELECT perm, y, row_number() OVER (PARTITION BY perm ORDER BY md5(CAST(perm AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) - 1 AS r FROM rep),
-py AS (SELECT rp.perm, r0.id, rp.y FROM r0 JOIN rp ON rp.r = r0.r),
+rep AS (SELECT p.range AS perm, rws.id FROM rws CROSS JOIN range({N_PERMS}) p),
+py AS (SELECT perm, id, CASE WHEN row_number() OVER (
+         PARTITION BY perm ORDER BY md5(CAST(perm AS VARCHAR) || ':' || CAST(id AS VARCHAR)) || CAST(id AS VARCHAR))
+         <= (SELECT sum(y) FROM rws) THEN 1 ELSE 0 END AS y FROM rep),
 pc AS (SELECT py.perm, rb.feature, rb.bin, py.y, count(*) AS c FROM rb JOIN py ON py.id = rb.id
        GROUP BY py.perm, rb.feature, rb.bin, py.y),
 nmi AS ({_mi_sql("pc", "perm, feature")}),
@@ -253,9 +253,8 @@ ORDER BY abs(corr(x, y)) DESC, feature LIMIT 3"""
 
 def redundancy_prune(spark, sf):
     ranks = rank_table(spark, sf)
-    pairs = [(r[0], r[1], r[2]) for r in stats.spearman_pairs(ranks, FEATURES).collect()]
-    mi = {r["feature"]: r["mi"] for r in stats.mi_knn(long_form(spark, sf), K_NEIGHBORS).collect()}
-    kept = set(stats.redundancy_prune(FEATURES, pairs, mi, CORR_THRESHOLD))
+    mi = {r["feature"]: round(r["mi"], 6) for r in stats.mi_knn(long_form(spark, sf), K_NEIGHBORS).collect()}
+    kept = set(stats.redundancy_prune(FEATURES, stats.conflicts(ranks, FEATURES, CORR_THRESHOLD), mi))
     rows = [(f, int(f in kept), float(mi.get(f, 0.0))) for f in FEATURES]
     return spark.createDataFrame(rows, "feature string, kept int, mi double")
 
@@ -318,7 +317,7 @@ def _knn_sql(src: str, keys: list[str], p: str) -> str:
 {p}pt0 AS (SELECT {", ".join("s." + c for c in keys)}, s.id, s.y,
           s.x / CASE WHEN ksc.sd > 0 THEN ksc.sd ELSE 1.0 END
           + 1e-10 * greatest(1.0, ksc.mabs / CASE WHEN ksc.sd > 0 THEN ksc.sd ELSE 1.0 END) *
-            (CAST('0x' || substr(md5(s.feature || ':' || CAST(s.id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) AS v
+            (CAST('0x' || substr(md5(s.feature || ':' || CAST(s.id AS VARCHAR)), 1, 13) AS BIGINT)::DOUBLE / {float(1 << 52)} - 0.5) AS v
         FROM {src} s JOIN ksc ON ksc.feature = s.feature),
 {p}cc AS (SELECT {K}, y, count(*) AS nc FROM {p}pt0 GROUP BY {K}, y),
 {p}pts AS (SELECT a.*, c.nc, least({K_NEIGHBORS}, c.nc - 1) AS kc FROM {p}pt0 a
@@ -329,7 +328,7 @@ def _knn_sql(src: str, keys: list[str], p: str) -> str:
        FROM {p}pts WINDOW w AS (PARTITION BY {K}, y ORDER BY v, id)),
 {p}rd AS (SELECT {K}, id, v, kc, nc, ({_knn_radius_sql(K_NEIGHBORS)}) * (1.0 - 1e-12) AS rad FROM {p}nb),
 {p}mm AS (SELECT {", ".join("a." + c for c in keys)}, a.id, count(*) AS m FROM {p}rd a JOIN {p}pts b
-       ON {on("b", "a")} AND b.v > a.v - a.rad AND b.v < a.v + a.rad GROUP BY {", ".join("a." + c for c in keys)}, a.id),
+       ON {on("b", "a")} AND ((b.v > a.v - a.rad AND b.v < a.v + a.rad) OR (a.rad = 0 AND b.v = a.v)) GROUP BY {", ".join("a." + c for c in keys)}, a.id),
 {p}mi AS (SELECT {", ".join("r." + c for c in keys)}, greatest(0.0, {dg("CAST(count(*) AS DOUBLE)")} + avg({dg("CAST(r.kc AS DOUBLE)")})
        - avg({dg("CAST(r.nc AS DOUBLE)")}) - avg({dg("CAST(greatest(mm.m, 1) AS DOUBLE)")})) AS mi
        FROM {p}rd r JOIN {p}mm mm ON {on("mm", "r")} AND mm.id = r.id GROUP BY {", ".join("r." + c for c in keys)})"""
@@ -346,10 +345,10 @@ def mi_permutation_knn(spark, sf):
 
 PERMY_BODY = f""",
 rws AS (SELECT DISTINCT id, y FROM long),
-r0 AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r FROM rws),
-rep AS (SELECT p.range AS perm, rws.id, rws.y FROM rws CROSS JOIN range({N_PERMS}) p),
-rp AS (SELECT perm, y, row_number() OVER (PARTITION BY perm ORDER BY md5(CAST(perm AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) - 1 AS r FROM rep),
-py AS (SELECT rp.perm, r0.id, rp.y FROM r0 JOIN rp ON rp.r = r0.r),
+rep AS (SELECT p.range AS perm, rws.id FROM rws CROSS JOIN range({N_PERMS}) p),
+py AS (SELECT perm, id, CASE WHEN row_number() OVER (
+         PARTITION BY perm ORDER BY md5(CAST(perm AS VARCHAR) || ':' || CAST(id AS VARCHAR)) || CAST(id AS VARCHAR))
+         <= (SELECT sum(y) FROM rws) THEN 1 ELSE 0 END AS y FROM rep),
 plong AS (SELECT py.perm, long.id, py.y, long.feature, long.x FROM long JOIN py ON py.id = long.id)"""
 
 MI_PERMUTATION_KNN_SQL = ("WITH " + FEAT_CTE + KNN_SCALE_CTE + PERMY_BODY
@@ -360,6 +359,26 @@ SELECT q.feature, round(any_value(round(k.mi, 12)), 6) AS mi,
        round((count(*) FILTER (WHERE round(q.mi, 12) >= round(k.mi, 12)) + 1) / {N_PERMS + 1.0}, 6) AS p_value
 FROM qmi q JOIN kmi k ON k.feature = q.feature GROUP BY q.feature""")
 
+# the walk over conflicting pairs, in order; gone is the list of dropped features
+_PLACE = ", ".join(f"({i}, '{f}')" for i, f in enumerate(FEATURES))
+REDUNDANCY_PRUNE_SQL = "WITH RECURSIVE " + FEAT_CTE + KNN_SCALE_CTE + _knn_sql("long", ["feature"], "k") + RANK_WIDE_CTE[len(FEAT_CTE):] + """,
+place(i, feature) AS (VALUES """ + _PLACE + """),
+m AS (SELECT i, place.feature, coalesce(round(kmi.mi, 6), 0) AS mi FROM place LEFT JOIN kmi USING (feature)),
+rho(a, b, rho) AS (""" + " UNION ALL ".join(
+    f"SELECT {i}, {j}, corr({a}, {b}) FROM wide" for i, a in enumerate(FEATURES)
+    for j, b in enumerate(FEATURES) if j > i) + f"""),
+edge AS (SELECT row_number() OVER (ORDER BY rho.a, rho.b) AS n, rho.a, rho.b, x.mi AS ma, y.mi AS mb
+         FROM rho JOIN m x ON x.i = rho.a JOIN m y ON y.i = rho.b WHERE abs(rho.rho) > {CORR_THRESHOLD}),
+walk(n, gone) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS INTEGER[])
+  UNION ALL
+  SELECT edge.n, CASE WHEN list_contains(gone, edge.a) OR list_contains(gone, edge.b) THEN gone
+                      WHEN ma < mb THEN list_append(gone, edge.a) ELSE list_append(gone, edge.b) END
+  FROM walk JOIN edge ON edge.n = walk.n + 1)
+SELECT feature, CASE WHEN list_contains((SELECT gone FROM walk ORDER BY n DESC LIMIT 1), i) THEN 0 ELSE 1 END AS kept, mi
+FROM m"""
+
+
 QUERIES = {
     "mi_knn": (mi_knn, MI_KNN_SQL),
     "mi_permutation_knn": (mi_permutation_knn, MI_PERMUTATION_KNN_SQL),
@@ -372,7 +391,7 @@ QUERIES = {
     "partial_spearman": (partial_spearman, PARTIAL_SPEARMAN_SQL),
     "spearman_matrix": (spearman_matrix, SPEARMAN_MATRIX_SQL),
     "pointbiserial_top": (pointbiserial_top, POINTBISERIAL_SQL),
-    "redundancy_prune": (redundancy_prune, None),
+    "redundancy_prune": (redundancy_prune, REDUNDANCY_PRUNE_SQL),
     "screen_report": (screen_report, None),
     "cov_matrix": (cov_matrix, COV_MATRIX_SQL),
     "pca_components": (pca_components, None),

@@ -139,10 +139,15 @@ def test_c13_threshold_sweep(spark):
     assert acc[35] == 0.75 and len(acc) == 41
 
 
-def test_c14_redundancy_prune():
-    assert stats.redundancy_prune(["a", "b"], [("a", "b", 0.9)], {"a": 0.1, "b": 0.2}) == ["b"]
-    assert stats.redundancy_prune(["a", "b"], [("a", "b", -0.9)], {"a": 0.2, "b": 0.2}) == ["a"]
-    assert stats.redundancy_prune(["a", "b"], [("a", "b", 0.85)], {"a": 0.1, "b": 0.2}) == ["a", "b"]
+def test_c14_redundancy_prune(spark):
+    assert stats.redundancy_prune(["a", "b"], [("a", "b")], {"a": 0.1, "b": 0.2}) == ["b"]
+    assert stats.redundancy_prune(["a", "b"], [("b", "a")], {"a": 0.2, "b": 0.2}) == ["a"]
+    assert stats.redundancy_prune(["a", "b"], [], {"a": 0.1, "b": 0.2}) == ["a", "b"]
+    # a falls to b first, so its conflict with c no longer counts
+    assert stats.redundancy_prune(["a", "b", "c"], [("a", "c"), ("a", "b")],
+                                  {"a": 0.1, "b": 0.2, "c": 0.05}) == ["b", "c"]
+    ranks = spark.createDataFrame([(1.0, 1.0, 3.0), (2.0, 2.0, 1.0), (3.0, 3.5, 2.0)], "a double, b double, c double")
+    assert stats.conflicts(ranks, ["a", "b", "c"], 0.85) == [("a", "b")]
 
 
 def test_c15_tag_slug(spark):

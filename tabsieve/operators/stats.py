@@ -153,7 +153,8 @@ def permuted_labels(rows: DataFrame, n_perms: int, id_col: str = "id",
     the permutations' cut keys: no join and no order of the ids."""
     base = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
     labels = label_vector(permutation_cuts(base, n_perms), "id")
-    return base.select(F.col("id").alias(id_col), F.posexplode(labels).alias("perm", "y"))
+    return base.select("id", F.posexplode(labels).alias("perm", "label")) \
+        .select("perm", F.col("id").alias(id_col), F.col("label").alias("y"))
 
 
 def label_vector(cuts: list[str], id_col: str) -> "F.Column":

@@ -39,6 +39,6 @@ def build(keys: DataFrame, n: int, max_bits: int = MAX_BITS) -> Bloom:
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
     out = np.zeros(size >> 6, np.int64)
-    for r in words.collect():  # at most max_bits / 64 rows of two numbers
-        out[r.word] = r.bits
+    found = words.toArrow()  # at most max_bits / 64 rows of two numbers
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return Bloom(size, out.view(np.uint64))

@@ -56,19 +56,22 @@ LENGTH, K = 100, 32
 CROWDED = 20_000
 COMBINED = 100_000  # stretches or windows that a task combines before it emits them
 CHUNK = 1 << 20  # symbols of one index (a group is never split)
-PIECE = 1 << 20  # bytes of a text that are hashed at a time
-MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
-
-
-def gram_hashes(text: bytes, k: int = K) -> np.ndarray:
-    """Hash of every k-byte gram (k a multiple of 8)."""
-    n = len(text) - k + 1
-    words = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
-    h = np.zeros(n, np.uint64)
-    for j in range(k // 8):
-        h ^= words[8 * j:8 * j + n]
-        h *= MIX[j % 4]
-        h ^= h >> np.uint64(32)
+PIECE, GROUP = 1 << 18, 1 << 18  # bytes hashed at a time; texts are put together up to about as much
+MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+
+
+def gram_hashes(text: bytes) -> np.ndarray:
+    """Hash of every K-byte gram: of its four 8-byte words, mixed, weighed and added."""
+    n = len(text) - K + 1
+    v = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,)) * MIX[0]
+    v ^= v >> np.uint64(29)
+    v *= MIX[1]
+    pair = v[8:] * np.uint64(3)
+    pair += v[:-8]
+    h = pair[16:] * np.uint64(9)
+    h += pair[:n]
+    h ^= h >> np.uint64(32)
+    h *= MIX[2]
     return h
 
 
@@ -83,24 +86,37 @@ def window_minima(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suffix[:n], prefix[w - 1:w - 1 + n])
 
 
-def stretches(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first, end) of the stretches: windows first .. end - 1 of the
-    text.  A new stretch begins when the anchor's place changes: another least
-    value, or the window before began at its (leftmost) place.  The text is
-    hashed in pieces that overlap by one window; a piece may cut a stretch."""
-    anchors, firsts, ends = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    w = length - K + 1
-    for at in range(0, max(len(text) - length + 1, 0), PIECE):
-        part = text[at:at + PIECE + length - 1]
+def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first, end) of the stretches of the texts laid end to end:
+    windows first .. end - 1, by position in the joined bytes; no window
+    crosses a text's end.  A new stretch begins when the anchor's place
+    changes: another least value, or the window before began at its (leftmost)
+    place.  The bytes are hashed in pieces that overlap by one window; a
+    piece's end may cut a stretch."""
+    joined = b"".join(texts)
+    size = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(size)
+    # places where the windows of a text begin, and end
+    edges = np.concatenate([ends - size, np.maximum(ends - LENGTH + 1, ends - size)])
+    edges = np.sort(edges[edges < len(joined)])
+    out = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+    for at in range(0, max(len(joined) - LENGTH + 1, 0), PIECE):
+        part = joined[at:at + PIECE + LENGTH - 1]
         h = gram_hashes(part)
-        least = window_minima(h, w)
+        least = window_minima(h, LENGTH - K + 1)
         n = len(least)
-        new = np.flatnonzero((least[1:] != least[:-1]) | (h[:n - 1] == least[:-1])) + 1
-        first = np.concatenate([[0], new])
-        anchors.append(least[first])
-        firsts.append(first + at)
-        ends.append(np.append(new, n) + at)
-    return np.concatenate(anchors), np.concatenate(firsts), np.concatenate(ends)
+        new = np.empty(n, bool)
+        new[0] = True
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        new[1:] |= h[:n - 1] == least[:-1]
+        new[edges[np.searchsorted(edges, at):np.searchsorted(edges, at + n)] - at] = True
+        first = np.flatnonzero(new)
+        end = np.append(first[1:], n) + at
+        first += at
+        owner = np.searchsorted(ends, first, side="right")
+        inside = first <= ends[owner] - LENGTH
+        out.append((least[first[inside] - at], first[inside], end[inside]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 class RunIndex:
@@ -133,6 +149,11 @@ class RunIndex:
         self.before = np.concatenate([[0], np.cumsum(lengths[by])])
         self.symbol_base = self.before[np.searchsorted(self.keys, np.arange(258) * self.r)]
         self.by = by
+        # LF image of every run's start, and a directory from positions to runs
+        image = np.empty(len(head), np.int64)
+        image[by] = self.before[:-1] - self.symbol_base[self.run_symbol[by]] + self.smaller[self.run_symbol[by]]
+        self.run_image = image
+        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), lengths)
 
     def _sort(self):
         """Suffix order to at least ``length`` symbols by prefix doubling, and a
@@ -172,6 +193,24 @@ class RunIndex:
         inside = np.where(self.run_symbol[run] == symbol, at - self.run_start[run], 0)
         return self.before[k] - self.symbol_base[symbol] + inside, k + (inside > 0)
 
+    def step(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray, hold: np.ndarray):
+        """Backward step: the intervals [lo, hi) extended by the symbols c, each
+        of which occurs in its interval, with their toeholds."""
+        run = self.run_of[lo]
+        low = self.run_image[run] + lo - self.run_start[run]
+        high, held = low + hi - lo, hold - 1
+        rest = np.flatnonzero(run != self.run_of[hi - 1])  # over several runs: count them
+        if len(rest):
+            c, lo, hi = c[rest], lo[rest], hi[rest]
+            a, _ = self.rank(c, lo)
+            b, k = self.rank(c, hi)
+            low[rest], high[rest] = self.smaller[c] + a, self.smaller[c] + b
+            # toehold: step back from it, or from a sampled end of the interval's last run of c
+            last = self.by[k - 1]
+            sample = np.where(self.run_end[last] <= hi, self.run_last[last], self.run_first[last])
+            held[rest] = np.where(self.text[hold[rest] - 1] == c, hold[rest], sample) - 1
+        return low, high, held
+
     def marked(self) -> list[np.ndarray]:
         """Per string, which of its windows start earlier in the indexed text."""
         length, n = self.length, len(self.text)
@@ -190,13 +229,7 @@ class RunIndex:
             c = self.text[at]
             if i >= length:  # slide: drop the last symbol of the match
                 lo, hi = self.wide_start[lo], self.wide_end[lo]
-            a, _ = self.rank(c, lo)
-            b, k = self.rank(c, hi)
-            # toehold: step back from it, or from a sampled end of the interval's last run of c
-            run = self.by[k - 1]
-            sample = np.where(self.run_end[run] <= hi, self.run_last[run], self.run_first[run])
-            hold = np.where(self.text[hold - 1] == c, hold, sample) - 1
-            lo, hi = self.smaller[c] + a, self.smaller[c] + b
+            lo, hi, hold = self.step(c, lo, hi, hold)
             if i >= length - 1:
                 first = self.earliest[np.searchsorted(self.class_start, lo, side="right") - 1]
                 flat[at] = first < at
@@ -206,24 +239,26 @@ class RunIndex:
         return out
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """id, hash of the text and its bytes, of the texts that have a window."""
+def _groups(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[tuple]]:
+    """Rows as (bytes of the text, *columns), a bounded number of bytes at a time."""
+    group, size = [], 0
     for b in batches:
-        for doc_id, text in zip(b["id"], b["text"]):
+        for text, *rest in zip(b["text"], *(b[c] for c in columns)):
             raw = text.as_buffer()
-            if raw is not None and raw.size >= LENGTH:
-                raw = raw.to_pybytes()
-                yield doc_id.as_py(), _signed(xxhash.xxh64_intdigest(raw, 42)), raw  # as Spark's xxhash64
+            raw = raw.to_pybytes() if raw is not None else b""
+            group.append((raw, *rest))
+            size += len(raw)
+            if size > GROUP:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _order(doc_id, row: int, at: int) -> tuple:
-    return (doc_id is not None, doc_id if doc_id is not None else 0, row, at)
-
-
 def anchors(rows: DataFrame) -> DataFrame:
     """h, n: occurrences of every anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,8 +268,8 @@ def anchors(rows: DataFrame) -> DataFrame:
             h, n = np.unique(np.concatenate(kept), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "c"])
 
-        for _, _, text in _texts(batches):
-            kept.append(stretches(text)[0])
+        for group in _groups(batches):
+            kept.append(stretches([g[0] for g in group])[0])
             size += len(kept[-1])
             if size > 1 << 20:
                 yield flush()
@@ -242,11 +277,7 @@ def anchors(rows: DataFrame) -> DataFrame:
         if kept:
             yield flush()
 
-    return rows.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("n"))
-
-
-def _bytes(text: bytes, first: int, end: int) -> bytes:
-    return text[first:end + LENGTH - 1]
+    return rows.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("n"))
 
 
 def _windows(text: bytes, first: int, end: int) -> list[int]:
@@ -266,38 +297,45 @@ def candidates(rows: DataFrame, repeated: bloom.Bloom, crowded: np.ndarray) -> D
     schema = f"h long, k1 long, k2 long, id {id_type}, row long, at long, body binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict = {}
+        best: dict = {}  # body, or hash of a window: place and anchor
 
         def flush():
-            keys, spots = list(best), list(best.values())
-            window = [isinstance(k, int) for k in keys]
-            halves = [_halves(k) if w else (None, None) for k, w in zip(keys, window)]
-            arrays = [pa.array([None if w else k[0] for k, w in zip(keys, window)], pa.int64()),
+            window = [isinstance(k, int) for k in best]
+            halves = [_halves(k) if w else (None, None) for k, w in zip(best, window)]
+            spots = list(best.values())
+            arrays = [pa.array([None if w else s[4] for s, w in zip(spots, window)], pa.int64()),
                       pa.array([h[0] for h in halves], pa.int64()), pa.array([h[1] for h in halves], pa.int64()),
-                      pa.array([s[1] if s[0] else None for s in spots], b_type), pa.array([s[2] for s in spots], pa.int64()),
+                      pa.array([s[1] if s[0] else None for s in spots], id_arrow), pa.array([s[2] for s in spots], pa.int64()),
                       pa.array([s[3] for s in spots], pa.int64()),
-                      pa.array([None if w else k[1] for k, w in zip(keys, window)], pa.binary())]
+                      pa.array([None if w else k for k, w in zip(best, window)], pa.binary())]
             best.clear()
             return pa.RecordBatch.from_arrays(arrays, ["h", "k1", "k2", "id", "row", "at", "body"])
 
-        b_type = None
-        for b in batches:
-            b_type = b["id"].type
-            for doc_id, row, text in _texts([b]):
-                h, first, end = stretches(text)
-                for i in repeated.hits(h).tolist():
-                    anchor, f, e = h[i], int(first[i]), int(end[i])
-                    at = np.searchsorted(crowded, anchor)
-                    if at < len(crowded) and crowded[at] == anchor:
-                        found = zip(_windows(text, f, e), range(f, e))
-                    else:
-                        found = [((_signed(int(anchor)), _bytes(text, f, e)), f)]
-                    for key, f in found:
-                        spot = _order(doc_id, row, f)
-                        if best.setdefault(key, spot) > spot:
-                            best[key] = spot
-                if len(best) > COMBINED:
-                    yield flush()
+        id_arrow = None
+        for group in _groups(batches, "id"):
+            id_arrow = group[0][1].type
+            texts = [g[0] for g in group]
+            joined, base = b"".join(texts), np.cumsum([0, *map(len, texts)])
+            h, first, end = stretches(texts)
+            hits = repeated.hits(h)
+            h, first, end = h[hits], first[hits], end[hits]
+            owner = np.searchsorted(base, first, side="right") - 1
+            last = -1
+            for o, anchor, f, e, crowd in zip(owner.tolist(), h.view(np.int64).tolist(), first.tolist(), end.tolist(),
+                                              np.isin(h, crowded).tolist()):
+                if o != last:
+                    last, start = o, int(base[o])
+                    doc_id = group[o][1].as_py()
+                    row = _signed(xxhash.xxh64_intdigest(texts[o], 42))  # as Spark's xxhash64
+                    known = doc_id is not None
+                    doc_id = doc_id if known else 0
+                for key, f in (zip(_windows(joined, f, e), range(f, e)) if crowd
+                               else ((joined[f:e + LENGTH - 1], f),)):
+                    spot = (known, doc_id, row, f - start, anchor)
+                    if best.setdefault(key, spot) > spot:
+                        best[key] = spot
+            if len(best) > COMBINED:
+                yield flush()
         if best:
             yield flush()
 
@@ -383,23 +421,20 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         listed, F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept, sizes, removed, spans = [], [], [], []
-            for text, places in zip(b["text"], b["listed"]):
-                raw = text.as_buffer()
-                raw = raw.to_pybytes() if raw is not None else b""
-                sizes.append(len(raw))
-                gone = covered(raw, places.as_py() or (), repeated, crowded)
-                if gone is None:
-                    gone = np.zeros(1, bool)
-                else:
-                    raw = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                kept.append(raw)
-                removed.append(int(gone.sum()))
-                spans.append(int((gone[1:] & ~gone[:-1]).sum()) + int(gone[0]))
+        for group in _groups(batches, "id", "listed"):
+            texts = [g[0] for g in group]
+            gone = covered(texts, [g[2] for g in group], repeated, crowded)
+            joined, end, out = np.frombuffer(b"".join(texts), np.uint8), 0, []
+            for t in texts:
+                at, end = end, end + len(t)
+                g = gone[at:end]
+                n = int(g.sum())
+                spans = int((g[1:] & ~g[:-1]).sum()) + int(g[0]) if n else 0
+                out.append((joined[at:end][~g].tobytes() if n else t, len(t), n, spans))
+            kept, *counts = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [b["id"], pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans))],
-                ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+                [pa.array([g[1].as_py() for g in group], group[0][1].type), pa.array(kept, pa.binary()),
+                 *(pa.array(c, pa.int64()) for c in counts)], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     return whole.select("id", "text", "listed").mapInArrow(
         run, f"doc_id {rows.schema['id'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long")
@@ -410,30 +445,39 @@ def report(docs: DataFrame, **kw) -> DataFrame:
     return remove(docs, **kw).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
-def covered(text: bytes, listed, repeated: bloom.Bloom, crowded: np.ndarray) -> np.ndarray | None:
-    """Which bytes lie in a window that starts earlier elsewhere; None: none of them."""
-    if len(text) < LENGTH:
-        return None
-    h, first, end = stretches(text)
+def covered(texts: list[bytes], listed: list, repeated: bloom.Bloom, crowded: np.ndarray) -> np.ndarray:
+    """Which bytes of the texts, laid end to end, lie in a window that starts
+    earlier elsewhere.  ``listed``: per text its earliest stretches and windows."""
+    base = np.cumsum([0, *map(len, texts)])
+    h, first, end = stretches(texts)
     hits = repeated.hits(h)
-    if not len(hits):
-        return None
-    dup = np.zeros(len(text) - LENGTH + 1, bool)
-    for i in hits.tolist():
-        dup[first[i]:end[i]] = True
-    at = dict((x["at"], x["marks"]) for x in listed)
-    crowd = np.isin(h[hits], crowded)
-    for i, c in zip(hits.tolist(), crowd.tolist()):
-        f, e = int(first[i]), int(end[i])
-        if c:
-            dup[f:e] = [x not in at for x in range(f, e)]
-        elif f in at:
-            marks = at[f]
-            dup[f:e] = False if marks is None else np.unpackbits(np.frombuffer(marks, np.uint8), count=e - f)
-    edge = np.zeros(len(text) + 1, np.int32)
+    h, first, end = h[hits], first[hits], end[hits]
+    edge = np.zeros(int(base[-1]) + 1, np.int32)
+    edge[first] += 1
+    edge[end] -= 1
+    crowd = np.isin(h, crowded)
+    places, marked = [], []
+    for start, one in zip(base.tolist(), listed):
+        values = one.values
+        if values is not None and len(values):
+            at = values.field("at").to_numpy() + start
+            places.append(at)
+            bits = values.field("marks")
+            if bits.null_count < len(bits):
+                marked += [(a, m) for a, m in zip(at.tolist(), bits.to_pylist()) if m is not None]
+    if places:
+        at = np.concatenate(places)
+        k = np.searchsorted(first, at, side="right") - 1
+        # a listed stretch is not removed, nor a listed window of a crowded one
+        stop = np.where(crowd[k], at + 1, end[k])
+        np.subtract.at(edge, at, 1)
+        np.add.at(edge, stop, 1)
+    dup = np.cumsum(edge[:-1]) > 0
+    for a, m in marked:
+        e = int(end[np.searchsorted(first, a)])
+        dup[a:e] = np.unpackbits(np.frombuffer(m, np.uint8), count=e - a)
     starts = np.flatnonzero(dup)
-    if not len(starts):
-        return None
+    edge = np.zeros(int(base[-1]) + 1, np.int32)
     edge[starts] += 1
     edge[starts + LENGTH] -= 1
     return np.cumsum(edge[:-1]) > 0

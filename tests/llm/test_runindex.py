@@ -60,14 +60,18 @@ def test_stretches_cover_every_window(monkeypatch, piece):
     monkeypatch.setattr(ri, "PIECE", piece)
     rnd = random.Random(3)
     text = bytes(rnd.choices(b"abc", k=900)) + b"x" * 300 + b"Ndan " * 100
-    h, first, end = ri.stretches(text)
+    other = [b"", b"z" * 99, text[:100], text[50:700]]
+    h, first, end = ri.stretches([text, *other])
+    alone = first < len(text) - 99
+    assert end[~alone].tolist()[0] == len(text) + 99 + 1 and end[-1] == len(text) + 99 + 100 + 650 - 99
+    h, first, end = h[alone], first[alone], end[alone]
     assert first[0] == 0 and end[-1] == len(text) - 99 and (first[1:] == end[:-1]).all()
     assert (end - first).max() <= ri.LENGTH - ri.K + 1
     anchor = {}
     for a, f, e in zip(h, first, end):
         for i in range(f, e):  # equal windows have equal anchors
             assert anchor.setdefault(text[i:i + 100], a) == a
-    assert ri.stretches(b"x" * 99)[0].size == 0 and ri.stretches(b"")[0].size == 0
+    assert ri.stretches([b"x" * 99])[0].size == 0 and ri.stretches([])[0].size == 0 and ri.stretches([b""])[0].size == 0
 
 
 def corpus(rnd):

@@ -88,10 +88,12 @@ def differs_flag(a: Column | str, b: Column | str) -> Column:
 
 
 def canonical_id(x: Column | str, prefix: str = "tt", width: int = 7) -> Column:
-    """Digits (or an integer) -> ``tt%07d``; anything else, or NULL, -> NULL.
-    Ids longer than the width keep all digits."""
+    """Digits, an integer, a whole number written with a decimal point, or an
+    id that has the prefix already -> ``tt%07d``; anything else, or NULL, ->
+    NULL.  Ids longer than the width keep all digits."""
     s = F.trim(_c(x).cast("string"))
-    n = F.when(s.rlike("^[0-9]+$"), s.try_cast("long"))
+    digits = F.regexp_extract(s, rf"^(?i:{prefix})?([0-9]+)(?:\.0*)?$", 1)
+    n = F.when(digits != "", digits.try_cast("long"))
     return F.when(n.isNotNull(), F.format_string(f"{prefix}%0{width}d", n))
 
 
@@ -110,16 +112,20 @@ def title_norm(x: Column | str) -> Column:
     return F.coalesce(F.regexp_replace(F.trim(F.lower(_c(x))), pattern, ""), F.lit(""))
 
 
+# Blanks and hyphens become underscores, parentheses go.
+SLUG_FROM, SLUG_TO = " -()", "__"
+SLUG_TABLE = {ord(c): SLUG_TO[i] if i < len(SLUG_TO) else None for i, c in enumerate(SLUG_FROM)}
+
+
 def slug(x: Column | str, prefix: str = "") -> Column:
     """'oscar (best picture)' -> 'oscar_best_picture', 'feel-good' -> 'feel_good'."""
-    s = F.translate(F.lower(_c(x)), " -()", "__")
+    s = F.translate(F.lower(_c(x)), SLUG_FROM, SLUG_TO)
     return F.concat(F.lit(prefix), s) if prefix else s
 
 
 def slug_name(name: str, prefix: str = "") -> str:
-    """Driver-side twin of :func:`slug` for naming columns."""
-    s = name.lower().replace(" ", "_").replace("-", "_").replace("(", "").replace(")", "")
-    return prefix + s
+    """:func:`slug` of a Python string, for naming columns."""
+    return prefix + name.lower().translate(SLUG_TABLE)
 
 
 def null_out(cols: list[str], cond: Column) -> list[Column]:

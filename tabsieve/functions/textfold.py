@@ -7,6 +7,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +39,19 @@ def fold_text(s: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def text_fold_udf(s: pd.Series) -> pd.Series:
+def _fold_unicode(s: pd.Series) -> pd.Series:
     return s.map(fold_text, na_action="ignore")
 
 
+def text_fold(c: Column | str) -> Column:
+    """:func:`fold_text` of a column; plain ASCII, most text, never leaves the JVM."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("string")
+    other = x.rlike(r"[^\x00-\x7F]")
+    # Python's strip also takes the separators \x1c-\x1f
+    plain = F.btrim(F.lower(x), F.lit(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"))
+    return F.when(other, _fold_unicode(F.when(other, x))).otherwise(plain)
+
+
 @F.pandas_udf(T.BooleanType())
 def mojibake_repaired_udf(s: pd.Series) -> pd.Series:
     """True where the strict round trip changed the text."""

@@ -125,8 +125,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
     """Deterministic keep-first per key; ``order`` = [(column, 'asc'|'desc')].
 
     Implemented as ``min_by(row, sort key)`` in a hash aggregate, so a hot key
-    is combined map-side instead of sorted in one task.  Descending keys must
-    be numeric, date or timestamp (they are negated)."""
+    is combined map-side instead of sorted in one task.  A NULL in a sort
+    column comes after every value.  Descending keys must be numeric, date or
+    timestamp (they are negated)."""
     dtypes = dict(df.dtypes)
     parts = []
     for c, direction in order:
@@ -136,7 +137,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
             x = sortable_micros(x, t)
         elif direction == "desc" and t == "string":
             raise TypeError(f"descending string key {c} is not supported")
-        parts.append(-x if direction == "desc" else x)
+        parts += [F.col(c).isNull().alias(f"null_{c}"), (-x if direction == "desc" else x).alias(f"key_{c}")]
     payload = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)
             .agg(F.min_by(F.struct(*payload), F.struct(*parts)).alias("__first"))
@@ -153,7 +154,7 @@ def dup_profile(df: DataFrame, key: str, approx: bool = False) -> DataFrame:
     """n_raw, n_unique (exact or HyperLogLog) and the integer duplication factor."""
     uniq = F.approx_count_distinct(key) if approx else F.count_distinct(key)
     return (df.agg(F.count(F.lit(1)).alias("n_raw"), uniq.alias("n_unique"))
-            .withColumn("dup_factor", F.floor(F.col("n_raw") / F.col("n_unique")).cast("long")))
+            .withColumn("dup_factor", F.floor(F.try_divide("n_raw", "n_unique")).cast("long")))
 
 
 def clean_split(raw: DataFrame, ref_year: int = 2026, width: int = 10, compat: bool = False,
@@ -164,7 +165,7 @@ def clean_split(raw: DataFrame, ref_year: int = 2026, width: int = 10, compat: b
 
     ``compat=True`` reproduces the coded behaviour of the reference (exact-year
     buckets, NULL runtime/votes/age collapsing to the clamp bounds)."""
-    from ..functions.textfold import text_fold_udf
+    from ..functions.textfold import text_fold
     policy = "floor" if compat else "keep"
     lo, hi = runtime_bounds
     typed = raw.select(
@@ -180,6 +181,6 @@ def clean_split(raw: DataFrame, ref_year: int = 2026, width: int = 10, compat: b
         approx=approx)
     feats = derive_features(imputed, ref_year=ref_year, compat=compat,
                             primary="primaryTitle", original="originalTitle")
-    feats = feats.withColumn("title_clean", text_fold_udf(F.col("primaryTitle")))
+    feats = feats.withColumn("title_clean", text_fold("primaryTitle"))
     return feats.drop("__year_raw", "__end_raw", "startYear", "endYear", "runtimeMinutes",
                       "numVotes", "primaryTitle", "originalTitle")

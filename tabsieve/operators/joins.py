@@ -26,7 +26,8 @@ def band_join(left: DataFrame, lookup: DataFrame, left_title: str, left_year: st
               null_year_matches: bool = False, out_col: str = "matched_rank") -> DataFrame:
     """For each left row: the lookup row with equal title and |dyear| <= tol,
     nearest year first, then lowest ``rank``.  ``null_year_matches`` lets a
-    lookup row with NULL year serve any year of its title, after in-band rows.
+    lookup row with NULL year serve any year of its title, after in-band rows,
+    and a left row with NULL year take the lowest rank of its title.
     """
     lk = lookup.select(F.col(right_title).alias("__t"), F.col(right_year).alias("__y"),
                        F.col(rank).alias("__r")).where(F.col("__t").isNotNull())
@@ -42,8 +43,11 @@ def band_join(left: DataFrame, lookup: DataFrame, left_title: str, left_year: st
     if null_year_matches:
         nul = (lk.where(F.col("__y").isNull()).groupBy("__t")
                .agg(F.min("__r").alias("__nbest")))
+        any_year = lk.groupBy("__t").agg(F.min("__r").alias("__abest"))
+        nul = any_year.join(nul, "__t", "left")
         out = (out.join(nul, F.col(left_title) == F.col("__t"), "left").drop("__t")
-               .withColumn("__best", F.coalesce("__best", "__nbest")).drop("__nbest"))
+               .withColumn("__best", F.coalesce("__best", "__nbest", F.when(F.col(left_year).isNull(), F.col("__abest"))))
+               .drop("__nbest", "__abest"))
     return out.withColumnRenamed("__best", out_col)
 
 
@@ -79,9 +83,11 @@ CREW_SCHEMA = "array<struct<job:string,name:string>>"
 
 
 def parse_crew(c: Column | str) -> Column:
-    """Python-literal list of dicts -> array<struct<job,name>>.  ``None`` is
-    rewritten to JSON null first (the JSON reader rejects it)."""
-    s = F.regexp_replace(F.col(c) if isinstance(c, str) else c, r":\s*None\b", ": null")
+    """Python-literal list of dicts -> array<struct<job,name>>.  ``None``,
+    ``True`` and ``False`` values are rewritten to JSON first."""
+    s = F.col(c) if isinstance(c, str) else c
+    for python, js in (("None", "null"), ("True", "true"), ("False", "false")):
+        s = F.regexp_replace(s, rf":\s*{python}\s*([,}}])", f": {js}$1")
     return F.from_json(s, CREW_SCHEMA, {"allowSingleQuotes": "true"})
 
 
@@ -116,10 +122,11 @@ def curated_list_features(films: DataFrame, lookup: DataFrame, key: str = "tcons
                           lookup_title: str = "title", lookup_year: str = "year",
                           rank_col: str = "rank", out_rank: str = "list_rank",
                           out_flag: str = "in_list", tol: int = 2,
-                          null_year_matches: bool = False) -> DataFrame:
+                          null_year_matches: bool = False, unmatched: int | None = None) -> DataFrame:
     """Curated-list enrichment: titles normalised on both sides (one leading
     article stripped), band join on year within ``tol`` (nearest year, then
-    best rank), unmatched films get ``max(rank) + 1`` and flag 0."""
+    best rank), unmatched films get flag 0 and the rank ``unmatched`` (a
+    collection list's 0), by default ``max(rank) + 1``."""
     from ..functions.scalar import flag, title_norm
     left = films.select(key, title_norm(title_col).alias("__tn"),
                         F.col(year_col).cast("int").alias("__y"))
@@ -130,5 +137,5 @@ def curated_list_features(films: DataFrame, lookup: DataFrame, key: str = "tcons
     out = band_join(left, lk, "__tn", "__y", "__lt", "__ly", "__r", tol=tol,
                     null_year_matches=null_year_matches, out_col=out_rank)
     out = out.withColumn(out_flag, flag(F.col(out_rank).isNotNull()))
-    out = fill_rank(out, out_rank, lk, "__r")
+    out = fill_rank(out, out_rank, lk, "__r") if unmatched is None else out.fillna(unmatched, [out_rank])
     return out.select(key, out_rank, out_flag)

@@ -244,22 +244,30 @@ def threshold_sweep(scored: DataFrame, p_col: str = "p", y_col: str = "y",
     # predicted positive at t  <=>  bucket >= t - lo + 1
     res = acc.where(F.col("b") >= 1).select(
         (F.col("b") + F.lit(lo - 1)).cast("int").alias("t_pct"),
-        ((F.col("tp") + F.col("N") - F.col("fp")) / (F.col("P") + F.col("N"))).alias("accuracy"))
+        F.try_divide(F.col("tp") + F.col("N") - F.col("fp"), F.col("P") + F.col("N")).alias("accuracy"))
     best = Window.orderBy(F.desc("accuracy"), F.asc("t_pct"))
     return res.withColumn("is_best", (F.row_number().over(best) == 1).cast("int"))
 
 
 # -------------------------------------------------------- ordered predictions
-def with_row_id(df: DataFrame, col: str = "row_id") -> DataFrame:
-    """Order-preserving id at read time: increasing in (file split, position)."""
-    return df.withColumn(col, F.monotonically_increasing_id())
+def with_row_id(df: DataFrame, col: str = "row_id", files: bool = True) -> DataFrame:
+    """Order-preserving id at read time: a struct of file path, block start and
+    position that sorts like the files in name order and the rows inside.
+    ``df`` must be the scan itself; ``files=False`` is for other sources, whose
+    partition order counts."""
+    at = F.monotonically_increasing_id()  # increasing inside a split, whatever splits a task is given
+    if files:
+        at = F.struct("_metadata.file_path", "_metadata.file_block_start", at.alias("at"))
+    return df.withColumn(col, at)
 
 
 def predict_in_order(order: DataFrame, features: DataFrame, key: str, model,
                      threshold: float, row_id: str = "row_id") -> DataFrame:
-    """Left join features onto the ordered key list, score, and return
-    (row_id, key, prediction 'True'/'False') sorted by the original order."""
-    j = order.select(row_id, key).join(features, key, "left")
+    """Left join features onto the ordered key list (a key without features
+    gets zeros), score, and return (row_id, key, prediction 'True'/'False')
+    sorted by the original order."""
+    names = [c for c, t in features.dtypes if c != key and t not in ("string", "boolean")]
+    j = order.select(row_id, key).join(features, key, "left").fillna(0, names)
     scored = model.transform(j)
     pred = F.when(positive_probability(scored) >= F.lit(threshold), F.lit("True")) \
         .otherwise(F.lit("False"))
@@ -271,3 +279,31 @@ def write_predictions(pred: DataFrame, path: str, row_id: str = "row_id") -> Non
     the rows, so part files in name order concatenate to the input order; no
     single task holds all predictions."""
     pred.orderBy(row_id).select("prediction").write.mode("overwrite").text(path)
+
+
+# ------------------------------------------------------------- end to end
+def best_threshold(scored: DataFrame, p_col: str = "p", y_col: str = "y", lo: int = 30, hi: int = 70) -> float:
+    """The lowest threshold of best accuracy of out-of-fold probabilities."""
+    return threshold_sweep(scored, p_col, y_col, lo, hi).filter("is_best = 1").first()["t_pct"] / 100.0
+
+
+def train(data: DataFrame, encoder: SmoothedEncoder | None, features: Sequence[str], fold_col: str = "fold",
+          label: str = "y", keys: Sequence[str] = (), grid: Sequence[dict] = (), num_trees: int = 30,
+          max_depth: int = 8) -> dict:
+    """Cross-validate the default forest and every setting of ``grid``
+    (``num_trees``, ``max_depth``); the default stays unless it is beaten.
+    Sweep the threshold over the winner's out-of-fold probabilities and refit
+    it on all rows.  ``features`` are the screened ones (:func:`stats.screen`).
+
+    Returns model, threshold, settings, accuracy (mean over folds) and oof."""
+    data = cut_lineage(data)
+    best = None
+    for settings in [{"num_trees": num_trees, "max_depth": max_depth}, *grid]:
+        pipe = forest_pipeline(encoder, features, label, **settings)
+        acc, oof = cross_validate(pipe, data, fold_col, label, keys)
+        mean = cv_summary(acc).first()["cv_mean"]
+        if best is None or mean > best["accuracy"]:
+            best = {"settings": settings, "accuracy": mean, "oof": oof, "pipe": pipe}
+    best["threshold"] = best_threshold(best["oof"])
+    best["model"] = best.pop("pipe").fit(data)
+    return best

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..functions.textfold import text_fold_udf
+from ..functions import textfold
 from ..operators import clean
 from .tables import r6, table
 
@@ -244,7 +244,7 @@ FROM t"""
 
 def text_fold(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", text_fold_udf(F.col("text")).alias("title_clean"))
+    return d.select("doc_id", textfold.text_fold("text").alias("title_clean"))
 
 
 TEXT_FOLD_SQL = """

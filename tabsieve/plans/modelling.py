@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import encode
 from ..operators import model as M
 from .cleaning import IMPUTED_CTE, imputed_movies
-from .encoding import PRESTIGE_OOF_SQL, prestige_oof
+from .encoding import PRESTIGE_OOF_SQL, PRESTIGE_SQL, prestige_oof
 from ..session import cut_lineage
 from .tables import movies, part_bridge, r6, supplier_bridge, table
 from ..operators import clean
@@ -129,13 +129,33 @@ FROM acc, tot"""
 
 
 def predict_ordered(spark, sf):
-    """Score the held-out orders in file order (the reference's hidden split)."""
-    model = _fit_final(spark, sf)
-    # ids are taken on the unshuffled scan: they follow the file order
-    hidden = M.with_row_id(table(spark, sf, "orders").select("o_orderkey")) \
+    """Score the held-out orders in file order (the reference's hidden split):
+    the default forest cross-validated, its threshold swept over out-of-fold
+    probabilities, refitted on all training rows."""
+    fitted = M.train(_training_table(spark, sf), _encoder(spark, sf), MODEL_FEATURES, num_trees=10, max_depth=6)
+    hidden = M.with_row_id(table(spark, sf, "orders").select("o_orderkey", "_metadata")) \
         .where(F.col("o_orderkey") % 10 >= 8)
     feats = M.feature_matrix(derived(spark, sf), ["o_orderkey"], BASE_FEATURES)
-    return M.predict_in_order(hidden, feats, "o_orderkey", model, threshold=0.5)
+    return M.predict_in_order(hidden, feats, "o_orderkey", fitted["model"], fitted["threshold"]) \
+        .select("o_orderkey", "prediction")
+
+
+def ordered_scores(spark, sf):
+    """Held-out orders in file order with the plain encoding as score and the
+    swept threshold: the ordering, join and threshold steps without a learner."""
+    hidden = table(spark, sf, "orders").where(F.col("o_orderkey") % 10 >= 8).select("o_orderkey")
+    enc = encode.target_encode(movies(spark, sf).where("is_train"), hidden,
+                               supplier_bridge(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey"),
+                               "o_orderkey", "l_suppkey", "y", "p")
+    best = M.best_threshold(prestige_oof(spark, sf).join(movies(spark, sf).select("o_orderkey", "y"), "o_orderkey")
+                            .select(F.col("director_prestige").alias("p"), "y"))
+    return enc.select("o_orderkey", F.when(r6("p") >= best, "True").otherwise("False").alias("prediction"))
+
+
+ORDERED_SCORES_SQL = "WITH enc AS (" + PRESTIGE_SQL + "), sweep AS (" + THRESHOLD_SWEEP_SQL + """)
+SELECT o_orderkey, CASE WHEN director_prestige >= (SELECT t_pct / 100.0 FROM sweep WHERE is_best = 1)
+                        THEN 'True' ELSE 'False' END AS prediction
+FROM enc WHERE o_orderkey % 10 >= 8"""
 
 
 QUERIES = {
@@ -144,4 +164,5 @@ QUERIES = {
     "cv_summary": (cv_summary, None),
     "threshold_sweep": (threshold_sweep, THRESHOLD_SWEEP_SQL),
     "predict_ordered": (predict_ordered, None),
+    "ordered_scores": (ordered_scores, ORDERED_SCORES_SQL),
 }

@@ -70,13 +70,17 @@ def idf_train_apply(spark, sf):
     per_doc = w.groupBy("doc").agg(F.count(F.lit(1)).alias("n_terms"),
                                    F.sum("weight").alias("tfidf_l1"),
                                    F.max("weight").alias("tfidf_max"))
-    return per_doc.select(F.col("doc").alias("doc_id"), (F.col("doc") % 10 < 8).alias("is_train"),
-                          "n_terms", r6("tfidf_l1"), r6("tfidf_max"))
+    # documents without a kept token stay, with zeros
+    full = d.select("doc_id").join(per_doc, F.col("doc_id") == F.col("doc"), "left") \
+        .fillna(0, ["n_terms", "tfidf_l1", "tfidf_max"])
+    return full.select("doc_id", (F.col("doc_id") % 10 < 8).alias("is_train"),
+                       "n_terms", r6("tfidf_l1"), r6("tfidf_max"))
 
 
 IDF_APPLY_SQL = "WITH " + TOK_CTE + """
-SELECT doc AS doc_id, doc % 10 < 8 AS is_train, count(*) AS n_terms, round(sum(weight), 6) AS tfidf_l1,
-       round(max(weight), 6) AS tfidf_max FROM wts GROUP BY doc"""
+SELECT d.doc_id, d.doc_id % 10 < 8 AS is_train, count(wts.doc) AS n_terms,
+       round(coalesce(sum(weight), 0), 6) AS tfidf_l1, round(coalesce(max(weight), 0), 6) AS tfidf_max
+FROM documents d LEFT JOIN wts ON wts.doc = d.doc_id GROUP BY d.doc_id"""
 
 
 def tfidf_wide(spark, sf):

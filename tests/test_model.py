@@ -59,13 +59,27 @@ def test_cv_summary_and_tuning(spark):
     assert len(cvm.avgMetrics) == 2
 
 
-def test_save_model_artifacts(spark):
+def test_saved_model_predicts_the_same(spark):
     model = MM._fit_final(spark, SF_SMALL, num_trees=3, max_depth=3)
     out = tempfile.mkdtemp(prefix="tabsieve-model-")
     readers.save_model(model, out)
-    names = set(os.listdir(out))
-    assert any(n.startswith("stage_") for n in names)
-    assert any(n.startswith("encoder_") for n in names)
+    again = readers.load_model(spark, out, [b[0] for b in MM._encoder(spark, SF_SMALL)._bridges])
+    data = MM._training_table(spark, SF_SMALL)
+    p, q = (sorted((r.o_orderkey, round(r.probability[1], 9)) for r in m.transform(data).select(
+        "o_orderkey", "probability").collect()) for m in (model, again))
+    assert p == q and len({x for _, x in p}) > 3
+
+
+def test_default_stays_unless_beaten(spark):
+    data = MM._training_table(spark, SF_SMALL)
+    kw = dict(encoder=MM._encoder(spark, SF_SMALL), features=MM.MODEL_FEATURES, num_trees=4, max_depth=3)
+    same = M.train(data, grid=[{"num_trees": 4, "max_depth": 3}], **kw)  # a tie
+    assert same["settings"] == {"num_trees": 4, "max_depth": 3} and 0.3 <= same["threshold"] <= 0.7
+    assert same["oof"].count() == data.count()
+    hidden = spark.createDataFrame([(1, 10 ** 9), (0, 7)], "row_id long, o_orderkey long")
+    feats = M.feature_matrix(MM.derived(spark, SF_SMALL), ["o_orderkey"], MM.BASE_FEATURES)
+    got = M.predict_in_order(hidden, feats, "o_orderkey", same["model"], same["threshold"]).collect()
+    assert [r.o_orderkey for r in got] == [7, 10 ** 9]  # the key without features is scored with zeros
 
 
 def test_stream_static_scoring(spark):

@@ -78,7 +78,7 @@ def test_header_normalisation_and_curated_list(spark):
 def test_ordered_text_sink(spark):
     d = _scratch()
     src = spark.createDataFrame([(k,) for k in [5, 3, 9, 1, 7, 2]], "k long").repartition(1)
-    with_id = model.with_row_id(src)
+    with_id = model.with_row_id(src, files=False)
     pred = with_id.select("row_id", F.when(F.col("k") > 4, "True").otherwise("False")
                           .alias("prediction"))
     out = os.path.join(d, "pred")
@@ -194,3 +194,16 @@ def test_malformed_rows_are_counted(spark):
 def test_drifting_headers(spark):
     df = spark.createDataFrame([(1, 2, 3)], ["\ufeffPos  Nr", " title", "Title "])
     assert readers.normalize_headers(df).columns == ["pos_nr", "title", "title_2"]
+
+
+def test_row_ids_follow_files_of_unequal_size(spark):
+    d, at = _scratch(), 0
+    for i, n in enumerate([500, 40000, 2000]):
+        spark.range(at, at + n).coalesce(1).write.parquet(os.path.join(d, f"tmp{i}"))
+        part = [f for f in os.listdir(os.path.join(d, f"tmp{i}")) if f.startswith("part-")][0]
+        os.makedirs(os.path.join(d, "all"), exist_ok=True)
+        os.link(os.path.join(d, f"tmp{i}", part), os.path.join(d, "all", f"part-{i}.parquet"))
+        at += n
+    df = model.with_row_id(spark.read.parquet(os.path.join(d, "all")).select("id", "_metadata"))
+    got = [r["id"] for r in df.orderBy("row_id").select("id").collect()]
+    assert got == list(range(at))

@@ -36,6 +36,7 @@ from .common import words
 
 RATIO, CAP, WEIGHTS, SEED = 1.5, 2.0, (5, 2, 1), "mix"
 BUCKETS = 65536
+MAX_BROADCAST = 50_000  # sources, about 100 bytes each
 BITS = 52
 
 
@@ -85,6 +86,12 @@ def _shares(rate: Column, cap: float) -> tuple[Column, Column, Column]:
     return whole, copies - whole, q
 
 
+def _small(sources: DataFrame) -> DataFrame:
+    """A written table with a row per source, to be broadcast if it has few
+    rows; else Spark joins it by source and may split a large source's side."""
+    return F.broadcast(sources) if sources.count() <= MAX_BROADCAST else sources
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          tilt: Column | None = None, ratio: float = RATIO, cap: float = CAP,
          weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
@@ -99,7 +106,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                              by_source.select("source", "tilted"), ["source"])
     rates = targets.select("source", "source_size", "target", F.coalesce(
         F.try_divide("target", "tilted"), F.lit(0.0)).alias("rate"))
-    rates = cut_lineage(rates)
+    rates = _small(cut_lineage(rates))
     whole, part, q = _shares(F.col("rate"), cap)
     ranked = join_null_safe(k.withColumn("source", F.col("__k.source")), rates, ["source"]).select(
         "source", "rate", "target", F.col("__k.size").alias("size"), whole.alias("whole"),
@@ -135,7 +142,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                      F.lit("").alias("id"), F.lit(-(1 << 63)).cast("long").alias("tie"))
     cut = join_null_safe(edge, last, ["source"], "left") \
         .select("source", F.coalesce(F.col("last"), floor).alias("cutoff"))
-    return join_null_safe(rates, cut, ["source"], "left")
+    return cut_lineage(join_null_safe(rates, cut, ["source"], "left"))
 
 
 def apply(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -143,7 +150,7 @@ def apply(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col:
     """``docs`` with a struct ``mix``: size, source_size, target, copies."""
     base = docs.drop("mix")
     k = _keys(base, id_col, text_col, source_col, tilt, seed)
-    p = planned.select(F.col("source").alias("__s"), F.struct("source_size", "target", "rate", "cutoff").alias("__p"))
+    p = _small(planned).select(F.col("source").alias("__s"), F.struct("source_size", "target", "rate", "cutoff").alias("__p"))
     joined = k.join(p, F.col("__k.source").eqNullSafe(F.col("__s")))
     whole, part, q = _shares(F.col("__p.rate"), cap)
     key = F.struct(q.alias("q"), F.col("__k.id").alias("id"), F.col("__k.tie").alias("tie"))

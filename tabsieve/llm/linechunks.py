@@ -93,8 +93,9 @@ def repeats(rows: DataFrame) -> DataFrame:
     twice = cut_lineage(places(rows).groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                         .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h"))
     some = cut_lineage(places(rows, bloom.build(twice, twice.count())))
-    first = some.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b")) \
-        .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h", "chunk", F.col("a").alias("first"))
+    # written, so that both sides of the join are dealt anew and a hot chunk's side can be split
+    first = cut_lineage(some.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                        .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h", "chunk", F.col("a").alias("first")))
     later = some.join(first, ["h", "chunk"]).filter(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 

@@ -14,7 +14,7 @@ scalar subquery, never a cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import hashed_row_number
@@ -27,9 +27,10 @@ def smoothed_scores(labeled: DataFrame, bridge: DataFrame, entity: str, person:
     Returns (scores(person, score), gm) with gm a scalar-subquery Column."""
     joined = labeled.select(entity, label).join(
         bridge.select(entity, person).where(F.col(person).isNotNull()), entity, "inner")
-    gm = joined.select(F.avg(F.col(label).cast("double"))).scalar()
     stats = joined.groupBy(person).agg(F.count(F.lit(1)).alias("__n"),
                                        F.sum(F.col(label).cast("double")).alias("__s"))
+    # over the same per-person aggregate, whose exchange is reused
+    gm = stats.select(F.try_divide(F.sum("__s"), F.sum("__n"))).scalar()
     scores = stats.select(person, ((F.col("__s") + F.lit(k) * gm)
                                    / (F.col("__n") + F.lit(k))).alias("__score"))
     return scores, gm
@@ -72,27 +73,26 @@ def out_of_fold_encode(labeled: DataFrame, bridge: DataFrame, entity: str, perso
     br = bridge.select(entity, person).where(F.col(person).isNotNull())
     rows = br.join(lab, entity, "inner")  # bridge rows of labelled entities
 
-    folds = lab.groupBy(fold).agg(F.count(F.lit(1)).alias("__m"))  # k rows
-    per_fold = rows.groupBy(fold).agg(F.count(F.lit(1)).alias("__nf"), F.sum("__y").alias("__sf"))
+    # per (person, fold) sums, with the person's totals beside them (k rows a person)
+    of_person = Window.partitionBy(person)
+    pf = rows.groupBy(person, fold).agg(F.count(F.lit(1)).alias("__npf"), F.sum("__y").alias("__spf"))
+    pf = pf.withColumn("__np", F.sum("__npf").over(of_person)).withColumn("__sp", F.sum("__spf").over(of_person))
+
+    per_fold = pf.groupBy(fold).agg(F.sum("__npf").alias("__nf"), F.sum("__spf").alias("__sf"))
     tot_n = per_fold.select(F.sum("__nf")).scalar()
     tot_s = per_fold.select(F.sum("__sf")).scalar()
     # held-out global mean per fold: bridge rows of the other folds
+    folds = lab.select(fold).distinct()  # k rows
     gm = (folds.join(per_fold, fold, "left")
-          .select(fold, ((tot_s - F.coalesce(F.col("__sf"), F.lit(0.0)))
-                         / (tot_n - F.coalesce(F.col("__nf"), F.lit(0)))).alias("__gm")))
-
-    pf = rows.groupBy(person, fold).agg(F.count(F.lit(1)).alias("__npf"),
-                                        F.sum("__y").alias("__spf"))
-    pt = pf.groupBy(person).agg(F.sum("__npf").alias("__np"), F.sum("__spf").alias("__sp"))
+          .select(fold, F.try_divide(tot_s - F.coalesce(F.col("__sf"), F.lit(0.0)),
+                                     tot_n - F.coalesce(F.col("__nf"), F.lit(0))).alias("__gm")))
 
-    # every bridge row of a labelled entity, with that entity's fold
+    # every bridge row of a labelled entity meets its person's row of the entity's fold
     scored = (rows.select(entity, person, fold)
-              .join(pt, person, "inner")
-              .join(pf, [person, fold], "left")
+              .join(pf, [person, fold], "inner")
               .join(F.broadcast(gm), fold, "inner")  # k rows: bounded by the fold count
-              .select(entity, fold, "__gm",
-                      (F.col("__np") - F.coalesce(F.col("__npf"), F.lit(0))).alias("__n"),
-                      (F.col("__sp") - F.coalesce(F.col("__spf"), F.lit(0.0))).alias("__s")))
+              .select(entity, fold, "__gm", (F.col("__np") - F.col("__npf")).alias("__n"),
+                      (F.col("__sp") - F.col("__spf")).alias("__s")))
     scored = scored.select(entity, F.when(
         F.col("__n") > 0,
         (F.col("__s") + F.lit(k) * F.col("__gm")) / (F.col("__n") + F.lit(k)))
@@ -113,44 +113,29 @@ def fold_iteration_encode(labeled: DataFrame, bridge: DataFrame, entity: str, pe
     labelled entity and every fold f: the encoding fitted on the rows of the
     other folds (what refitting an encoder on ``fold != f`` and applying it to
     every entity gives).  Rows with ``fold_iter == fold`` are the out-of-fold
-    encodings.  Per-person totals minus per-(person, fold) sums replace k
-    refits; iterations are replicated with ``explode`` of the k fold ids (read
-    from a k-row table), never a cross join."""
+    encodings.  A person's k scores, from totals minus per-fold sums, are k
+    columns of one row, so the bridge is joined once and averaged per entity;
+    the iterations become rows only after that."""
     lab = labeled.select(entity, fold, F.col(label).cast("double").alias("__y"))
     br = bridge.select(entity, person).where(F.col(person).isNotNull())
     rows = br.join(lab, entity, "inner")
-    fold_ids = [r[0] for r in lab.select(fold).distinct().collect()]  # k values
-    iters = F.explode(F.array(*[F.lit(v) for v in fold_ids])).alias("fold_iter")
-
-    per_fold = rows.groupBy(fold).agg(F.count(F.lit(1)).alias("__nf"), F.sum("__y").alias("__sf"))
-    tot_n = per_fold.select(F.sum("__nf")).scalar()
-    tot_s = per_fold.select(F.sum("__sf")).scalar()
-    gm = (lab.select(fold).distinct().join(per_fold, fold, "left")
-          .select(F.col(fold).alias("fold_iter"),
-                  ((tot_s - F.coalesce(F.col("__sf"), F.lit(0.0)))
-                   / (tot_n - F.coalesce(F.col("__nf"), F.lit(0)))).alias("__gm")))
-
-    pf = rows.groupBy(person, fold).agg(F.count(F.lit(1)).alias("__npf"), F.sum("__y").alias("__spf"))
-    pt = pf.groupBy(person).agg(F.sum("__npf").alias("__np"), F.sum("__spf").alias("__sp"))
-    scores = (pt.select(person, "__np", "__sp", iters)
-              .join(pf.withColumnRenamed(fold, "fold_iter"), [person, "fold_iter"], "left")
-              .join(F.broadcast(gm), "fold_iter")  # k rows
-              .select(person, "fold_iter", "__gm",
-                      (F.col("__np") - F.coalesce(F.col("__npf"), F.lit(0))).alias("__n"),
-                      (F.col("__sp") - F.coalesce(F.col("__spf"), F.lit(0.0))).alias("__s")))
-    scores = scores.select(person, "fold_iter", F.when(
-        F.col("__n") > 0, (F.col("__s") + F.lit(k) * F.col("__gm")) / (F.col("__n") + F.lit(k)))
-        .otherwise(F.col("__gm")).alias("__score"))
-    per_entity = (rows.select(entity, person, iters)
-                  .join(scores, [person, "fold_iter"], "inner")
-                  .groupBy("fold_iter", entity)
-                  .agg(F.avg("__score").alias("__enc"), F.count(F.lit(1)).alias("__cnt")))
-    out = (lab.select(entity, iters).join(per_entity, ["fold_iter", entity], "left")
-           .join(F.broadcast(gm), "fold_iter"))
-    cols = [F.coalesce(F.col("__enc"), F.col("__gm")).alias(out_col)]
+    fold_ids = sorted(r[0] for r in lab.select(fold).distinct().collect())  # k values
+    other = {i: F.col(fold) != F.lit(v) for i, v in enumerate(fold_ids)}
+    stats = rows.groupBy(person).agg(*[x for i, c in other.items() for x in (
+        F.count_if(c).alias(f"__n{i}"), F.sum(F.when(c, F.col("__y")).otherwise(0.0)).alias(f"__s{i}"))])
+    gm = [stats.select(F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}"))).scalar() for i in other]
+    scores = stats.select(person, *[F.when(
+        F.col(f"__n{i}") > 0, (F.col(f"__s{i}") + F.lit(k) * gm[i]) / (F.col(f"__n{i}") + F.lit(k)))
+        .otherwise(gm[i]).alias(f"__e{i}") for i in other])
+    per_entity = rows.select(entity, person).join(scores, person, "inner").groupBy(entity).agg(
+        *[F.avg(f"__e{i}").alias(f"__e{i}") for i in other], F.count(F.lit(1)).alias("__cnt"))
+    out = lab.select(entity).join(per_entity, entity, "left").select(entity, "__cnt", F.explode(F.array(*[F.struct(
+        F.lit(v).alias("fold_iter"), F.coalesce(F.col(f"__e{i}"), gm[i]).alias("enc"))
+        for i, v in enumerate(fold_ids)])).alias("__it"))
+    cols = [F.col("__it.enc").alias(out_col)]
     if count_col:
         cols.append(F.coalesce(F.col("__cnt"), F.lit(1)).cast("long").alias(count_col))
-    return out.select("fold_iter", entity, *cols)
+    return out.select(F.col("__it.fold_iter").alias("fold_iter"), entity, *cols)
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: str = "",

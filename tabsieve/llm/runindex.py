@@ -91,32 +91,34 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     windows first .. end - 1, by position in the joined bytes; no window
     crosses a text's end.  A new stretch begins when the anchor's place
     changes: another least value, or the window before began at its (leftmost)
-    place.  The bytes are hashed in pieces that overlap by one window; a
-    piece's end may cut a stretch."""
+    place.  The bytes are hashed in pieces, which make no difference: a text
+    has the same stretches whatever it is laid next to."""
     joined = b"".join(texts)
     size = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(size)
     # places where the windows of a text begin, and end
     edges = np.concatenate([ends - size, np.maximum(ends - LENGTH + 1, ends - size)])
     edges = np.sort(edges[edges < len(joined)])
-    out = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
-    for at in range(0, max(len(joined) - LENGTH + 1, 0), PIECE):
-        part = joined[at:at + PIECE + LENGTH - 1]
+    windows = max(len(joined) - LENGTH + 1, 0)
+    firsts, anchors = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for at in range(0, windows, PIECE):
+        back = min(at, 1)  # the window before, to compare with
+        part = joined[at - back:at + PIECE + LENGTH - 1]
         h = gram_hashes(part)
         least = window_minima(h, LENGTH - K + 1)
         n = len(least)
         new = np.empty(n, bool)
-        new[0] = True
+        new[0] = not back
         np.not_equal(least[1:], least[:-1], out=new[1:])
         new[1:] |= h[:n - 1] == least[:-1]
-        new[edges[np.searchsorted(edges, at):np.searchsorted(edges, at + n)] - at] = True
+        new[edges[np.searchsorted(edges, at):np.searchsorted(edges, at - back + n)] - at + back] = True
         first = np.flatnonzero(new)
-        end = np.append(first[1:], n) + at
-        first += at
-        owner = np.searchsorted(ends, first, side="right")
-        inside = first <= ends[owner] - LENGTH
-        out.append((least[first[inside] - at], first[inside], end[inside]))
-    return tuple(np.concatenate(x) for x in zip(*out))
+        firsts.append(first + at - back)
+        anchors.append(least[first])
+    first, anchor = np.concatenate(firsts), np.concatenate(anchors)
+    end = np.append(first[1:], windows)[:len(first)]
+    inside = first <= ends[np.searchsorted(ends, first, side="right")] - LENGTH
+    return anchor[inside], first[inside], end[inside]
 
 
 class RunIndex:

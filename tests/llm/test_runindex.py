@@ -55,14 +55,19 @@ def test_index_is_run_compressed():
     assert len(index.run_start) < len(index.text) / 8
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 150])
+@pytest.mark.parametrize("piece", [1 << 20, 150, 7])
 def test_stretches_cover_every_window(monkeypatch, piece):
     monkeypatch.setattr(ri, "PIECE", piece)
     rnd = random.Random(3)
     text = bytes(rnd.choices(b"abc", k=900)) + b"x" * 300 + b"Ndan " * 100
     other = [b"", b"z" * 99, text[:100], text[50:700]]
     h, first, end = ri.stretches([text, *other])
+    whole = ri.stretches([text])
     alone = first < len(text) - 99
+    assert all((x[alone] - o == y).all() for x, y, o in zip((h, first, end), whole, (0, 0, 0)))
+    last = first >= len(text) + 199  # the same stretches wherever a text lies
+    assert all((x == y).all() for x, y in zip(
+        (h[last], first[last] - len(text) - 199, end[last] - len(text) - 199), ri.stretches([text[50:700]])))
     assert end[~alone].tolist()[0] == len(text) + 99 + 1 and end[-1] == len(text) + 99 + 100 + 650 - 99
     h, first, end = h[alone], first[alone], end[alone]
     assert first[0] == 0 and end[-1] == len(text) - 99 and (first[1:] == end[:-1]).all()

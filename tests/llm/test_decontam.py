@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tabsieve.llm import bloom, decontam
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 
 def tokens(text):
     return re.findall(rb"[^ ]+", decontam.folded(text))

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tabsieve.llm import linechunks as lc
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 
 def brute(rows):
     """By definition, document after document in id order."""

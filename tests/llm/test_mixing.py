@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tabsieve.llm import mixing
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 
 def twin(pdf):
     con = duckdb.connect()

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tabsieve.llm import quality
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

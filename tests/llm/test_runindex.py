@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tabsieve.llm import runindex as ri
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 
 def brute(rows, length=ri.LENGTH):
     seen, out = set(), []

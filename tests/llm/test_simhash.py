@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tabsieve.llm import simhash
 from tabsieve.llm.components import components
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 
 def brute_print(text, k=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))

@@ -7,6 +7,8 @@ from tokenizers import Tokenizer
 
 from tabsieve.llm import tokencount
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 COUNTER = tokencount.Counter(PATH)

@@ -10,6 +10,8 @@ from tokenizers import Tokenizer
 
 from tabsieve.llm import tokenfile as tf
 
+from corpus_fixtures import make_docs  # noqa: F401
+
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = ["", None, "Hello, world!  <|endoftext|> tail<|startoftext|>", "ÉCOLE naïve é Σας x y\x1cz\x85",
          "a.b,c's I'LL don't 1234 ½ ß " * 40, "word " * 70000, "x" * 3000, "\n\t \x0b\x0c\r"]

@@ -20,7 +20,8 @@ HEADLINE = ["prestige", "prestige_oof", "stratified_folds", "impute_bucket_media
             "derived_features", "dedup_key", "rating_stats", "enrich_left", "band_join",
             "prior_count", "title_join", "nested_role_extract", "mann_whitney",
             "mi_permutation", "mi_knn", "screen_candidates", "partial_spearman", "spearman_matrix",
-            "cov_matrix", "tfidf_top_terms", "tfidf_wide", "threshold_sweep", "cv_summary"]
+            "cov_matrix", "tfidf_top_terms", "tfidf_wide", "threshold_sweep", "cv_summary",
+            "redundancy_prune", "rf_predict", "pca_components", "ordered_scores"]
 
 
 def main() -> None:
@@ -33,7 +34,7 @@ def main() -> None:
     qs = catalog.queries()
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q in qs]
     # warm-up: JVM, Python workers, parquet footers
-    qs["distinct_rows"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    qs["null_profile"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         t0 = time.perf_counter()

@@ -91,17 +91,16 @@ FROM l WHERE tag_id IN (3, 7, 12, 40, 63) GROUP BY vec_id"""
 def outer_features(spark, sf):
     ev = enrich.count_per_key(table(spark, sf, "events"), "user_id", "n_events") \
         .withColumnRenamed("user_id", "cust")
-    od = enrich.count_per_key(table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT"),
-                              "o_custkey", "n_urgent").withColumnRenamed("o_custkey", "cust")
+    od = enrich.count_per_key(table(spark, sf, "orders"), "o_custkey", "n_orders") \
+        .withColumnRenamed("o_custkey", "cust")
     return enrich.outer_merge(ev, od, "cust")
 
 
 OUTER_FEATURES_SQL = """
-SELECT coalesce(a.cust, b.cust) AS cust, a.n_events, b.n_urgent FROM
+SELECT coalesce(a.cust, b.cust) AS cust, a.n_events, b.n_orders FROM
   (SELECT user_id AS cust, count(*) AS n_events FROM events GROUP BY user_id) a
 FULL OUTER JOIN
-  (SELECT o_custkey AS cust, count(*) AS n_urgent FROM orders WHERE o_orderpriority = '1-URGENT'
-   GROUP BY o_custkey) b ON a.cust = b.cust"""
+  (SELECT o_custkey AS cust, count(*) AS n_orders FROM orders GROUP BY o_custkey) b ON a.cust = b.cust"""
 
 
 def _films(spark, sf):

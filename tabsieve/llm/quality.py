@@ -105,15 +105,17 @@ class Rule:
 
 def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """Statistics and quality of at most ``limit`` labelled documents (by hash of id)."""
+    """Features, quality and base verdict of at most ``limit`` labelled
+    documents (by hash of id).  Nothing filters by the statistics here: Spark
+    would move the filter below the join and compute them for all documents."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").alias("__q")).dropna() \
         .groupBy("__id").agg(F.min("__q").alias("__q"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(limit)
     found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")) \
         .join(F.broadcast(known), "__id")  # at most ``limit`` rows of two numbers
     found = found.select("__id", "__q", statistics(F.col("__t")).alias("s"))
-    return found.filter(~base_failed(F.col("s"))).select(
-        F.col("__q").alias("quality"), (F.xxhash64("__id", F.lit("fold")) % 3 == 0).alias("prune"),
+    return found.select(
+        F.col("__q").alias("quality"), base_failed(F.col("s")).alias("base_failed"), (F.xxhash64("__id", F.lit("fold")) % 3 == 0).alias("prune"),
         *[feature(F.col("s"), f).alias(f) for f in FEATURES])
 
 
@@ -125,7 +127,7 @@ def learn(docs: DataFrame, labels: DataFrame, min_precision: float = 0.95, min_s
     (rejected - lost) / covered.  A rule stays if at least ``min_support``
     documents are rejected and ``min_precision`` of those it covers are of low
     quality; what it covers is removed and the next rule is grown."""
-    rows = labelled(docs, labels, **kw).collect()  # bounded by MAX_LABELLED
+    rows = [r for r in labelled(docs, labels, **kw).collect() if not r["base_failed"]]  # at most MAX_LABELLED
     if not rows:
         return []
     x = np.array([[r[f] for f in FEATURES] for r in rows])

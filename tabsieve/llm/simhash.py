@@ -170,8 +170,10 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id
     degree = pairs.select("x").unionAll(pairs.select("y")).groupBy(F.col("x").alias("fp")).agg(
         F.count("*").alias("n_links"))
     roots = components(pairs).withColumnRenamed("node", "fp").join(degree, "fp")
-    linked = roots.join(same, "fp")
-    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root") \
+    linked = cut_lineage(roots.join(same, "fp"))
+    # written as well: both sides of the join are dealt anew, and a large component's side can be split
+    least = cut_lineage(linked.groupBy("root").agg(F.min("least").alias("component_id")))
+    linked = linked.join(least, "root") \
         .select("fp", "component_id", "n_links")
     known = cut_lineage(same.join(linked, "fp", "left").select(
         "fp", "n_copies", F.when(F.col("n_links").isNull(), F.col("least")).otherwise(F.col("component_id"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SPACES = " \t\n\x0b\x0c\r"  # \x20 and \x09-\x0D, the only word separators
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -13,6 +17,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a zstandard-compressed Parquet table in the shared checkpoint
+    folder: for wide intermediate rows, of which disk is the scarce part."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row (a one-element
     array binds it to a lambda variable, so it is not copied into every use)."""

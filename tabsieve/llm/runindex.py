@@ -51,10 +51,11 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import bloom
+from .common import written
 
 LENGTH, K = 100, 32
 CROWDED = 20_000
-COMBINED = 100_000  # stretches or windows that a task combines before it emits them
+COMBINED = 200_000  # stretches or windows that a task combines before it emits them
 CHUNK = 1 << 20  # symbols of one index (a group is never split)
 PIECE, GROUP = 1 << 18, 1 << 18  # bytes hashed at a time; texts are put together up to about as much
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -413,7 +414,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     crowded = np.sort(np.array([r.h for r in counts.filter(F.col("n") > limit).select("h").collect()],
                                np.int64).view(np.uint64))
     repeated = bloom.build(counts, size.n, max_bits=1 << 26)
-    found = cut_lineage(candidates(rows, repeated, crowded))
+    found = written(candidates(rows, repeated, crowded))
     spot = F.struct(F.col("id").isNotNull().alias("has"), "id", "row", "at")
     windows = found.filter("h IS NULL").groupBy("k1", "k2").agg(F.min(spot).alias("s")) \
         .select("s.id", "s.row", "s.at", F.lit(None).cast("binary").alias("marks"))

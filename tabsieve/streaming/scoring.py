@@ -15,15 +15,7 @@ def encode_stream(stream: DataFrame, bridge: DataFrame, scores: DataFrame, gm,
     ``scores`` are static DataFrames; the per-entity aggregate of the bridge
     is static too, so the streaming side only does a left join.  ``gm`` must
     be a literal (scalar subqueries are not allowed in streaming plans)."""
-    per_row = bridge.select(entity, person).join(scores, person, "left")
-    per_entity = per_row.groupBy(entity).agg(
-        F.avg(F.coalesce(F.col("__score"), gm)).alias("__enc"),
-        F.count(F.lit(1)).alias("__cnt"))
-    out = stream.join(per_entity, entity, "left")
-    res = [F.coalesce(F.col("__enc"), gm).alias(out_col)]
-    if count_col:
-        res.append(F.coalesce(F.col("__cnt"), F.lit(1)).cast("long").alias(count_col))
-    return out.select(*[c for c in stream.columns], *res)
+    return encode.apply_scores(stream, bridge, scores, gm, entity, person, out_col, count_col)
 
 
 def fit_static(train: DataFrame, bridge: DataFrame, entity: str, person: str, label: str,

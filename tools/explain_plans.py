@@ -46,7 +46,7 @@ def main() -> None:
             continue
         plan = final_plan(fn(spark, sf))
         counts = [str(len(re.findall(p, plan))) for _, p in COUNTS]
-        scans = sorted(set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)))
+        scans = sorted(set(re.findall(r"ReadSchema: struct<([^>\n]*)", plan)))
         print(f"| {key} | " + " | ".join(counts) + " | " + "; ".join(scans) + " |", flush=True)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich, joins
+from .enrichment import SELECTED_DIMS, USER_STATS_CTE, tag_tables
 from .joining import CREW_CTE, crew_strings
 from .tables import r6, table
 
@@ -114,7 +115,38 @@ s AS (SELECT mine.o_orderkey, sum(pairs.n) AS n FROM mine JOIN y USING (o_orderk
 SELECT o.o_orderkey, CAST(coalesce(s.n, 0) AS INTEGER) AS dir_dp_collabs
 FROM orders o LEFT JOIN s ON s.o_orderkey = o.o_orderkey"""
 
+GENRES = ["BUILDING", "Drama", "MACHINERY"]
+
+
+def external_features(spark, sf):
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    links = c.select(k.alias("movieId"), F.when(k % 10 == 0, "").otherwise(k.cast("string")).alias("imdbId"))
+    movies = c.select(k.alias("movieId"), F.concat("c_mktsegment", F.when(k % 3 == 0, "|Drama").otherwise("")).alias("genres"))
+    ev = table(spark, sf, "events").withColumnRenamed("user_id", "movieId").withColumnRenamed("value", "rating")
+    cells, tags = tag_tables(spark, sf)
+    out, _ = enrich.external_features(
+        links, movies, ev, ev.where("event_type = 'click'"),
+        cells.select(F.col("vec_id").alias("movieId"), F.col("tag_id").alias("tagId"), "relevance"),
+        tags.select(F.col("tag_id").alias("tagId"), "tag"), GENRES, SELECTED_DIMS)
+    return out.select(*[r6(c) if t == "double" else c for c, t in out.dtypes])
+
+
+EXTERNAL_FEATURES_SQL = "WITH " + USER_STATS_CTE + """,
+l AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+pk AS (SELECT vec_id, """ + ", ".join(f"max(v) FILTER (WHERE d = {d}) AS mltag_dim_{d}_x" for d in (3, 7, 12, 40, 63)) + """
+       FROM l GROUP BY vec_id),
+c AS (SELECT c_custkey, c_mktsegment || CASE WHEN c_custkey % 3 = 0 THEN '|Drama' ELSE '' END AS g FROM customer)
+SELECT printf('tt%07d', c_custkey) AS tconst, """ + ", ".join(
+    f"CASE WHEN contains(g, '{g}') THEN 1 ELSE 0 END AS genre_{g.lower()}" for g in GENRES) + """,
+  CAST(len(string_split(g, '|')) AS INTEGER) AS genre_count, round(ml_rating_mean, 6) AS ml_rating_mean,
+  round(ml_rating_std, 6) AS ml_rating_std, ml_rating_count, round(ml_rating_median, 6) AS ml_rating_median,
+  round(ml_log_count, 6) AS ml_log_count, coalesce(ml_tag_count, 0) AS ml_tag_count,
+  """ + ", ".join(f"round(mltag_dim_{d}_x, 6) AS mltag_dim_{d}_x" for d in (3, 7, 12, 40, 63)) + """
+FROM c LEFT JOIN us ON us.user_id = c.c_custkey LEFT JOIN pk ON pk.vec_id = c.c_custkey WHERE c_custkey % 10 <> 0"""
+
 QUERIES = {
+    "external_features": (external_features, EXTERNAL_FEATURES_SQL),
     "award_features": (award_features, AWARD_FEATURES_SQL),
     "test_scores": (test_scores, TEST_SCORES_SQL),
     "community_ratings": (community_ratings, COMMUNITY_RATINGS_SQL),

@@ -56,7 +56,7 @@ from .common import written
 LENGTH, K = 100, 32
 CROWDED = 20_000
 COMBINED = 200_000  # stretches or windows that a task combines before it emits them
-CHUNK = 1 << 20  # symbols of one index (a group is never split)
+CHUNK = 1 << 18  # symbols of one index, so that its arrays stay in cache (a group is never split)
 PIECE, GROUP = 1 << 18, 1 << 18  # bytes hashed at a time; texts are put together up to about as much
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 

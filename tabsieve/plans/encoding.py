@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import encode
-from .tables import movies, part_bridge, r6, supplier_bridge, table
+from .tables import movies, part_bridge, r6, supplier_bridge
 
 
 def prestige(spark, sf):

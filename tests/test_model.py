@@ -1,7 +1,6 @@
 """Model layer: leak-free encoder stage, CV summary, grid search, artifacts,
 label indexing, stream-static scoring."""
 
-import os
 import tempfile
 
 import pytest

@@ -14,10 +14,20 @@ URL's score is the difference of its log likelihoods per byte; the
 threshold is calibrated on labelled URLs that the models have not seen (one in
 ``HELD_OUT``, by hash) as the score with the least mean error of both classes.
 
-Counts cover every labelled URL.  They live in tables of fixed size (hashed
-contexts, ``SLOTS`` per order and class): tasks pre-aggregate into them, Spark
-adds up the tasks' rows by slot, and what goes to the driver and out to the
-tasks is bounded by ``2 * (ORDER + 1) * SLOTS`` numbers at any corpus size.
+Counts cover every labelled URL and are exact: a byte with its ``ORDER`` bytes of
+context is one long (no hashing), counted in a Spark table that grows with the
+input.  What a byte adds to a score depends on that long only, so the weights
+are computed once per distinct one (:func:`weights`), from order 0 up: every
+gram has at most 256 longer ones and every context 256 next bytes, so no group
+of these joins and windows is larger.  A URL's score is the sum of its
+weights: the grams that make up more than 1/``HOT`` of the bytes to score (at
+most ``HOT``) go out to the tasks, the others are joined by gram and summed per
+URL.  Weights are summed as multiples of 1/``SCALE``, so in any order alike.
+Sums and at most ``HOT`` weights and ``2 * (BINS + 1)`` numbers go to the driver.
+
+:func:`count` and :class:`Model` are the same models in tables of fixed size,
+which mix what shares a slot: for few URLs in one process; :func:`judge` does
+not use them.
 
 Defined cases: a NULL URL or one without ``://`` has an empty host and path,
 fits no rule and scores 0 (as does any empty rest), so the threshold decides;
@@ -33,15 +43,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # fixed values: the rules of the contract, (host, path prefix) and verdict
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 ORDER, SLOT_BITS, HELD_OUT, BINS = 5, 18, 8, 4096
 SLOTS = 1 << SLOT_BITS
 TRUST = 2.0
+HOT, SCALE = 1 << 16, 1 << 30
 SPAN = 8.0  # scores beyond +-SPAN nats a byte share the last bins
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -103,7 +116,6 @@ class Model:
     """Counts of grams and of contexts, (2, ORDER + 1, SLOTS): rejected, accepted."""
     gram: np.ndarray
     total: np.ndarray
-    threshold: float = 0.0
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Log likelihood accepted minus rejected, per byte."""
@@ -153,19 +165,85 @@ def count(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("accepted", "kind", "slot").agg(F.sum("n").alias("n"))
 
 
-def fit(rows: DataFrame) -> Model | None:
+@dataclass
+class Exact:
+    """Counts of the labelled URLs' bytes in context: key, n0 (rejected), n1 (accepted)."""
+    counts: DataFrame
+    threshold: float = 0.0
+
+
+def keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, end): every byte of the texts with the ``ORDER`` bytes before it
+    (zero bytes before the start) as one number, the byte lowest; the numbers
+    of text i end at ``end[i]``."""
+    size = np.array([len(t) for t in texts], np.int64)
+    pad = b"\0" * ORDER
+    b = np.frombuffer(b"".join(pad + t for t in texts), np.uint8).astype(np.int64)
+    at = np.arange(size.sum()) + ORDER * (np.repeat(np.arange(len(texts)), size) + 1)
+    key = np.zeros(len(at), np.int64)
+    for k in range(ORDER + 1):
+        key |= b[at - k] << 8 * k
+    return key, np.cumsum(size)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of a bounded number of bytes at a time."""
+    texts, first, size = batch["text"].cast(pa.binary()).to_pylist(), 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > 1 << 20 or i == len(texts) - 1:
+            yield first, texts[first:i + 1]
+            first, size = i + 1, 0
+
+
+def key_counts(rows: DataFrame) -> DataFrame:
+    """(text) -> key, n."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, texts in _pieces(b):
+                key, n = np.unique(keys(texts)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    return rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def weights(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, n and w of the ``wanted`` (key, n): the log likelihood, accepted
+    minus rejected, of the byte after its context, in 1/``SCALE``."""
+    none = F.lit(0).cast("long")
+    base = cut_lineage(counts.select("key", "n0", "n1", none.alias("n"))
+                       .unionAll(wanted.select("key", none.alias("n0"), none.alias("n1"), "n"))
+                       .groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n")]))
+    shorter = None
+    for k in range(ORDER + 1):  # grams of k bytes of context, their sums, and the next shorter gram's probability
+        level = base if k == ORDER else base.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")) \
+            .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("n").alias("n"))
+        same = Window.partitionBy(F.shiftright("key", 8))
+        level = level.withColumns({f"t{c}": F.sum(f"n{c}").over(same) for c in (0, 1)}).filter("n > 0")
+        if shorter is None:
+            level = level.withColumns({f"p{c}": F.lit(1 / 256) for c in (0, 1)})
+        else:
+            level = level.withColumn("tail", F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(shorter, "tail")
+        out = [((F.col(f"n{c}") + TRUST * F.col(f"p{c}")) / (F.col(f"t{c}") + TRUST)).alias(f"p{c}") for c in (0, 1)]
+        shorter = level.select(F.col("key").alias("tail"), "n", *out) if k == ORDER else \
+            level.select(F.col("key").alias("tail"), *out)
+    return shorter.select(F.col("tail").alias("key"), "n",
+                          F.round((F.log("p1") - F.log("p0")) * SCALE).cast("long").alias("w"))
+
+
+def fit(rows: DataFrame) -> Exact | None:
     """Models and threshold from :func:`judged` rows; None without both classes."""
     labelled = rows.filter("ruled IS NOT NULL").select("text", (F.col("ruled") == "allow").alias("accepted"))
-    shape = (2, ORDER + 1, SLOTS)
-    counts = {0: np.zeros(shape, np.float32), 1: np.zeros(shape, np.float32)}
-    arrow = count(labelled.filter(~_held(F.col("text")))).toArrow()  # bounded by the tables' size
-    c, kind, slot, n = (arrow[x].to_numpy() for x in ("accepted", "kind", "slot", "n"))
-    for k in (0, 1):
-        m = kind == k
-        counts[k][c[m], slot[m] // SLOTS, slot[m] % SLOTS] = n[m]
-    if not counts[0][0].any() or not counts[0][1].any():
+    seen = labelled.filter(~_held(F.col("text")))
+    none = F.lit(0).cast("long")
+    counts = cut_lineage(
+        key_counts(seen.filter("NOT accepted")).select("key", F.col("n").alias("n0"), none.alias("n1")).unionAll(
+            key_counts(seen.filter("accepted")).select("key", none.alias("n0"), F.col("n").alias("n1")))
+        .groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    total = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not total.n0 or not total.n1:
         return None
-    model = Model(counts[0], counts[1])
+    model = Exact(counts)
     held = labelled.filter(_held(F.col("text")))
     bins = _scored(held.select("text", "accepted"), model, "accepted").select(
         "accepted", F.floor((F.greatest(F.least("score", F.lit(SPAN)), F.lit(-SPAN)) + SPAN) / (2 * SPAN) * BINS)
@@ -182,22 +260,49 @@ def fit(rows: DataFrame) -> Model | None:
     return model
 
 
-def _scored(rows: DataFrame, model: Model, *keep: str) -> DataFrame:
+def _scored(rows: DataFrame, model: Exact, *keep: str) -> DataFrame:
     """``rows`` (text and ``keep``) with a double ``score`` instead of the text."""
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # written, so that a row has the same number whenever it is read
+    rows = cut_lineage(rows.select("text", *keep).withColumn("__row", F.monotonically_increasing_id()))
+    known = cut_lineage(weights(model.counts, key_counts(rows)))
+    total = known.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") > total / HOT
+    found = known.filter(often).select("key", "w").toArrow().sort_by("key")  # less than HOT rows
+    hot, value = found["key"].to_numpy(), found["w"].to_numpy()
+
+    def look_up(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(hot, key), max(len(hot) - 1, 0))
+        return at, hot[at] == key if len(hot) else np.zeros(len(key), bool)
+
+    def often_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t.as_py().encode("utf-8", "replace") for t in b["text"]]
-            score, first, size = np.zeros(len(texts)), 0, 0
-            for i, t in enumerate(texts):  # a bounded number of bytes at a time
-                size += len(t)
-                if size > 1 << 17 or i == len(texts) - 1:
-                    score[first:i + 1] = model.scores(texts[first:i + 1])
-                    first, size = i + 1, 0
-            yield pa.RecordBatch.from_arrays([*(b[k] for k in keep), pa.array(score)], [*keep, "score"])
-
-    return rows.select("text", *keep).mapInArrow(run, ", ".join(f"{k} {types[k]}" for k in keep) + ", score double")
+            sums, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, texts in _pieces(b):
+                key, end = keys(texts)
+                at, is_hot = look_up(key)
+                add = np.zeros(len(key), np.int64)
+                add[is_hot] = value[at[is_hot]]
+                sums.append(np.diff(np.concatenate([[0], np.cumsum(add)])[np.concatenate([[0], end])]))
+                size.append(np.diff(end, prepend=0))
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in keep), b["__row"], pa.array(np.concatenate(sums)),
+                                              pa.array(np.concatenate(size))], [*keep, "__row", "__sum", "__size"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            number = b["__row"].to_numpy()
+            for first, texts in _pieces(b):
+                key, end = keys(texts)
+                rest = ~look_up(key)[1]
+                owner = np.repeat(number[first:first + len(texts)], np.diff(end, prepend=0))
+                yield pa.RecordBatch.from_arrays([pa.array(owner[rest]), pa.array(key[rest])], ["__row", "key"])
+
+    kept = "".join(f"{k} {types[k]}, " for k in keep)
+    sums = rows.mapInArrow(often_sums, kept + "__row long, __sum long, __size long")
+    more = rows.select("text", "__row").mapInArrow(others, "__row long, key long") \
+        .join(known.filter(~often).select("key", "w"), "key").groupBy("__row").agg(F.sum("w").alias("__more"))
+    score = (F.col("__sum") + F.coalesce("__more", F.lit(0))) / F.lit(float(SCALE)) / F.greatest("__size", F.lit(1))
+    return sums.join(more, "__row", "left").select(*keep, score.alias("score"))
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -95,3 +95,54 @@ def test_without_labels_and_empty(spark):
     one = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (2, None)], schema)
     assert [r.verdict for r in uf.judge(one).collect()] == ["allow"] * 3
     assert uf.judge(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_exact_beyond_the_fixed_tables(spark):
+    """More distinct grams than the fixed tables have slots: scores stay those of exact contexts."""
+    rnd = random.Random(3)
+    texts = [bytes(rnd.choices(b"abcdefghijklmnopqrstuvwxyz0123456789-_", k=60)) for _ in range(12000)]
+    labels = [i % 2 for i in range(len(texts))]
+    rows = spark.createDataFrame([(t.decode(), "allow" if a else "block") for t, a in zip(texts, labels)],
+                                 "text string, ruled string").repartition(3).filter(~uf._held(F.col("text")))
+    seen = [(r.text.encode(), int(r.ruled == "allow")) for r in rows.collect()]
+    assert len({(t[i - 6:i], a) for t, a in seen for i in range(6, 61)}) > 2 * uf.SLOTS
+    model = uf.fit(rows)
+    assert model.threshold == 0  # none is held out
+    tests = [bytes(rnd.choices(b"abcdefghijklmnopqrstuvwxyz0123456789-_", k=40)) for _ in range(8)] + [seen[0][0], b"", "é".encode()]
+    scored = uf._scored(spark.createDataFrame([(t.decode(), i) for i, t in enumerate(tests)], "text string, i int"), model, "i")
+    got = {r.i: r.score for r in scored.collect()}
+    want = brute_scores([t for t, _ in seen], [a for _, a in seen], tests)
+    assert [got[i] for i in range(len(tests))] == pytest.approx(want, abs=1e-6)
+
+
+def brute_scores(texts, labels, tests):
+    """As brute_score, of several texts at once."""
+    logs = []
+    for c in (0, 1):
+        gram, total = {}, {}
+        for t, a in zip(texts, labels):
+            padded = b"\0" * uf.ORDER + t
+            for i in range(uf.ORDER, len(padded) if a == c else 0):
+                for k in range(uf.ORDER + 1):
+                    total[k, padded[i - k:i]] = total.get((k, padded[i - k:i]), 0) + 1
+                    gram[padded[i - k:i + 1]] = gram.get(padded[i - k:i + 1], 0) + 1
+        logs.append([])
+        for text in tests:
+            padded, out = b"\0" * uf.ORDER + text, 0.0
+            for i in range(uf.ORDER, len(padded)):
+                p = 1 / 256
+                for k in range(uf.ORDER + 1):
+                    p = (gram.get(padded[i - k:i + 1], 0) + uf.TRUST * p) / (total.get((k, padded[i - k:i]), 0) + uf.TRUST)
+                out += math.log(p)
+            logs[c].append(out)
+    return [(a - r) / max(len(t), 1) for r, a, t in zip(*logs, tests)]
+
+
+def test_rare_grams_are_joined(spark, monkeypatch):
+    """Scores do not depend on which weights go out to the tasks."""
+    rows = uf.judged(spark.read.parquet(f"{SF}/pages.parquet"))
+    model = uf.fit(rows)
+    one = {r.page_id: r.score for r in uf._scored(rows, model, "page_id").collect()}
+    monkeypatch.setattr(uf, "HOT", 50)
+    two = {r.page_id: r.score for r in uf._scored(rows, model, "page_id").collect()}
+    assert one == two and len(set(one.values())) > 50

@@ -7,7 +7,15 @@ document is cut the same way as everywhere else.  Chunks of two lines or more
 that occur earlier in the corpus (smaller document, or earlier in the same
 one) are removed, once their bytes have been compared; single lines never are.
 
-1. The scan emits (hash, document, place) per multi-line chunk: no text.
+One chunking finds a repeated passage only where it has boundaries in it, so
+short ones stay.  With ``every_line`` a chunk starts at every line and has two
+lines, the least that is removed; the union of the repeated ones is every line
+of every run of two lines or more that occurs earlier, however short.  An
+earlier occurrence in the same document ends before the chunk starts (of a line
+repeated over and over the first two stay).  The first occurrence of a line in
+the corpus always stays, as a run over it that occurs earlier would hold it.
+
+1. The scan emits a hash per multi-line chunk: no text.
 2. Hashes that occur twice go into a Bloom filter (bounded size); a second scan
    emits the text of the chunks that may be repeated.
 3. Byte comparison: grouping by the text itself, with map-side combine, finds
@@ -35,8 +43,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import bloom
+from .common import written
 
 WINDOW, DIVISOR, MIN_LINES = 2, 4, 2
+MOST_ROWS, MOST_BYTES = 1 << 14, 1 << 23  # of a batch of chunks
 MULTIPLIER, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -62,65 +72,91 @@ def chunks(text: str | None, window: int = WINDOW, divisor: int = DIVISOR) -> li
     return out
 
 
-def places(rows: DataFrame, only: bloom.Bloom | None = None) -> DataFrame:
+def spans(text: str | None, every_line: bool) -> list[tuple[int, int, int]]:
+    """(no, first, end) of the chunks of two lines or more; with
+    ``every_line``, of the two lines from every line on (no is the first's)."""
+    if every_line:
+        return [(i, i, i + MIN_LINES) for i in range((text or "").count("\n") + 2 - MIN_LINES)]
+    return [(no, f, e) for no, (f, e) in enumerate(chunks(text)) if e - f >= MIN_LINES]
+
+
+def places(rows: DataFrame, only: bloom.Bloom | None = None, every_line: bool = False) -> DataFrame:
     """(id, text) -> id, no (chunk number), h (hash of the chunk's bytes) and
     chunk per multi-line chunk; with ``only``, those that may be in it, else
-    all of them without their text."""
+    the hashes alone."""
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            h = np.concatenate(hashes).view(np.int64)
+            if only is None:
+                return pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, b["id"].type), pa.array(numbers, pa.int64()), pa.array(h),
+                                               pa.array(texts, pa.binary()).cast(pa.string())], ["id", "no", "h", "chunk"])
+
         for b in batches:
+            ids, numbers, hashes, texts, n, size = [], [], [], [], 0, 0
             for doc_id, text in zip(b["id"], b["text"]):
                 text = text.as_py()
-                found = [(no, f, e) for no, (f, e) in enumerate(chunks(text)) if e - f >= MIN_LINES]
+                found = spans(text, every_line)
                 if not found:
                     continue
-                lines = text.split("\n")
-                texts = ["\n".join(lines[f:e]) for _, f, e in found]
-                h = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) for t in texts], np.uint64)
-                pick = range(len(found)) if only is None else only.hits(h).tolist()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([doc_id.as_py()] * len(pick), b["id"].type),
-                    pa.array([found[i][0] for i in pick], pa.int64()), pa.array(h.view(np.int64)[list(pick)]),
-                    pa.array([texts[i] if only else None for i in pick], pa.string())], ["id", "no", "h", "chunk"])
-
-    return rows.mapInArrow(run, f"id {id_type}, no long, h long, chunk string")
-
-
-def repeats(rows: DataFrame) -> DataFrame:
+                data = text.encode("utf-8", "replace")
+                at = np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1
+                start = [0, *at.tolist(), len(data) + 1]  # of line i; it ends one byte before the next one's
+                for k in range(0, len(found), MOST_ROWS):
+                    some = found[k:k + MOST_ROWS]
+                    h = np.array([xxhash.xxh64_intdigest(data[start[f]:start[e] - 1]) for _, f, e in some], np.uint64)
+                    if only is not None:
+                        pick = only.hits(h).tolist()
+                        ids += [doc_id.as_py()] * len(pick)
+                        numbers += [some[i][0] for i in pick]
+                        texts += [data[start[some[i][1]]:start[some[i][2]] - 1] for i in pick]
+                        size += sum(len(t) for t in texts[len(texts) - len(pick):])
+                        h = h[pick]
+                    hashes.append(h)
+                    n += len(h)
+                    if n >= MOST_ROWS or size >= MOST_BYTES:
+                        yield batch()
+                        ids, numbers, hashes, texts, n, size = [], [], [], [], 0, 0
+            if n:
+                yield batch()
+
+    return rows.mapInArrow(run, "h long" if only is None else f"id {id_type}, no long, h long, chunk string")
+
+
+def repeats(rows: DataFrame, every_line: bool = False) -> DataFrame:
     """(id, text) -> id and the numbers (array) of its chunks that occur earlier."""
     place = F.struct("id", "no")
-    twice = cut_lineage(places(rows).groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-                        .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h"))
-    some = cut_lineage(places(rows, bloom.build(twice, twice.count())))
+    twice = cut_lineage(places(rows, every_line=every_line).groupBy("h").agg(F.count("*").alias("n"))
+                        .filter("n > 1").select("h"))
+    some = written(places(rows, bloom.build(twice, twice.count()), every_line))
     # written, so that both sides of the join are dealt anew and a hot chunk's side can be split
-    first = cut_lineage(some.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-                        .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h", "chunk", F.col("a").alias("first")))
-    later = some.join(first, ["h", "chunk"]).filter(~place.eqNullSafe(F.col("first")))
+    first = written(some.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                    .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h", "chunk", F.col("a").alias("first")))
+    later = some.join(first, ["h", "chunk"]).filter(
+        ~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("no") >= F.col("first.no") + (MIN_LINES if every_line else 1)))
     return later.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_line: bool = False) -> DataFrame:
     """``docs`` with the repeated chunks taken out of the text, and a struct
-    ``removed``: n_lines (before), n_removed (lines), n_chunks (removed).  A
-    text of which nothing is left is empty."""
+    ``removed``: n_lines (before), n_removed (lines), n_chunks (removed;
+    with ``every_line`` they overlap).  A text of which nothing is left is empty."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    gone = repeats(rows).select(F.col("id").alias("__id"), "gone")
+    gone = repeats(rows, every_line).select(F.col("id").alias("__id"), "gone")
     out = docs.drop("removed").join(gone, F.col(id_col).eqNullSafe(F.col("__id")), "left")
 
     @F.pandas_udf("struct<text string, n_removed long>")
     def without(texts, numbers):
         kept, count = [], []
         for t, g in zip(texts, numbers):
-            drop = set() if g is None else set(g)
-            lines, left, n = (t or "").split("\n"), [], 0
-            for no, (f, e) in enumerate(chunks(t)):
-                if no in drop:
-                    n += e - f
-                else:
-                    left += lines[f:e]
+            numbers = set() if g is None else set(g)
+            lines = (t or "").split("\n")
+            drop = {i for no, f, e in spans(t, every_line) if no in numbers for i in range(f, e)}
+            left = [x for i, x in enumerate(lines) if i not in drop]
             kept.append("\n".join(left))
-            count.append(n)
+            count.append(len(drop))
         return pd.DataFrame({"text": kept, "n_removed": count})
 
     text, hit = F.col(text_col), F.col("gone").isNotNull()
@@ -132,8 +168,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_chunks")).alias("removed"))
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_line: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed, n_chunks and the SHA-256 of the kept text per document."""
-    return dedup(docs, id_col, text_col).select(
+    return dedup(docs, id_col, text_col, every_line).select(
         F.col(id_col).alias("doc_id"), "removed.*",
         F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("kept_sha256"))

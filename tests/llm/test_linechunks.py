@@ -60,3 +60,54 @@ def test_repeated_rows_and_empty(make_docs):
     assert sorted((r.doc_id, r.removed.n_removed > 0) for r in got.collect()) == [(1, False), (1, False), (2, True)]
     assert got.columns == [*make_docs([]).columns, "removed"]
     assert lc.report(make_docs([])).count() == 0
+
+
+def brute_runs(rows):
+    """Lines of runs of 2 to 7 lines that occur earlier (in one document: end before), per id."""
+    first, gone = {}, {doc_id: set() for doc_id, _ in rows}
+    for order, (doc_id, text) in enumerate(sorted(rows)):
+        lines = (text or "").split("\n")
+        for n in range(2, 8):
+            for i in range(len(lines) - n + 1):
+                at = first.setdefault(tuple(lines[i:i + n]), (order, i))
+                if at[0] < order or at[1] + n <= i:
+                    gone[doc_id].update(range(i, i + n))
+    return gone
+
+
+def short_blocks():
+    """Documents with blocks of 2 to 6 lines of earlier ones between lines of their own."""
+    rnd = random.Random(9)
+    blocks = [[f"block {b} line {j} \u00e9" for j in range(rnd.randint(2, 6))] for b in range(60)]
+    rows = []
+    for i in range(120):
+        body = [f"own {i} {j}" for j in range(rnd.randint(0, 8))]
+        for b in rnd.sample(blocks, 2):
+            at = rnd.randint(0, len(body))
+            body[at:at] = b
+        rows.append((i, "\n".join(body)))
+    return rows + [(500, "\n" * 50), (501, "x\r\n" * 7), (502, "x\r\nx"), (503, "one"), (504, "y\ny\ny"), (505, "y\ny\ny\ny\ny"),
+                   (506, None), (507, ""), (508, rows[3][1]), (509, "\n".join(f"l{i}" for i in range(40000)))]
+
+
+def test_every_repeated_run_goes(make_docs, spark):
+    """Recall of the query's way against all repeated runs of two lines or more: all of them, and nothing else."""
+    rows = short_blocks()
+    want = brute_runs(rows)
+    got = {r.doc_id: r for r in lc.dedup(make_docs(rows), every_line=True).collect()}
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        assert got[doc_id].removed.n_removed == len(want[doc_id]), doc_id
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in want[doc_id])
+        assert (got[doc_id].text or "") == kept, doc_id
+    short = sum(len(want[i]) for i in range(120))
+    one = sum(r.removed.n_removed for r in lc.dedup(make_docs(rows[:120])).collect())
+    assert short > 500 and one < short / 2  # one chunking leaves most of them
+
+
+def test_query_takes_every_line(spark, tmp_path, make_docs):
+    from tabsieve.llm import queries as q
+    rows = short_blocks()
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_removed for r in q.op3_line_chunks(spark, str(tmp_path)).collect()}
+    assert got == {i: len(lines) for i, lines in brute_runs(rows).items()}

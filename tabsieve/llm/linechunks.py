@@ -25,9 +25,11 @@ the corpus always stays, as a run over it that occurs earlier would hold it.
 
 Defined cases: lines end at \n (a carriage return belongs to its line); blank
 lines are lines; the last chunk ends with the text; NULL and empty texts have
-no chunk and stay as they are; rows sharing an id are one document with the
-same places, so exact repeats of a row are treated alike; NULL ids come first;
-an empty table gives no rows; other columns pass through.
+no chunk and stay as they are; documents are ordered by id, NULL first, then by
+a hash of the text, so different texts under one id or without id are different
+documents; rows equal in id and text are the same document with the same
+places, and get the same result; an empty table gives no rows; other columns
+pass through.
 """
 
 from __future__ import annotations
@@ -81,8 +83,8 @@ def spans(text: str | None, every_line: bool) -> list[tuple[int, int, int]]:
 
 
 def places(rows: DataFrame, only: bloom.Bloom | None = None, every_line: bool = False) -> DataFrame:
-    """(id, text) -> id, no (chunk number), h (hash of the chunk's bytes) and
-    chunk per multi-line chunk; with ``only``, those that may be in it, else
+    """(id, text) -> id, row (hash of the text), no (chunk number), h (hash of the
+    chunk's bytes) and chunk per multi-line chunk; with ``only``, those that may be in it, else
     the hashes alone."""
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -91,17 +93,20 @@ def places(rows: DataFrame, only: bloom.Bloom | None = None, every_line: bool =
             h = np.concatenate(hashes).view(np.int64)
             if only is None:
                 return pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
-            return pa.RecordBatch.from_arrays([pa.array(ids, b["id"].type), pa.array(numbers, pa.int64()), pa.array(h),
-                                               pa.array(texts, pa.binary()).cast(pa.string())], ["id", "no", "h", "chunk"])
+            return pa.RecordBatch.from_arrays([
+                pa.array(ids, b["id"].type), pa.array(np.array(digests, np.uint64).view(np.int64)),
+                pa.array(numbers, pa.int64()), pa.array(h), pa.array(texts, pa.binary()).cast(pa.string())],
+                ["id", "row", "no", "h", "chunk"])
 
         for b in batches:
-            ids, numbers, hashes, texts, n, size = [], [], [], [], 0, 0
+            ids, digests, numbers, hashes, texts, n, size = [], [], [], [], [], 0, 0
             for doc_id, text in zip(b["id"], b["text"]):
                 text = text.as_py()
                 found = spans(text, every_line)
                 if not found:
                     continue
                 data = text.encode("utf-8", "replace")
+                row = xxhash.xxh64_intdigest(data, 42)  # as Spark's xxhash64
                 at = np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1
                 start = [0, *at.tolist(), len(data) + 1]  # of line i; it ends one byte before the next one's
                 for k in range(0, len(found), MOST_ROWS):
@@ -110,6 +115,7 @@ def places(rows: DataFrame, only: bloom.Bloom | None = None, every_line: bool =
                     if only is not None:
                         pick = only.hits(h).tolist()
                         ids += [doc_id.as_py()] * len(pick)
+                        digests += [row] * len(pick)
                         numbers += [some[i][0] for i in pick]
                         texts += [data[start[some[i][1]]:start[some[i][2]] - 1] for i in pick]
                         size += sum(len(t) for t in texts[len(texts) - len(pick):])
@@ -118,16 +124,16 @@ def places(rows: DataFrame, only: bloom.Bloom | None = None, every_line: bool =
                     n += len(h)
                     if n >= MOST_ROWS or size >= MOST_BYTES:
                         yield batch()
-                        ids, numbers, hashes, texts, n, size = [], [], [], [], 0, 0
+                        ids, digests, numbers, hashes, texts, n, size = [], [], [], [], [], 0, 0
             if n:
                 yield batch()
 
-    return rows.mapInArrow(run, "h long" if only is None else f"id {id_type}, no long, h long, chunk string")
+    return rows.mapInArrow(run, "h long" if only is None else f"id {id_type}, row long, no long, h long, chunk string")
 
 
 def repeats(rows: DataFrame, every_line: bool = False) -> DataFrame:
-    """(id, text) -> id and the numbers (array) of its chunks that occur earlier."""
-    place = F.struct("id", "no")
+    """(id, text) -> id, row and the numbers (array) of its chunks that occur earlier."""
+    place = F.struct("id", "row", "no")
     twice = cut_lineage(places(rows, every_line=every_line).groupBy("h").agg(F.count("*").alias("n"))
                         .filter("n > 1").select("h"))
     some = written(places(rows, bloom.build(twice, twice.count()), every_line))
@@ -135,8 +141,9 @@ def repeats(rows: DataFrame, every_line: bool = False) -> DataFrame:
     first = written(some.groupBy("h", "chunk").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                     .filter(~F.col("a").eqNullSafe(F.col("b"))).select("h", "chunk", F.col("a").alias("first")))
     later = some.join(first, ["h", "chunk"]).filter(
-        ~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("no") >= F.col("first.no") + (MIN_LINES if every_line else 1)))
-    return later.groupBy("id").agg(F.array_sort(F.collect_set("no")).alias("gone"))
+        ~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("row") != F.col("first.row"))
+        | (F.col("no") >= F.col("first.no") + (MIN_LINES if every_line else 1)))
+    return later.groupBy("id", "row").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_line: bool = False) -> DataFrame:
@@ -144,8 +151,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every
     ``removed``: n_lines (before), n_removed (lines), n_chunks (removed;
     with ``every_line`` they overlap).  A text of which nothing is left is empty."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    gone = repeats(rows, every_line).select(F.col("id").alias("__id"), "gone")
-    out = docs.drop("removed").join(gone, F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    gone = repeats(rows, every_line).select(
+        F.col("id").alias("__id"), F.col("row").alias("__row"), "gone")
+    out = docs.drop("removed").join(gone, F.col(id_col).eqNullSafe(F.col("__id"))
+                                    & (F.xxhash64(text_col) == F.col("__row")), "left")
 
     @F.pandas_udf("struct<text string, n_removed long>")
     def without(texts, numbers):

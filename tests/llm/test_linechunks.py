@@ -111,3 +111,19 @@ def test_query_takes_every_line(spark, tmp_path, make_docs):
     make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.n_removed for r in q.op3_line_chunks(spark, str(tmp_path)).collect()}
     assert got == {i: len(lines) for i, lines in brute_runs(rows).items()}
+
+
+def test_texts_under_one_id_and_without_id(make_docs):
+    """Different texts under one id, or without id, are different documents."""
+    shared = "\n".join(f"shared {i}" for i in range(30))
+    for doc_id in (7, None):
+        own = ["\n".join(f"own {k} {i}" for i in range(30)) for k in range(3)]
+        texts = [own[0], shared + "\n" + own[1], own[2] + "\n" + shared, shared]
+        for every_line in (False, True):
+            got = [r.text for r in lc.dedup(make_docs([(doc_id, t) for t in texts]), every_line=every_line).collect()]
+            kept = [x for t in got for x in t.split("\n")]
+            assert set(kept) >= {x for t in texts for x in t.split("\n")}  # no line is lost
+            for o in own:
+                assert sum(all(x in t.split("\n") for x in o.split("\n")) for t in got) == 1
+            copies = sum(x.startswith("shared") for x in kept)
+            assert copies == 30 if every_line else 30 <= copies < 90

@@ -25,13 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least id, of each near-duplicate group."""
+    """One row, that of the least id, of each near-duplicate group."""
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontam.clean(docs, read(spark, sf_dir, "benchmark"), keep_null=False)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,8 +100,8 @@ def window_hashes(text: bytes, k: int) -> np.ndarray:
 
 
 def windows(rows: DataFrame, k: int, only: bloom.Bloom | None = None) -> DataFrame:
-    """(id, text) -> id, row (hash of the text, tells rows of one id apart),
-    n (tokens of the text), at, h and seed (the window's tokens) per window;
+    """(id, text) -> id, row (hash of the text as Spark's xxhash64, tells rows of
+    one id apart), n (tokens of the text), at, h and seed (the window's tokens) per window;
     only those that may be in ``only``."""
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -119,7 +119,7 @@ def windows(rows: DataFrame, k: int, only: bloom.Bloom | None = None) -> DataFra
                     m = len(part)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([doc_id.as_py()] * m, b["id"].type),
-                        pa.array(np.full(m, xxhash.xxh64_intdigest(text.as_py().encode("utf-8", "replace")), np.uint64)
+                        pa.array(np.full(m, xxhash.xxh64_intdigest(text.as_py().encode("utf-8", "replace"), 42), np.uint64)
                                  .view(np.int64)),
                         pa.array(np.full(m, len(w), np.int64)), pa.array(part.astype(np.int64)),
                         pa.array(h[part].view(np.int64)),
@@ -159,10 +159,10 @@ def tile(seeds: list[tuple[int, int]], k: int) -> list[tuple[int, int, int]]:
     return tiles
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
+def _matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
             id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """doc_id, item_id, coverage (share of the item's tokens under tiles),
-    n_tiles and longest (tokens) of every contaminated pair."""
+    """doc_id, doc_row (hash of the text), item_id, coverage, n_tiles and
+    longest of every contaminated pair of rows."""
     items = cut_lineage(windows(benchmark.select(F.col(item_col).alias("id"), F.col("text")), min_match))
     n = items.agg(F.count("*")).first()[0]
     seeds = windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), min_match,
@@ -180,19 +180,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, c
             tiles = [tile([(s["i"], s["d"]) for s in x.as_py()], min_match) for x in b["seeds"]]
             total = np.asarray(b["n"])
             yield pa.RecordBatch.from_arrays([
-                b["doc_id"], b["item_id"],
+                b["doc_id"], b["doc_row"], b["item_id"],
                 pa.array([sum(t[2] for t in ts) / n for ts, n in zip(tiles, total.tolist())], pa.float64()),
                 pa.array([len(ts) for ts in tiles], pa.int64()),
                 pa.array([max(t[2] for t in ts) for ts in tiles], pa.int64())],
-                ["doc_id", "item_id", "coverage", "n_tiles", "longest"])
+                ["doc_id", "doc_row", "item_id", "coverage", "n_tiles", "longest"])
+
+    return pairs.mapInArrow(run, f"doc_id {types['doc_id']}, doc_row long, item_id {types['item_id']}, coverage double, "
+                                 "n_tiles long, longest long").filter(F.col("coverage") >= coverage)
 
-    tiled = pairs.mapInArrow(run, f"doc_id {types['doc_id']}, item_id {types['item_id']}, coverage double, "
-                                  "n_tiles long, longest long").filter(F.col("coverage") >= coverage)
-    return tiled.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "longest")).alias("m")) \
+
+def matches(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
+    """doc_id, item_id, coverage (share of the item's tokens under tiles),
+    n_tiles and longest (tokens) of every contaminated pair."""
+    return _matches(docs, benchmark, **kw).groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "longest")).alias("m")) \
         .select("doc_id", "item_id", "m.*")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` without the contaminated ones (a NULL id cannot be named: such rows stay)."""
-    bad = matches(docs, benchmark, id_col=id_col, **kw).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("__bad"), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          keep_null: bool = True, **kw) -> DataFrame:
+    """``docs`` without the contaminated ones, by id and text: another text under
+    the same id stays.  With ``keep_null``, rows without id stay whatever their text."""
+    bad = _matches(docs, benchmark, id_col=id_col, text_col=text_col, **kw) \
+        .select(F.col("doc_id").alias("__bad"), F.col("doc_row").alias("__row")).distinct()
+    if keep_null:
+        bad = bad.filter("__bad IS NOT NULL")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")) & (F.xxhash64(text_col) == F.col("__row")), "left_anti")

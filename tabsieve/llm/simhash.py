@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import written
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -182,8 +183,14 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id
                                            "component_id", "n_links", "n_copies")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """One document of each group: the one whose id is the component's.  The
-    columns stay.  Documents without id stay (none of them can be chosen)."""
-    gone = groups(docs, id_col=id_col, **kw).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col) == F.col("__gone"), "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """One row of each group, the columns as they are: the one of the least id,
+    then of the least hash of the text, then any of the rows equal in both.
+    Rows without id come last and are rows like any other."""
+    # written, so that a row has the same number whenever it is read
+    rows = written(docs.withColumn("__no", F.monotonically_increasing_id()))
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                     F.xxhash64(text_col).alias("row"), F.col("__no").alias("no"))
+    kept = groups(rows.select(place.alias("__place"), F.col(text_col).alias("text")), id_col="__place", **kw) \
+        .filter("doc_id = component_id").select(F.col("doc_id.no").alias("__kept"))
+    return rows.join(kept, F.col("__no") == F.col("__kept"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,12 +7,14 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline as cp
 from tabsieve.llm import decontam, mixing, quality
 
+from corpus_fixtures import make_docs  # noqa: F401
 from test_decontam import greedy, tokens
 from test_quality import brute
 from test_simhash import brute_print, brute_roots
@@ -93,3 +95,20 @@ def test_registered():
     names = {k.split("_")[0] for k in __spark_entry__.queries() if re.match(r"op\d+_", k)}
     assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_rows_without_id_or_of_one_id(spark, make_docs):
+    """Near-dedup and decontamination decide on rows: ids may be NULL or equal."""
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = next(t for t in items if len(tokens(t)) >= 20)
+    clean = [" ".join(f"w{k}x{i * i}" for i in range(60)) for k in range(4)]
+    rows = [(None, clean[0]), (None, clean[0]), (None, clean[1]), (5, clean[2]), (5, clean[3]), (5, clean[3]), (6, clean[2]),
+            (None, clean[2]), (5, bad), (None, bad), (None, "\n" + bad)]
+    docs = make_docs(rows).withColumn("__mine", F.lit(1))
+    got = cp.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        [(None, clean[0]), (None, clean[1]), (5, clean[2]), (5, clean[3]), (5, bad)])
+    left = cp.decontaminate(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(r for r in rows if bad not in r[1])

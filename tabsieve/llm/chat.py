@@ -10,9 +10,13 @@ an inner turn is a prefix of it; two anti joins, on (length, hash), keep
 * of equal conversations the one of the least id, and
 * of those only the ones that no longer conversation continues.
 
-Sums, unlike chained digests, can be formed in pieces: turn order is cut into
-blocks of ``BLOCK`` turn numbers, so a conversation with a third of all turns
-is spread over tasks.  Rendering gives parts of ``PART`` turns for the same
+Sums, unlike chained digests, can be formed in pieces: the turns, in the order
+of conversation, turn, role and first ``PREFIX`` characters of the text, are
+dealt into as many ranges of about equal size as Spark has shuffle partitions,
+and a conversation is summed range by range.  So one with a third of all turns
+is spread over tasks, also if its turn numbers are few or NULL; only different
+texts of one conversation, turn and role that start with the same ``PREFIX``
+characters are in one range.  Rendering gives parts of ``PART`` turns for the same
 reason.  Prefix hashes are de-duplicated map-side before the anti join: a
 first turn that a third of the conversations share is one row per task.
 
@@ -29,8 +33,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import sorted_prefix
 from ..session import cut_lineage
+from .common import written
 
-BLOCK, PART = 1024, 1024
+PREFIX, PART = 64, 1024
 COLUMNS = ["conv_id", "turn", "role", "text"]
 
 
@@ -40,11 +45,19 @@ def _lane(n: int) -> Column:
     return F.conv(F.substring(digest, 15 * n + 1, 15), 16, 10).cast("decimal(20,0)")
 
 
-def prefixes(turns: DataFrame) -> DataFrame:
-    """conv_id, role, text, n (1-based position) and the prefix hash (h0, h1) per turn."""
+def blocks(turns: DataFrame) -> DataFrame:
+    """The distinct turns with ``at`` (turn, least where NULL) and ``block``, the
+    number of their range: it does not fall in the order of (at, role, text)."""
     t = turns.select(*COLUMNS).dropDuplicates()
     t = t.withColumn("at", F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))))
-    block = F.floor(F.col("at") / BLOCK)
+    # written, so that a row has the same number whenever it is read
+    return written(t.repartitionByRange("conv_id", "at", "role", F.substring("text", 1, PREFIX))
+                   .withColumn("block", F.spark_partition_id()))
+
+
+def prefixes(turns: DataFrame) -> DataFrame:
+    """conv_id, role, text, n (1-based position) and the prefix hash (h0, h1) per turn."""
+    t, block = blocks(turns), F.col("block")
     t = sorted_prefix(t, "conv_id", "at", {"pos": F.lit(1)}, tie_cols=["role", "text"], bucket=block)
     t = t.withColumn("l0", _lane(0)).withColumn("l1", _lane(1))
     t = sorted_prefix(t, "conv_id", "at", {"b0": "l0", "b1": "l1"}, tie_cols=["role", "text"], bucket=block)

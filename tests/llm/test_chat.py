@@ -51,3 +51,22 @@ def test_null_conversation_and_blocks(spark):
         f"<|im_start|>user\nt{t}<|im_end|>\n" for t in range(3000))
     alone = chat.collapse(df.filter("conv_id IS NULL")).collect()
     assert [(r.conv_id, r.n_turns) for r in alone] == [(None, 3)]
+
+
+def test_few_turn_numbers_are_spread(spark):
+    """Rows without conversation id, of few or NULL turn numbers, are dealt over many blocks, in order."""
+    rnd = random.Random(7)
+    rows = [(None, rnd.choice([None, 1, 2, 3]), rnd.choice([None, "user", "assistant"]),
+             "".join(rnd.choices("aZ\u00e9\u4e2d \U0001f600", k=rnd.randint(0, 12))) + str(i)) for i in range(6000)]
+    rows += [(c, t, "user", f"c{c} t{t}") for c in range(1000) for t in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows_of = [(r.turn, r.role, r.text, r.block) for r in chat.blocks(df).filter("conv_id IS NULL").collect()]
+        biggest = max(sum(r[3] == b for r in rows_of) for b in {r[3] for r in rows_of})
+        assert len(rows_of) == 6000 and biggest < 2500, biggest
+        rows_of.sort(key=lambda r: [(x is not None, x.encode() if isinstance(x, str) else x or 0) for x in r[:3]])
+        assert [r[3] for r in rows_of] == sorted(r[3] for r in rows_of)
+        assert ours(spark, rows) == twin(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

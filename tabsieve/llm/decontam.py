@@ -190,10 +190,11 @@ def _matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
                                  "n_tiles long, longest long").filter(F.col("coverage") >= coverage)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, *args, **kw) -> DataFrame:
     """doc_id, item_id, coverage (share of the item's tokens under tiles),
     n_tiles and longest (tokens) of every contaminated pair."""
-    return _matches(docs, benchmark, **kw).groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "longest")).alias("m")) \
+    tiled = _matches(docs, benchmark, *args, **kw)
+    return tiled.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "longest")).alias("m")) \
         .select("doc_id", "item_id", "m.*")
 
 

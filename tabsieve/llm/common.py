@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +38,38 @@ def words(text: Column) -> Column:
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return F.when(bare == "", F.array().cast("array<string>")) \
         .otherwise(F.split(bare, SPACE_RUN))
+
+
+def pick(df: DataFrame, **cols: str) -> DataFrame:
+    """``df`` reduced to the columns named by the values, called by the keys;
+    found by position, so that other columns, also ones whose names differ in
+    case only, do not matter.  An exact name goes before one that fits otherwise."""
+    names = df.columns
+    at = {k: names.index(c) if c in names else [n.lower() for n in names].index(c.lower()) for k, c in cols.items()}
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).select(*[F.col(f"c{i}").alias(k) for k, i in at.items()])
+
+
+# lower-cases A-Z; every other ASCII byte but 0-9 and a-z becomes a space
+FOLDED = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
+PIECE = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """``data`` cut at white space into pieces of about ``size`` bytes, so that a
+    long text's words are never all in one list."""
+    at = 0
+    while len(data) - at > size:
+        cut = _SPACE.search(data, at + size)
+        if cut is None:
+            break
+        yield data[at:cut.start()]
+        at = cut.end()
+    yield data[at:] if at else data
+
+
+def folded_words(text: str | None) -> Iterator[list[bytes]]:
+    """The words (maximal runs of 0-9, A-Z, a-z and other than ASCII) of a
+    text, A-Z lower-cased, in lists of bounded size."""
+    for piece in pieces((text or "").encode("utf-8", "replace").translate(FOLDED)):
+        yield piece.split()

@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import chat, decontam, linechunks, mixing, quality, runindex, simhash, tokencount, tokenfile, urlfilter
+from . import (balltree, chat, debruijn, decontam, linechunks, mixing, quality, resample, runindex, simhash,
+               tokencount, tokenfile, urlfilter)
 from .common import read
 
 
@@ -78,6 +79,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_prefix_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and draw of every document towards the benchmark's distribution."""
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return balltree.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")) \
+        .select("item_id", "rank", "doc_id", "score")
+
+
+def op13_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed of every document as parts of 50-word windows of an earlier one."""
+    return debruijn.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_collapse": (op1_chat_collapse, chat.SQL),
     "op2_string_tiling": (op2_string_tiling, None),
@@ -89,4 +106,7 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, None),  # the list is learned
     "op6_pareto_mix": (op6_pareto_mix, mixing.SQL),
     "op10_token_files": (op10_token_files, None),
+    "op11_prefix_crc": (op11_prefix_crc, resample.SQL),
+    "op12_ball_tree": (op12_ball_tree, balltree.SQL),
+    "op13_de_bruijn": (op13_de_bruijn, debruijn.SQL),
 }

@@ -8,15 +8,16 @@ document with a smaller id.
    ones) is its anchor; consecutive windows with one anchor make a path, a row
    of about K / 3 windows.  Equal windows have equal anchors at equal places,
    so windows of different documents can only be equal in paths of one anchor.
-2. *Repeats.*  Paths are grouped by their words (two independent 64-bit hashes),
-   with the least place in the corpus that holds each, map-side combined.
-   Anchors that one document alone has are dropped here: nothing in them repeats.
+2. *Repeats.*  Anchors that one document alone has are dropped: nothing in their
+   paths repeats.  The other paths are grouped by their words (the anchor's hash
+   and an independent one of the whole path, 64 bits each), with the least place
+   in the corpus that holds each, map-side combined.
 3. *Compaction.*  A path that is its anchor's only one has no branch inside.
    It is glued to the path before it where all its occurrences follow that one
-   and there are as many (a join of the paths with themselves on the window
-   that they share an end with); runs of glued paths are one long path, found
-   at its least place.  Where an anchor has several paths the graph branches,
-   or a text begins or ends: their windows are looked up one by one.
+   and there are as many (a join of the paths with the paths before them); runs
+   of glued paths are one long path, found at its least place.  Where an anchor
+   has several paths the graph branches, or a text begins or ends: their windows
+   are looked up one by one.
 4. *Verification.*  Every repeated span now names the least place that holds it.
    The source documents give the SHA-256 of the words there; a span goes only
    if its own words have the same.  (Different words behind equal 128-bit hashes
@@ -47,7 +48,7 @@ from pyspark.sql import types as T
 from .common import pick, pieces, written
 
 K = 50
-KEY = ["anchor", "a", "b", "n"]  # of a path
+KEY = ["anchor", "p"]  # of a path
 STEP = 1 << 18  # windows at a time
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd multipliers
 
@@ -104,9 +105,8 @@ def windows(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def paths_of(h: np.ndarray, k: int = K, step: int = STEP) -> Iterator[tuple[np.ndarray, ...]]:
-    """(start, windows, anchor, first window's hash, last window's second hash,
-    second hash of the window before or 0) of the paths of one text, given its
-    word hashes; a bounded number of windows at a time."""
+    """(start, windows, anchor, hash, hash of the path before or 0) of the paths
+    of one text, given its word hashes; a bounded number of windows at a time."""
     before, anchor = np.uint64(0), max(k // 4, 1)
     for a in range(0, len(h) - k + 1, step):
         part = h[a:a + step + k - 1]
@@ -116,9 +116,10 @@ def paths_of(h: np.ndarray, k: int = K, step: int = STEP) -> Iterator[tuple[np.n
         at = least_at(small, k - anchor + 1)
         start = np.flatnonzero(np.diff(at, prepend=-1))
         size = np.diff(start, append=len(at))
-        last = two[start + size - 1]
-        yield (start + a, size, small[at[start]], one[start], last, np.concatenate([[before], last[:-1]]))
-        before = last[-1]
+        with np.errstate(over="ignore"):  # the first and the last window hold all its words
+            whole = mixed((one[start] * M1 ^ two[start + size - 1]) + size.astype(np.uint64))
+        yield start + a, size, small[at[start]], whole, np.concatenate([[before], whole[:-1]])
+        before = whole[-1]
 
 
 def signed(a: np.ndarray) -> pa.Array:
@@ -126,9 +127,9 @@ def signed(a: np.ndarray) -> pa.Array:
 
 
 def occurrences(rows: DataFrame, k: int, step: int) -> DataFrame:
-    """(id, row (hash of the text), text) -> a row per path: id, row, pos, n, anchor, a, b, before."""
+    """(id, row (hash of the text), text) -> a row per path: id, row, pos, n, anchor, p, before."""
     id_type = rows.schema["id"].dataType.simpleString()
-    names = ["id", "row", "pos", "n", "anchor", "a", "b", "before"]
+    names = ["id", "row", "pos", "n", *KEY, "before"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +152,7 @@ def occurrences(rows: DataFrame, k: int, step: int) -> DataFrame:
             if found:
                 yield flush()
 
-    return written(rows.mapInArrow(scan, f"id {id_type}, row long, pos int, n int, anchor long, a long, b long, before long"))
+    return written(rows.mapInArrow(scan, f"id {id_type}, row long, pos int, n int, anchor long, p long, before long"))
 
 
 def with_spans(rows: DataFrame, spans: DataFrame, how: str = "inner") -> DataFrame:
@@ -163,7 +164,7 @@ def with_spans(rows: DataFrame, spans: DataFrame, how: str = "inner") -> DataFra
 def edges(rows: DataFrame, branching: DataFrame, k: int) -> DataFrame:
     """The windows of paths (key, place, last), one by one: key, last, no (of the
     window in the path), place (id, row, pos: its own) and its two hashes e, f."""
-    asked = branching.select("place.id", "place.row", F.struct("place.pos", *KEY, "last").alias("span"))
+    asked = branching.select("place.id", "place.row", F.struct("place.pos", "n", *KEY, "last").alias("span"))
     id_type = rows.schema["id"].dataType.simpleString()
     names = ["id", "row", "pos", "last", *KEY, "no", "e", "f"]
 
@@ -184,17 +185,17 @@ def edges(rows: DataFrame, branching: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [batch["id"].take(at), batch["row"].take(at), pa.array((pos[path] + no).astype(np.int32)),
                          pa.array([x["last"] for x in some], batch["id"].type).take(of),
-                         *[pa.array([x[c] for x in some], pa.int32() if c == "n" else pa.int64()).take(of) for c in KEY],
+                         *[pa.array([x[c] for x in some], pa.int64()).take(of) for c in KEY],
                          pa.array(no.astype(np.int32)), signed(one[no + seam[path]]), signed(two[no + seam[path]])], names)
 
     return written(with_spans(rows, asked).select("id", "row", "text", "spans").mapInArrow(
-        scan, f"id {id_type}, row long, pos int, last {id_type}, anchor long, a long, b long, n int, no int, e long, f long"))
+        scan, f"id {id_type}, row long, pos int, last {id_type}, anchor long, p long, no int, e long, f long"))
 
 
 def compact(paths: DataFrame) -> DataFrame:
     """Unbranched paths glued to long ones: key (of the first of them), no (0),
     size (windows) and source, the least place."""
-    prior = paths.select(F.col("b").alias("before"), F.col("count").alias("prior"))
+    prior = paths.select(F.col("p").alias("before"), F.col("count").alias("prior"))
     glued = paths.filter("before = other and before <> 0").join(prior, "before").filter("prior = count") \
         .select(*KEY, F.lit(1).alias("glued"))
     # a glued path's least place is right behind that of the path before it, in the same document
@@ -223,15 +224,16 @@ def repeated(rows: DataFrame, k: int = K, step: int = STEP) -> DataFrame:
     """(id, row, text) -> repeated spans: id, row, pos (first word), size
     (windows) and the least place that holds them, source (id, row, pos)."""
     occ = occurrences(rows, k, step)
-    paths = written(occ.groupBy(*KEY).agg(
-        F.count("*").alias("count"), F.min(F.struct("id", "row", "pos")).alias("place"),
-        F.max(F.struct("id"))["id"].alias("last"), F.min("before").alias("before"), F.max("before").alias("other")))
-    shared = paths.groupBy("anchor").agg(F.count("*").alias("paths"), F.min(F.struct("place.id"))["id"].alias("least"),
-                                         F.max(F.struct("last"))["last"].alias("most")) \
-        .filter(~F.col("least").eqNullSafe(F.col("most"))).select("anchor", "paths")
-    paths = written(paths.join(shared, "anchor"))
-    decided = written(compact(paths.filter("paths = 1")).unionByName(
-        resolve(edges(rows, paths.filter("paths > 1"), k))))
+    shared = occ.groupBy("anchor").agg(
+        F.min("id").alias("least"), F.max("id").alias("most"), F.count("id").alias("ids"), F.count("*").alias("all"),
+        (F.min("p") == F.max("p")).alias("single")) \
+        .filter("least < most or ids > 0 and ids < all").select("anchor", "single")
+    occ = written(occ.join(shared, "anchor"))
+    paths = written(occ.groupBy(*KEY, "n", "single").agg(
+        F.count("*").alias("count"), F.min(F.struct("id", "row", "pos")).alias("place"), F.max("id").alias("last"),
+        F.min("before").alias("before"), F.max("before").alias("other")))
+    decided = written(compact(paths.filter("single")).unionByName(
+        resolve(edges(rows, paths.filter("not single"), k))))
     return occ.join(decided, KEY).filter(~F.col("id").eqNullSafe(F.col("source.id"))).select(
         "id", "row", (F.col("pos") + F.col("no")).alias("pos"), "size", "source")
 

@@ -224,10 +224,11 @@ def repeated(rows: DataFrame, k: int = K, step: int = STEP) -> DataFrame:
     """(id, row, text) -> repeated spans: id, row, pos (first word), size
     (windows) and the least place that holds them, source (id, row, pos)."""
     occ = occurrences(rows, k, step)
-    shared = occ.groupBy("anchor").agg(
+    # written, so that both sides of the join are dealt anew and a hot anchor's side can be split
+    shared = written(occ.groupBy("anchor").agg(
         F.min("id").alias("least"), F.max("id").alias("most"), F.count("id").alias("ids"), F.count("*").alias("all"),
         (F.min("p") == F.max("p")).alias("single")) \
-        .filter("least < most or ids > 0 and ids < all").select("anchor", "single")
+        .filter("least < most or ids > 0 and ids < all").select("anchor", "single"))
     occ = written(occ.join(shared, "anchor"))
     paths = written(occ.groupBy(*KEY, "n", "single").agg(
         F.count("*").alias("count"), F.min(F.struct("id", "row", "pos")).alias("place"), F.max("id").alias("last"),

@@ -23,10 +23,13 @@ from __future__ import annotations
 import functools
 import io
 import os
+import re
 import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import pieces
+
 # fixed values of the zstd seekable format
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -42,59 +47,115 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 48 << 20  # compressed size after which a task starts its next file
-CACHE_WORDS = 400_000  # a few hundred bytes each, in either generation
+CACHE_PIECES = 400_000  # of at most CACHED_BYTES, in either generation: some 100 MB
+CACHED_BYTES = 64
+GROUP = 1 << 17  # pieces looked up before the library is asked for the missing ones
+# fixed value: the vocabulary's pattern, over lower-cased bytes of ASCII
+ASCII_PIECE = re.compile(rb"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sA-Za-z0-9\x80-\xff]+")
+PIECE = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|" + ASCII_PIECE.pattern)
 FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<III")
 
 
-class WordIds:
-    """Ids of whole texts, by way of a bounded cache of encoded words.
+class PieceIds:
+    """Ids of whole texts, by way of a bounded cache of encoded pieces.
+
+    The tokenizer lower-cases, drops white space and never merges across the
+    pieces its pattern cuts, so a text's ids are its pieces' ids in order.  One
+    compiled pass cuts lower-cased text; a word with bytes beyond ASCII, whose
+    classes are the library's matter, stays whole, and so do the words of a slice
+    that holds an added token's string in any case.  Pieces not seen lately go through the
+    library, those of many texts in one call.
 
-    The tokenizer drops white space and never merges across it, so the ids of
-    a text are its ASCII-space-separated words' ids in order; only words not
-    seen lately go through the library.  The cache has two generations of
-    ``CACHE_WORDS``: when the young one is full it becomes the old one."""
+    The cache has two generations of ``CACHE_PIECES`` pieces of at most
+    ``CACHED_BYTES``: when the young one is full it becomes the old one."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(added) or rb"(?!)", re.IGNORECASE)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def learn(self, part: list[bytes]) -> None:
-        """Put every word of ``part`` into the young generation."""
-        missing = []
-        for w in dict.fromkeys(part):
-            if w not in self.young:
-                ids = self.old.get(w)
-                if ids is None:
-                    missing.append(w)
-                else:
-                    self.young[w] = ids
-        if missing:
-            found = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-            self.young.update((w, array("I", e.ids).tobytes()) for w, e in zip(missing, found))
-
-    def __call__(self, text: str | None) -> Iterator[bytes]:
-        """Little-endian uint32 ids in pieces of a bounded number of words."""
-        ws = (text or "").encode("utf-8", "replace").split()
-        for i in range(0, len(ws), CACHE_WORDS // 4):
-            part = ws[i:i + CACHE_WORDS // 4]
-            ids = list(map(self.young.get, part))
-            if None in ids:
-                self.learn(part)
-                ids = map(self.young.__getitem__, part)
-            yield b"".join(ids)
-            if len(self.young) > CACHE_WORDS:
+    def cut(self, data: bytes) -> list[bytes]:
+        """Pieces of a slice of text."""
+        if self.added.search(data):
+            return data.split()
+        return (ASCII_PIECE if data.isascii() else PIECE).findall(data.lower())
+
+    def encoded(self, found: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct pieces by the library: plain ones as one text, each ending
+        where an id ends a piece; others one by one."""
+        plain = [p for p in found if ASCII_PIECE.fullmatch(p)]
+        out = {}
+        if plain:
+            text = b" ".join(plain).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            end = np.flatnonzero(self.ends[ids]) + 1
+            if len(end) != len(plain):
+                raise ValueError("the vocabulary does not end pieces where its pattern does")
+            raw, at = ids.tobytes(), 0
+            for p, e in zip(plain, (4 * end).tolist()):
+                out[p], at = raw[at:e], e
+        rest = [p for p in found if p not in out]
+        if rest:
+            encodings = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in rest],
+                                                         add_special_tokens=False)
+            out.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, encodings))
+        return out
+
+    def learn(self, missing: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces that the young generation lacks; short ones enter it."""
+        new, out = [], {}
+        for p in dict.fromkeys(missing):
+            ids = self.old.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                out[p] = ids
+        out |= self.encoded(new)
+        self.young.update((p, ids) for p, ids in out.items() if len(p) <= CACHED_BYTES)
+        return out
+
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
+        """(number of the text, little-endian uint32 ids) in order; a long text
+        comes in several slices, an empty one in one."""
+        group, missing, held = [], [], 0
+
+        def flush() -> Iterator[tuple[int, bytes]]:
+            extra = self.learn(missing) if missing else {}
+            for i, found, ids in group:
+                if found is not None:
+                    ids = [x if x is not None else extra[p] for p, x in zip(found, ids)]
+                yield i, b"".join(ids)
+            if len(self.young) > CACHE_PIECES:
                 self.old, self.young = self.young, {}
 
+        for i, text in enumerate(texts):
+            for data in pieces((text or "").encode("utf-8", "replace")):
+                found = self.cut(data)
+                ids = list(map(self.young.get, found))
+                if None in ids:
+                    missing += [p for p, x in zip(found, ids) if x is None]
+                    group.append((i, found, ids))
+                else:
+                    group.append((i, None, ids))
+                held += len(found)
+                if held >= GROUP:
+                    yield from flush()
+                    group, missing, held = [], [], 0
+        yield from flush()
+
 
 @functools.cache
-def shared(path: str) -> WordIds:
+def shared(path: str) -> PieceIds:
     """The Python worker's encoder, so that its next tasks find its cache filled."""
-    return WordIds(path)
+    return PieceIds(path)
 
 
 class Packer:
@@ -206,9 +267,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
             return pa.RecordBatch.from_arrays([pa.array([p.finish()[:-4]], pa.binary())], ["content"])
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"], batch["text"]):
+            doc_ids = batch["id"].to_pylist()
+            for i, parts in groupby(ids(t.as_py() for t in batch["text"]), itemgetter(0)):
                 out = out or Packer()
-                out.add(doc_id.as_py(), (x for xs in (ids(text.as_py()), [end]) for x in xs))
+                out.add(doc_ids[i], chain(map(itemgetter(1), parts), [end]))
                 if out.size >= FILE_BYTES:
                     yield file(out)
                     out = None

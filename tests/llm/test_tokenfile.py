@@ -63,3 +63,28 @@ def test_random_access_and_checksums():
     bad[-tf.FOOTER.size - 1] ^= 1  # the directory frame's checksum
     with pytest.raises(ValueError):
         tf.TokenFile(io.BytesIO(bytes(bad)))
+
+
+def test_pieces_equal_the_library(monkeypatch):
+    """Random mixtures of the classes that the pattern tells apart, also where
+    the cache is small, texts are cut into slices and pieces are long."""
+    import random
+    from itertools import groupby
+
+    from tabsieve.llm import common
+    rnd = random.Random(7)
+    parts = ["a", "B", "zz", "é", "É", "e\u0301", "'", "'s", "'S", "'LL", "0", "12", "½", ".", "!!", "<|endoftext|>", "<|EndofText|>",
+             "<|", "<", "\u0338", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "Σας", "中文", "😀", "\x00",
+             "_", "-", "’s", "İ", "ﬁ", "٣", "q" * 100, "é" * 70]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(4000)] + ["", None, " ".join(parts * 40)]
+    library = Tokenizer.from_file(PATH)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for cache, group, size in ((tf.CACHE_PIECES, tf.GROUP, common.PIECE), (50, 100, 64)):
+        monkeypatch.setattr(tf, "CACHE_PIECES", cache)
+        monkeypatch.setattr(tf, "GROUP", group)
+        monkeypatch.setattr(common.pieces, "__defaults__", (size,))
+        encoder = tf.PieceIds(PATH)
+        got = [np.frombuffer(b"".join(x for _, x in g), "<u4").tolist() for _, g in groupby(encoder(texts), lambda x: x[0])]
+        assert got == want
+        assert all(len(p) <= tf.CACHED_BYTES for p in encoder.young | encoder.old)
+        assert len(encoder.young) < cache + 4 * group

@@ -9,7 +9,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["encoding", "cleaning", "enrichment", "joining", "screening", "text",
-           "modelling", "compositions"]
+           "modelling", "compositions", "experiments"]
 
 
 def registry() -> dict:

@@ -14,11 +14,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import average_rank, sorted_prefix
-from ..functions.special import normal_sf, student_t_two_sided
+from ..functions.ranking import average_rank, log_bucket, sorted_prefix
+from ..functions.special import EXACT_CELLS, EXACT_CLASS, digamma, exact_u_two_sided, normal_sf, student_t_two_sided
 from ..session import cut_lineage
 
 
@@ -53,7 +54,10 @@ def mann_whitney(long: DataFrame) -> DataFrame:
     """Per feature: two-sided Mann-Whitney U of class 0 vs class 1 with tie
     correction and continuity 1/2 (normal approximation), and the effect
     ``1 - 2U/(n0 n1)``.  U is the class-0 statistic ``R0 - n0(n0+1)/2``.  A
-    constant feature, or a missing class, has z NULL and p-value 1."""
+    constant feature, or a missing class, has z NULL and p-value 1.
+
+    The p-value is exact where a class has ``special.EXACT_CLASS`` rows at most, no
+    value repeats and ``n0 n1`` is ``special.EXACT_CELLS`` at most."""
     rv = ranked_values(long)
     per = rv.groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum(F.col("n") - F.col("n0")).alias("n1"),
@@ -63,9 +67,11 @@ def mann_whitney(long: DataFrame) -> DataFrame:
     u = F.col("r0") - n0 * (n0 + 1) / 2
     sigma = F.sqrt(n0 * n1 / 12.0 * ((N + 1) - F.try_divide("ties", N * (N - 1))))
     z = F.try_divide(F.abs(u - n0 * n1 / 2.0) - 0.5, sigma)
+    exact = (F.least(n0, n1) > 0) & (F.least(n0, n1) <= EXACT_CLASS) & (F.col("ties") == 0) & (n0 * n1 <= EXACT_CELLS)
     return per.select("feature", "n0", "n1", u.alias("u"),
                       (1 - F.try_divide(2 * u, n0 * n1)).alias("effect"), z.alias("z"),
-                      F.coalesce(F.least(F.when(z.isNotNull(), F.lit(1.0)), 2 * normal_sf(z)), F.lit(1.0))
+                      F.coalesce(exact_u_two_sided(F.when(exact, u.cast("long")), n0, n1),
+                                 F.least(F.when(z.isNotNull(), F.lit(1.0)), 2 * normal_sf(z)), F.lit(1.0))
                       .alias("p_value"))
 
 
@@ -175,9 +181,7 @@ def mi_permutation(long: DataFrame, n_perms: int = 100, bins: int = 10,
     map-side, are shuffled."""
     rows = long.select("id", "y").distinct()
     if estimator == "knn":
-        # the reference's estimator; (perm, feature) groups in one plan
-        plong = long.drop("y").join(permuted_labels(rows, n_perms), "id")
-        null = mi_knn(plong, k, keys=("perm", "feature"), scale_from=long)
+        null = mi_knn_permuted(long, n_perms, k)
         real = mi_knn(long, k)
     elif estimator == "binned":
         cuts = permutation_cuts(rows, n_perms)
@@ -380,6 +384,44 @@ def hash_uniform(*cols) -> "F.Column":
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52)) - F.lit(0.5)
 
 
+HEAVY = 64  # values that may have sub-buckets of their own, per feature
+CLUMP_BUCKETS = 1024
+
+
+def value_scale(long: DataFrame, jitter: float) -> DataFrame:
+    """(feature, sd, jit, edges): population std (1 where it is 0), the width of
+    the jitter around every scaled value, and the ends of that stretch around
+    values that many rows share (at most ``HEAVY`` a feature, from a mergeable
+    frequent-items sketch).  Written, as the sketch may differ when made again."""
+    per_f = long.groupBy("feature").agg(
+        F.stddev_pop("x").alias("sd"), F.avg(F.abs("x")).alias("mabs"), F.count("x").alias("n"),
+        F.expr(f"approx_top_k(x, {HEAVY}, {64 * HEAVY})").alias("top"))
+    sd = F.when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0))
+    jit = F.lit(jitter) * F.greatest(F.lit(1.0), F.col("mabs") / sd)
+    heavy = F.filter("top", lambda t: (t["count"] > 1) & (t["count"] * F.lit(4 * HEAVY) >= F.col("n")) & t["item"].isNotNull())
+    per_f = per_f.select("feature", sd.alias("sd"), jit.alias("jit"), heavy.alias("heavy"))
+    edges = F.flatten(F.transform("heavy", lambda t: F.array(
+        t["item"] / F.col("sd") - F.col("jit") / 2, t["item"] / F.col("sd") + F.col("jit") / 2)))
+    return cut_lineage(per_f.select("feature", "sd", "jit", F.array_sort(edges).alias("edges")))
+
+
+def jittered(long: DataFrame, per_f: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``cols``, the scaled and jittered value v, and its feature's edges and jit."""
+    return long.join(F.broadcast(per_f), "feature").select(  # a row per feature
+        *cols, (F.col("x") / F.col("sd") + F.col("jit") * hash_uniform("feature", "id")).alias("v"), "edges", "jit")
+
+
+def clump_bucket(v: "F.Column") -> "F.Column":
+    """Sub-bucket of a jittered value, not decreasing in it: the log bucket, the
+    number of edges of clumps up to the value, and in which of the jitter's
+    ``CLUMP_BUCKETS`` parts behind the last edge it lies.  So the rows of one
+    much repeated value spread over as many buckets, by their jitter."""
+    below = F.when(F.size("edges") == 0, 0).otherwise(F.size(F.filter("edges", lambda e: e <= v)))
+    part = F.floor((v - F.get("edges", below - 1)) / F.col("jit") * CLUMP_BUCKETS)
+    return F.struct(log_bucket(v).alias("b"), below.alias("e"), F.least(F.coalesce(part, F.lit(0)), F.lit(
+        CLUMP_BUCKETS)).cast("int").alias("c"))
+
+
 def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
            keys: Sequence[str] = ("feature",), scale_from: DataFrame | None = None,
            block_rows: int = 4096) -> DataFrame:
@@ -408,24 +450,16 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
     ``scale_from`` supplies the unreplicated long table for the scaling
     statistics (default: ``long`` itself).
     """
-    from ..functions.special import digamma
-
     K = list(keys)
-    # one pass: population std and mean |x| (mean |x / sd| = mean |x| / sd);
-    # label-free, so replicated (permuted) copies give the same numbers
-    per_f = (long if scale_from is None else scale_from).groupBy("feature").agg(
-        F.stddev_pop("x").alias("__sd"),
-                                        F.avg(F.abs("x")).alias("__mabs"))
-    sd = F.when(F.col("__sd") > 0, F.col("__sd")).otherwise(F.lit(1.0))
-    pts = long.join(per_f, "feature").select(
-        *K, "id", "y",
-        (F.col("x") / sd + F.lit(jitter) * F.greatest(F.lit(1.0), F.col("__mabs") / sd)
-         * hash_uniform("feature", "id")).alias("v"))
+    per_f = value_scale(long if scale_from is None else scale_from, jitter)
+    pts = jittered(long, per_f, K + ["id", "y"])
     cls = pts.groupBy(*K, "y").agg(F.count(F.lit(1)).alias("nc"))
     pts = (pts.join(cls, [*K, "y"]).where(F.col("nc") > 1)
            .withColumn("kc", F.least(F.lit(k), F.col("nc") - 1)))
 
-    ranked = sorted_prefix(pts, [*K, "y"], "v", {"r": F.lit(1)}, tie_cols=["id"])
+    bucket = clump_bucket(F.col("v"))
+    ranked = sorted_prefix(pts, [*K, "y"], "v", {"r": F.lit(1)}, tie_cols=["id"], bucket=bucket).drop("edges", "jit")
+    pts = pts.drop("edges", "jit")
     offs = [d for d in range(-k, k + 1) if d != 0]
     B = max(block_rows, 2 * k + 1)
     blk = F.floor(F.col("r") / F.lit(B))
@@ -466,7 +500,8 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
                                         F.lit(0).alias("kind"), F.lit(0).alias("w")))
               .unionByName(withr.select(*K, "id", (F.col("v") - F.col("rad")).alias("val"),
                                         F.lit(2).alias("kind"), F.lit(0).alias("w"))))
-    swept = sorted_prefix(events, K, "val", {"before": "w"}, tie_cols=["kind", "id"])
+    events = events.join(F.broadcast(per_f.select("feature", "edges", "jit")), "feature")  # a row per feature
+    swept = sorted_prefix(events, K, "val", {"before": "w"}, tie_cols=["kind", "id"], bucket=clump_bucket(F.col("val")))
     bounds = swept.where(F.col("kind") != 1).groupBy(*K, "id").agg(
         # a radius of 0 (more ties than the jitter tells apart) counts the ties
         F.abs(F.max(F.when(F.col("kind") == 0, F.col("before")))
@@ -481,6 +516,120 @@ def mi_knn(long: DataFrame, k: int = 5, jitter: float = 1e-10,
         F.lit(0.0), digamma(F.col("n")) + F.col("pk") - F.col("pn") - F.col("pm")).alias("mi"))
 
 
+CHUNK_ROWS = 1 << 16  # consecutive rows of a feature's order that one task gets for all permutations
+HALO = 4  # times the rows in which k neighbours of the rarer class are expected, on either side
+
+
+def permuted_bits(rows: DataFrame, cuts: list[str]) -> DataFrame:
+    """(id, bits): a row's labels in every permutation, one bit each."""
+
+    def pack(batches):
+        for batch in batches:
+            labels = np.stack(batch["labels"].to_numpy(zero_copy_only=False)) if len(batch) else np.zeros((0, len(cuts)))
+            bits = np.packbits(labels.astype(np.uint8), axis=1)
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([b.tobytes() for b in bits], pa.binary())], ["id", "bits"])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", label_vector(cuts, "id").alias("labels")).mapInArrow(pack, f"id {id_type}, bits binary")
+
+
+def neighbour_counts(v: np.ndarray, labels: np.ndarray, own: slice, k: int, first: bool, last: bool) -> tuple[np.ndarray, int]:
+    """Of the rows ``own`` of sorted values with 0/1 labels: per row the points
+    inside the distance of its k-th neighbour in its class, 0 where the values
+    at hand do not hold it for sure; and the number of those.  ``first`` and
+    ``last`` tell that nothing precedes or follows the values."""
+    m = np.zeros(len(v), np.int64)
+    for c in (0, 1):
+        at = np.flatnonzero(labels == c)
+        x = v[at]
+        lo, hi = np.searchsorted(at, [own.start, own.stop])
+        i = np.arange(lo, hi)
+        known = ((i >= k) | first) & ((i + k < len(x)) | last)
+        best = np.full(len(i), np.inf)
+        for j in range(k + 1):  # j of the k neighbours lie below
+            a, b = i - j, i - j + k
+            some = np.flatnonzero((a >= 0) & (b < len(x)))
+            best[some] = np.minimum(best[some], np.maximum(x[i[some]] - x[a[some]], x[b[some]] - x[i[some]]))
+        known &= np.isfinite(best)
+        some, radius = x[i[known]], best[known] * (1.0 - 1e-12)
+        inside = np.searchsorted(v, some + radius, "left") - np.searchsorted(v, some - radius, "right")
+        m[at[i[known]]] = np.maximum(np.abs(inside), 1)
+    return m[own], int((m[own] == 0).sum())
+
+
+def mi_knn_permuted(long: DataFrame, n_perms: int, k: int = 5, jitter: float = 1e-10,
+                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(perm, feature, mi): :func:`mi_knn` under every permutation of the labels.
+
+    A feature's values are the same in all of them, so they are ordered once:
+    rows get exact ranks, are cut into chunks of ``chunk_rows`` consecutive ones,
+    and carry one bit per permutation.  A chunk comes with as many rows of its
+    neighbours as hold k rows of either class many times over; one task counts
+    the neighbours of all permutations in it.  What is shuffled does not depend
+    on their number, but for a bit per row and a cell per (feature, permutation, chunk).
+
+    Where the rows at hand do not hold a neighbour (a rarer class than one row in about
+    ``chunk_rows / HALO / (k + 16)``), or a class has k rows or fewer, the permutations
+    concerned take :func:`mi_knn` on replicated rows: the same estimate."""
+    spark = long.sparkSession
+    rows = long.select("id", "y").distinct()
+    cuts = permutation_cuts(rows, n_perms)
+    size = long.groupBy("feature").agg(
+        F.count("x").alias("n"), F.sum("y").alias("n1"), F.count_if(F.col("x").isNull()).alias("missing")).collect()
+
+    def replicated(perms: list[int]) -> DataFrame:
+        labels = label_vector(cuts, "id")
+        labels = rows.select("id", F.posexplode(labels).alias("perm", "y")).filter(F.col("perm").isin(perms))
+        return mi_knn(long.drop("y").join(labels, "id"), k, jitter, keys=("perm", "feature"), scale_from=long)
+
+    rarer = min((min(r["n1"], r["n"] - r["n1"]) / max(r["n"], 1) for r in size), default=0.0)
+    if not size or any(r["missing"] or min(r["n1"], r["n"] - r["n1"]) <= k for r in size):
+        return replicated(list(range(n_perms)))
+    halo = min(int(np.ceil(HALO * (k + 16) / rarer)), chunk_rows)
+    totals = {r["feature"]: (r["n"], r["n1"]) for r in size}  # a row per feature
+
+    pts = jittered(long, value_scale(long, jitter), ["feature", "id"])
+    ranked = sorted_prefix(pts, ["feature"], "v", {"r": F.lit(1)}, tie_cols=["id"], bucket=clump_bucket(F.col("v")))
+    chunk, at = F.floor(F.col("r") / chunk_rows), F.col("r") % chunk_rows
+    chunks = F.filter(F.array(chunk, F.when(at < halo, chunk - 1), F.when(at >= chunk_rows - halo, chunk + 1)),
+                      lambda c: c.isNotNull() & (c >= 0))
+    dealt = ranked.join(permuted_bits(rows, cuts), "id").select("feature", F.explode(chunks).alias("chunk"), "r", "v", "bits")
+    upto = 1 << 12
+    psi = np.concatenate([[0.0, -np.euler_gamma], -np.euler_gamma + np.cumsum(1.0 / np.arange(1, upto))])
+
+    def digammas(m: np.ndarray) -> np.ndarray:
+        big = np.maximum(m, upto).astype(np.float64)  # beyond the table the series is exact to the last digits
+        return np.where(m < upto, psi[np.minimum(m, upto - 1)], np.log(big) - 0.5 / big - 1 / (12 * big * big))
+
+    def count(key, table):
+        feature, c = key[0].as_py(), key[1].as_py()
+        r = table["r"].to_numpy()
+        order = np.argsort(r)
+        r, v = r[order], table["v"].to_numpy()[order]
+        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(len(r), -1)[order]
+        labels = np.unpackbits(bits, axis=1, count=n_perms)
+        own = slice(*np.searchsorted(r, [c * chunk_rows, (c + 1) * chunk_rows]).tolist())
+        first, last = r[0] == 0, r[-1] == totals[feature][0] - 1
+        sums, unsure = np.zeros(n_perms), np.zeros(n_perms, np.int64)
+        if own.stop > own.start:  # the chunk behind the last one may hold others' rows only
+            for p in range(n_perms):
+                m, unsure[p] = neighbour_counts(v, labels[:, p], own, k, first, last)
+                sums[p] = digammas(m[m > 0]).sum()
+        return pa.table({"feature": [feature] * n_perms, "perm": pa.array(range(n_perms), pa.int32()),
+                         "psi": sums, "unsure": unsure})
+
+    cells = dealt.groupBy("feature", "chunk").applyInArrow(count, "feature string, perm int, psi double, unsure long") \
+        .groupBy("feature", "perm").agg(F.sum("psi").alias("psi"), F.sum("unsure").alias("unsure"))
+    cells = cut_lineage(cells)  # a row per feature and permutation
+    again = sorted(r[0] for r in cells.filter("unsure > 0").select("perm").distinct().collect())
+    whole = spark.createDataFrame([(f, float(n), float(n1)) for f, (n, n1) in totals.items()], "feature string, n double, n1 double")
+    n, n1, n0 = F.col("n"), F.col("n1"), F.col("n") - F.col("n1")
+    mi = digamma(n) + digamma(F.lit(float(k))) - (n1 * digamma(n1) + n0 * digamma(n0)) / n - F.col("psi") / n
+    out = cells.filter(~F.col("perm").isin(again)) if again else cells
+    out = out.join(F.broadcast(whole), "feature").select("perm", "feature", F.greatest(F.lit(0.0), mi).alias("mi"))
+    return out.unionByName(replicated(again)) if again else out
+
+
 # ------------------------------------------------------------ orchestration
 REPORT_SCHEMA = ("feature string, mw_effect double, mw_p_adj double, mi double, "
                  "mi_null_q double, mi_p_adj double, passed_tests int, partial_drop int, "

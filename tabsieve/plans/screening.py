@@ -131,6 +131,43 @@ SELECT feature, n0, n1, round(u, 6) AS u, round(effect, 6) AS effect, round(z, 6
        round(p_value, 6) AS p_value FROM mwz"""
 
 
+def small_groups(spark, sf):
+    """Suppliers' balances by nation as features, odd keys as label: small classes without ties."""
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    return s.join(F.broadcast(n.select("n_nationkey", "n_name")), s["s_nationkey"] == F.col("n_nationkey")).select(  # 25 rows
+        F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 2).cast("int").alias("y"), F.col("n_name").alias("feature"),
+        F.col("s_acctbal").cast("double").alias("x"))
+
+
+def mann_whitney_exact(spark, sf):
+    mw = stats.mann_whitney(small_groups(spark, sf))
+    return mw.select("feature", "n0", "n1", r6("u"), r6("p_value"))
+
+
+MOST_ROWS = 48  # of a nation with an exact test, in the twin
+
+
+def _ways(n: int) -> str:
+    """Ways to choose m of the ranks 1..n with sum s, from those of n - 1."""
+    return f""",
+ways{n} AS MATERIALIZED (SELECT m, s, sum(c)::DOUBLE AS c FROM (SELECT m, s, c FROM ways{n - 1}
+  UNION ALL SELECT m + 1, s + {n}, c FROM ways{n - 1} WHERE m < 8) GROUP BY m, s)"""
+
+
+MANN_WHITNEY_EXACT_SQL = """
+WITH long AS (SELECT s_suppkey AS id, s_suppkey % 2 AS y, n_name AS feature, CAST(s_acctbal AS DOUBLE) AS x
+              FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+""" + FEAT_CTE[FEAT_CTE.index("vc AS (SELECT"):] + MW_BODY + """,
+ways0 AS (SELECT 0 AS m, 0 AS s, 1.0::DOUBLE AS c)""" + "".join(_ways(n) for n in range(1, MOST_ROWS + 1)) + """,
+ways AS (""" + " UNION ALL ".join(f"SELECT {n} AS n, * FROM ways{n}" for n in range(1, MOST_ROWS + 1)) + """),
+small AS (SELECT m.feature, n0 + n1 AS n, least(n0, n1) AS m, greatest(u, n0 * n1 - u) AS u
+          FROM mwz m JOIN (SELECT feature, ties FROM mwp) USING (feature) WHERE least(m.n0, m.n1) BETWEEN 1 AND 8 AND ties = 0),
+exact AS (SELECT feature, least(1.0, 2 * sum(CASE WHEN s - w.m * (w.m + 1) / 2 >= u THEN c ELSE 0 END) / sum(c)) AS p
+          FROM small JOIN ways w ON w.n = small.n AND w.m = small.m GROUP BY feature)
+SELECT feature, n0, n1, round(u, 6) AS u, round(CASE WHEN n0 * n1 = 0 THEN 1.0 ELSE coalesce(p, p_value, 1.0) END, 6) AS p_value
+FROM mwz LEFT JOIN exact USING (feature)"""
+
+
 def mi_binned(spark, sf):
     return stats.mi_binned(long_form(spark, sf), BINS).select("feature", r6("mi"))
 
@@ -384,6 +421,7 @@ QUERIES = {
     "mi_permutation_knn": (mi_permutation_knn, MI_PERMUTATION_KNN_SQL),
     "avg_rank": (avg_rank, AVG_RANK_SQL),
     "mann_whitney": (mann_whitney, MANN_WHITNEY_SQL),
+    "mann_whitney_exact": (mann_whitney_exact, MANN_WHITNEY_EXACT_SQL),
     "mi_binned": (mi_binned, MI_BINNED_SQL),
     "mi_permutation": (mi_permutation, MI_PERMUTATION_SQL),
     "bh_adjust": (bh_adjust, BH_ADJUST_SQL),

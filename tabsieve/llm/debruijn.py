@@ -233,8 +233,7 @@ def repeated(rows: DataFrame, k: int = K, step: int = STEP) -> DataFrame:
     paths = written(occ.groupBy(*KEY, "n", "single").agg(
         F.count("*").alias("count"), F.min(F.struct("id", "row", "pos")).alias("place"), F.max("id").alias("last"),
         F.min("before").alias("before"), F.max("before").alias("other")))
-    decided = written(compact(paths.filter("single")).unionByName(
-        resolve(edges(rows, paths.filter("not single"), k))))
+    decided = compact(paths.filter("single")).unionByName(resolve(edges(rows, paths.filter("not single"), k)))
     return occ.join(decided, KEY).filter(~F.col("id").eqNullSafe(F.col("source.id"))).select(
         "id", "row", (F.col("pos") + F.col("no")).alias("pos"), "size", "source")
 
@@ -280,8 +279,8 @@ def sources(rows: DataFrame, spans: DataFrame, k: int) -> DataFrame:
                             "pos", "size")], pa.array([words.digest(x["pos"], x["size"], k) for x in some], pa.binary())],
                         ["id", "row", "pos", "size", "digest"])
 
-    return written(with_spans(rows, asked).select("id", "row", "text", "spans").mapInArrow(
-        scan, f"id {id_type}, row long, pos int, size int, digest binary"))
+    return with_spans(rows, asked).select("id", "row", "text", "spans").mapInArrow(
+        scan, f"id {id_type}, row long, pos int, size int, digest binary")
 
 
 def cut(rows: DataFrame, k: int = K, step: int = STEP) -> DataFrame:

@@ -43,8 +43,8 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines removed of every document as parts of repeated runs of two lines or more."""
-    return linechunks.report(read(spark, sf_dir, "documents"), every_line=True)
+    """Lines removed of every document as parts of repeated content-defined chunks."""
+    return linechunks.report(read(spark, sf_dir, "documents"))
 
 
 def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,14 +49,28 @@ FRAME_IDS = 1 << 16
 FILE_BYTES = 48 << 20  # compressed size after which a task starts its next file
 CACHE_PIECES = 400_000  # of at most CACHED_BYTES, in either generation: some 100 MB
 CACHED_BYTES = 64
-GROUP = 1 << 17  # pieces looked up before the library is asked for the missing ones
+SEEN = 1 << 22  # bytes that tell pieces met before
+SEAM = "\x07"  # a piece of its own between others
+GROUP = 1 << 13  # pieces looked up before the library is asked for the missing ones: few enough to stay in the processor's cache
 # fixed value: the vocabulary's pattern, over lower-cased bytes of ASCII
 ASCII_PIECE = re.compile(rb"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sA-Za-z0-9\x80-\xff]+")
+PLAIN = re.compile(rb"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~]+")  # of printable ASCII
 PIECE = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|" + ASCII_PIECE.pattern)
 FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<III")
 
 
+class Cache(dict):
+    """Ids by piece; pieces asked for that it lacks are noted in ``missing``."""
+
+    def __init__(self):
+        super().__init__()
+        self.missing: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> None:
+        self.missing.append(piece)
+
+
 class PieceIds:
     """Ids of whole texts, by way of a bounded cache of encoded pieces.
 
@@ -67,20 +81,26 @@ class PieceIds:
     that holds an added token's string in any case.  Pieces not seen lately go through the
     library, those of many texts in one call.
 
-    The cache has two generations of ``CACHE_PIECES`` pieces of at most
+    A piece enters the cache when it is met in a second group of texts (``seen``
+    holds a byte per hash of those met once), so the many that come once do not
+    crowd it.  It has two generations of ``CACHE_PIECES`` pieces of at most
     ``CACHED_BYTES``: when the young one is full it becomes the old one."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)  # for pieces that are cut and lower-cased already
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.seam = self.tokenizer.encode(SEAM, add_special_tokens=False).ids
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile(b"|".join(added) or rb"(?!)", re.IGNORECASE)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young, self.old = Cache(), Cache()
+        self.seen = bytearray(SEEN)
 
     def cut(self, data: bytes) -> list[bytes]:
         """Pieces of a slice of text."""
@@ -90,19 +110,31 @@ class PieceIds:
 
     def encoded(self, found: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct pieces by the library: plain ones as one text, each ending
-        where an id ends a piece; others one by one."""
-        plain = [p for p in found if ASCII_PIECE.fullmatch(p)]
+        where an id ends a piece; others as one text too, with a piece that none
+        of them holds in between; what is left one by one."""
+        plain, mixed, rest = [], [], []
+        for p in found:
+            (plain if PLAIN.fullmatch(p) else mixed if SEAM.encode() not in p and not self.added.search(p)
+             else rest).append(p)
         out = {}
         if plain:
-            text = b" ".join(plain).decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.bare.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
             end = np.flatnonzero(self.ends[ids]) + 1
             if len(end) != len(plain):
                 raise ValueError("the vocabulary does not end pieces where its pattern does")
             raw, at = ids.tobytes(), 0
             for p, e in zip(plain, (4 * end).tolist()):
                 out[p], at = raw[at:e], e
-        rest = [p for p in found if p not in out]
+        if mixed and len(self.seam) == 1:
+            text = f" {SEAM} ".join(p.decode("utf-8", "replace") for p in mixed)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            end = np.flatnonzero(ids == self.seam[0])
+            if len(end) == len(mixed) - 1:
+                raw, at = ids.tobytes(), 0
+                for p, e in zip(mixed, [*(4 * end).tolist(), len(raw)]):
+                    out[p], at = raw[at:e], e + 4
+                mixed = []
+        rest += mixed
         if rest:
             encodings = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in rest],
                                                          add_special_tokens=False)
@@ -110,45 +142,47 @@ class PieceIds:
         return out
 
     def learn(self, missing: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces that the young generation lacks; short ones enter it."""
+        """Ids of pieces that the young generation lacks; short ones met before enter it."""
         new, out = [], {}
         for p in dict.fromkeys(missing):
-            ids = self.old.get(p)
+            ids = self.old.get(p)  # does not note it
             if ids is None:
                 new.append(p)
             else:
                 out[p] = ids
-        out |= self.encoded(new)
-        self.young.update((p, ids) for p, ids in out.items() if len(p) <= CACHED_BYTES)
+        self.young |= out
+        for p, ids in self.encoded(new).items():
+            out[p], at = ids, hash(p) % SEEN
+            if not self.seen[at]:
+                self.seen[at] = 1
+            elif len(p) <= CACHED_BYTES:
+                self.young[p] = ids
         return out
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
         """(number of the text, little-endian uint32 ids) in order; a long text
         comes in several slices, an empty one in one."""
-        group, missing, held = [], [], 0
+        group, held = [], 0
 
         def flush() -> Iterator[tuple[int, bytes]]:
-            extra = self.learn(missing) if missing else {}
+            extra = self.learn(self.young.missing) if self.young.missing else {}
+            self.young.missing.clear()
             for i, found, ids in group:
                 if found is not None:
                     ids = [x if x is not None else extra[p] for p, x in zip(found, ids)]
                 yield i, b"".join(ids)
             if len(self.young) > CACHE_PIECES:
-                self.old, self.young = self.young, {}
+                self.old, self.young, self.seen = self.young, Cache(), bytearray(SEEN)
 
         for i, text in enumerate(texts):
             for data in pieces((text or "").encode("utf-8", "replace")):
-                found = self.cut(data)
-                ids = list(map(self.young.get, found))
-                if None in ids:
-                    missing += [p for p, x in zip(found, ids) if x is None]
-                    group.append((i, found, ids))
-                else:
-                    group.append((i, None, ids))
+                found, known = self.cut(data), len(self.young.missing)
+                ids = list(map(self.young.__getitem__, found))
+                group.append((i, found if len(self.young.missing) > known else None, ids))
                 held += len(found)
                 if held >= GROUP:
                     yield from flush()
-                    group, missing, held = [], [], 0
+                    group, held = [], 0
         yield from flush()
 
 

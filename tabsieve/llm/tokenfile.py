@@ -47,44 +47,46 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 48 << 20  # compressed size after which a task starts its next file
-CACHE_PIECES = 400_000  # of at most CACHED_BYTES, in either generation: some 100 MB
+CACHE_WORDS, CACHE_PIECES = 400_000, 300_000  # of at most CACHED_BYTES: 1,100,000 entries in all, some 150 MB
 CACHED_BYTES = 64
-SEEN = 1 << 22  # bytes that tell pieces met before
-SEAM = "\x07"  # a piece of its own between others
-GROUP = 1 << 13  # pieces looked up before the library is asked for the missing ones: few enough to stay in the processor's cache
+SEAM = b"\x07"  # a piece of its own between others
+GROUP = 1 << 13  # words looked up before the library is asked for the missing ones: few enough to stay in the processor's cache
 # fixed value: the vocabulary's pattern, over lower-cased bytes of ASCII
 ASCII_PIECE = re.compile(rb"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sA-Za-z0-9\x80-\xff]+")
-PLAIN = re.compile(rb"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~]+")  # of printable ASCII
-PIECE = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|" + ASCII_PIECE.pattern)
+# pieces that need no normalisation: small letters, composed ones of Latin-1 among them; a digit; a contraction; signs
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~]+")
+# between an ASCII letter and a sign other than the apostrophe, and around digits, pieces always end
+SIGN = rb"[^\sa-z0-9'\x80-\xff]"
+SAFE_CUT = re.compile(rb"(?<=[a-z])(?=" + SIGN + rb")|(?<=" + SIGN + rb")(?=[a-z])|(?<=[0-9])|(?=[0-9])")
 FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<III")
 
 
 class Cache(dict):
-    """Ids by piece; pieces asked for that it lacks are noted in ``missing``."""
+    """Ids by word; words asked for that it lacks are noted in ``missing``."""
 
     def __init__(self):
         super().__init__()
         self.missing: list[bytes] = []
 
-    def __missing__(self, piece: bytes) -> None:
-        self.missing.append(piece)
+    def __missing__(self, word: bytes) -> None:
+        self.missing.append(word)
 
 
-class PieceIds:
-    """Ids of whole texts, by way of a bounded cache of encoded pieces.
+class TextIds:
+    """Ids of whole texts, by way of bounded caches of encoded words and pieces.
 
     The tokenizer lower-cases, drops white space and never merges across the
-    pieces its pattern cuts, so a text's ids are its pieces' ids in order.  One
-    compiled pass cuts lower-cased text; a word with bytes beyond ASCII, whose
-    classes are the library's matter, stays whole, and so do the words of a slice
-    that holds an added token's string in any case.  Pieces not seen lately go through the
-    library, those of many texts in one call.
+    pieces its pattern cuts, so a text's ids are its lower-cased words' ids in
+    order, and a word's those of its pieces.  Words not seen lately are cut where
+    the pattern must cut (a word with bytes beyond ASCII, whose classes are the
+    library's matter, only between ASCII letters, digits and signs), and pieces not
+    seen lately go through the library, those of many texts in one call.  A slice of
+    text that holds an added token's string, in any case, goes through it whole.
 
-    A piece enters the cache when it is met in a second group of texts (``seen``
-    holds a byte per hash of those met once), so the many that come once do not
-    crowd it.  It has two generations of ``CACHE_PIECES`` pieces of at most
-    ``CACHED_BYTES``: when the young one is full it becomes the old one."""
+    The words' cache has two generations of ``CACHE_WORDS``: when the young one is
+    full it becomes the old one; the pieces' starts anew after ``CACHE_PIECES``.
+    Neither keeps anything over ``CACHED_BYTES``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,30 +94,25 @@ class PieceIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.bare = Tokenizer.from_file(path)  # for pieces that are cut and lower-cased already
         self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.seam = self.tokenizer.encode(SEAM, add_special_tokens=False).ids
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.seam = self.tokenizer.encode(SEAM.decode(), add_special_tokens=False).ids
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile(b"|".join(added) or rb"(?!)", re.IGNORECASE)
+        added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or rb"(?!)")
+        self.hint = os.path.commonprefix(added)  # found faster than the whole of them
         self.young, self.old = Cache(), Cache()
-        self.seen = bytearray(SEEN)
-
-    def cut(self, data: bytes) -> list[bytes]:
-        """Pieces of a slice of text."""
-        if self.added.search(data):
-            return data.split()
-        return (ASCII_PIECE if data.isascii() else PIECE).findall(data.lower())
+        self.parts: dict[bytes, bytes] = {}
 
     def encoded(self, found: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of distinct pieces by the library: plain ones as one text, each ending
+        """Ids of distinct lower-cased pieces by the library: plain ones as one text, each ending
         where an id ends a piece; others as one text too, with a piece that none
         of them holds in between; what is left one by one."""
         plain, mixed, rest = [], [], []
         for p in found:
-            (plain if PLAIN.fullmatch(p) else mixed if SEAM.encode() not in p and not self.added.search(p)
-             else rest).append(p)
+            (plain if PLAIN.fullmatch(p) else rest if SEAM in p or self.hint in p else mixed).append(p)
         out = {}
         if plain:
             ids = np.array(self.bare.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
@@ -126,7 +123,7 @@ class PieceIds:
             for p, e in zip(plain, (4 * end).tolist()):
                 out[p], at = raw[at:e], e
         if mixed and len(self.seam) == 1:
-            text = f" {SEAM} ".join(p.decode("utf-8", "replace") for p in mixed)
+            text = (b" " + SEAM + b" ").join(mixed).decode("utf-8", "replace")
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             end = np.flatnonzero(ids == self.seam[0])
             if len(end) == len(mixed) - 1:
@@ -142,25 +139,29 @@ class PieceIds:
         return out
 
     def learn(self, missing: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces that the young generation lacks; short ones met before enter it."""
-        new, out = [], {}
-        for p in dict.fromkeys(missing):
-            ids = self.old.get(p)  # does not note it
+        """Ids of words that the young generation lacks; short ones enter it."""
+        out, cuts, new = {}, {}, {}
+        for w in dict.fromkeys(missing):
+            ids = self.old.get(w)  # does not note it
             if ids is None:
-                new.append(p)
+                cuts[w] = found = ASCII_PIECE.findall(w) if w.isascii() else [p for p in SAFE_CUT.split(w) if p]
+                for p in found:
+                    if p not in self.parts:
+                        new[p] = None
             else:
-                out[p] = ids
-        self.young |= out
-        for p, ids in self.encoded(new).items():
-            out[p], at = ids, hash(p) % SEEN
-            if not self.seen[at]:
-                self.seen[at] = 1
-            elif len(p) <= CACHED_BYTES:
-                self.young[p] = ids
+                out[w] = ids
+        new = self.encoded(list(new))
+        parts = self.parts
+        for w, found in cuts.items():
+            out[w] = b"".join([new[p] if p in new else parts[p] for p in found])
+        if len(parts) > CACHE_PIECES:
+            parts.clear()
+        parts.update((p, ids) for p, ids in new.items() if len(p) <= CACHED_BYTES)
+        self.young.update((w, ids) for w, ids in out.items() if len(w) <= CACHED_BYTES)
         return out
 
-    def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
-        """(number of the text, little-endian uint32 ids) in order; a long text
+    def __call__(self, texts: Iterable[bytes | None]) -> Iterator[tuple[int, bytes]]:
+        """UTF-8 texts -> (number of the text, little-endian uint32 ids) in order; a long text
         comes in several slices, an empty one in one."""
         group, held = [], 0
 
@@ -169,14 +170,19 @@ class PieceIds:
             self.young.missing.clear()
             for i, found, ids in group:
                 if found is not None:
-                    ids = [x if x is not None else extra[p] for p, x in zip(found, ids)]
+                    ids = [x if x is not None else extra[w] for w, x in zip(found, ids)]
                 yield i, b"".join(ids)
-            if len(self.young) > CACHE_PIECES:
-                self.old, self.young, self.seen = self.young, Cache(), bytearray(SEEN)
+            if len(self.young) > CACHE_WORDS:
+                self.old, self.young = self.young, Cache()
 
         for i, text in enumerate(texts):
-            for data in pieces((text or "").encode("utf-8", "replace")):
-                found, known = self.cut(data), len(self.young.missing)
+            for data in pieces(text or b""):
+                low = data.lower()
+                if self.hint in low and self.added.search(low):
+                    found = self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False)
+                    group.append((i, None, [array("I", found.ids).tobytes()]))
+                    continue
+                found, known = low.split(), len(self.young.missing)
                 ids = list(map(self.young.__getitem__, found))
                 group.append((i, found if len(self.young.missing) > known else None, ids))
                 held += len(found)
@@ -187,9 +193,9 @@ class PieceIds:
 
 
 @functools.cache
-def shared(path: str) -> PieceIds:
+def shared(path: str) -> TextIds:
     """The Python worker's encoder, so that its next tasks find its cache filled."""
-    return PieceIds(path)
+    return TextIds(path)
 
 
 class Packer:
@@ -302,7 +308,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
 
         for batch in batches:
             doc_ids = batch["id"].to_pylist()
-            for i, parts in groupby(ids(t.as_py() for t in batch["text"]), itemgetter(0)):
+            for i, parts in groupby(ids(batch["text"].cast(pa.binary()).to_pylist()), itemgetter(0)):
                 out = out or Packer()
                 out.add(doc_ids[i], chain(map(itemgetter(1), parts), [end]))
                 if out.size >= FILE_BYTES:

@@ -79,12 +79,13 @@ def test_pieces_equal_the_library(monkeypatch):
     texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(4000)] + ["", None, " ".join(parts * 40)]
     library = Tokenizer.from_file(PATH)
     want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
-    for cache, group, size in ((tf.CACHE_PIECES, tf.GROUP, common.PIECE), (50, 100, 64)):
+    for cache, group, size in ((tf.CACHE_WORDS, tf.GROUP, common.PIECE), (50, 100, 64)):
+        monkeypatch.setattr(tf, "CACHE_WORDS", cache)
         monkeypatch.setattr(tf, "CACHE_PIECES", cache)
         monkeypatch.setattr(tf, "GROUP", group)
         monkeypatch.setattr(common.pieces, "__defaults__", (size,))
-        encoder = tf.PieceIds(PATH)
-        got = [np.frombuffer(b"".join(x for _, x in g), "<u4").tolist() for _, g in groupby(encoder(texts), lambda x: x[0])]
+        encoder = tf.TextIds(PATH)
+        got = [np.frombuffer(b"".join(x for _, x in g), "<u4").tolist() for _, g in groupby(encoder([t and t.encode() for t in texts]), lambda x: x[0])]
         assert got == want
-        assert all(len(p) <= tf.CACHED_BYTES for p in encoder.young | encoder.old)
+        assert all(len(p) <= tf.CACHED_BYTES for p in [*encoder.young, *encoder.old, *encoder.parts])
         assert len(encoder.young) < cache + 4 * group

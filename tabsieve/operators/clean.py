@@ -127,7 +127,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
     Implemented as ``min_by(row, sort key)`` in a hash aggregate, so a hot key
     is combined map-side instead of sorted in one task.  A NULL in a sort
     column comes after every value.  Descending keys must be numeric, date or
-    timestamp (they are negated)."""
+    timestamp (they are negated).  Rows equal in the order go by their other
+    columns, those of sortable types, in column order."""
     dtypes = dict(df.dtypes)
     parts = []
     for c, direction in order:
@@ -139,8 +140,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str],
             raise TypeError(f"descending string key {c} is not supported")
         parts += [F.col(c).isNull().alias(f"null_{c}"), (-x if direction == "desc" else x).alias(f"key_{c}")]
     payload = [c for c in df.columns if c not in keys]
+    ties = [F.col(c).alias(f"tie_{i}") for i, c in enumerate(payload) if "map<" not in dtypes[c] and dtypes[c] != "variant"]
     return (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*payload), F.struct(*parts)).alias("__first"))
+            .agg(F.min_by(F.struct(*payload), F.struct(*parts, *ties)).alias("__first"))
             .select(*keys, "__first.*"))
 
 

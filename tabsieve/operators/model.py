@@ -10,6 +10,7 @@ fold's training rows, so validation labels never reach the encodings.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -217,6 +218,56 @@ def tune_forest(pipeline: Pipeline, data: DataFrame, fold_col: str, label: str =
     return cv.fit(data)
 
 
+def drawn_settings(ranges: dict[str, tuple], n: int, seed: int = 42) -> list[dict]:
+    """``n`` settings drawn from ``ranges`` (name -> (low, high), both included;
+    whole numbers where both are) by a hash of seed, number and name: the same
+    for the same arguments, whatever the order of the names."""
+    out = []
+    for i in range(n):
+        one = {}
+        for name, (low, high) in ranges.items():
+            u = int(hashlib.md5(f"{seed}:{i}:{name}".encode()).hexdigest()[:13], 16) / 16.0 ** 13
+            whole = isinstance(low, int) and isinstance(high, int)
+            one[name] = low + int(u * (high - low + 1)) if whole else low + u * (high - low)
+        out.append(one)
+    return out
+
+
+def search_forest(data: DataFrame, encoder: SmoothedEncoder | None, features: Sequence[str], ranges: dict[str, tuple],
+                  n: int = 80, seed: int = 42, fold_col: str = "fold", label: str = "y",
+                  default: dict | None = None, fit=forest_pipeline) -> dict:
+    """Settings of ``fit`` sought by successive halving over the folds: all are
+    scored on the first fold, the better half of the drawn ones (by mean so far,
+    earlier ones first among equals) on the next, and so on; ``default`` is scored
+    on every fold and stays unless a setting that came through all folds beats
+    it.  Each fold's encoded tables are made once and serve all settings.
+
+    Returns settings, accuracy (mean over folds), fits (their number) and scores
+    (setting -1: default; fold, accuracy)."""
+    data = cut_lineage(data)
+    folds = [r[0] for r in data.select(fold_col).distinct().orderBy(fold_col).collect()]  # k values
+    default = default or {"num_trees": 30, "max_depth": 8}
+    settings = dict(enumerate(drawn_settings(ranges, n, seed))) | {-1: default}
+    alive, scores = [-1, *range(n)], {i: [] for i in settings}
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    for left, f in zip(range(len(folds) - 1, -1, -1), folds):
+        train, held = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
+        if encoder is not None:
+            encoded = encoder.fit(train)
+            train, held = cut_lineage(encoded.transform(train)), cut_lineage(encoded.transform(held))
+        for i in alive:
+            model = fit(None, features, label, **settings[i]).fit(train)
+            scores[i].append((f, float(evaluator.evaluate(model.transform(held)))))
+        if left:
+            mean = {i: sum(a for _, a in scores[i]) / len(scores[i]) for i in alive}
+            drawn = sorted((i for i in alive if i >= 0), key=lambda i: (-mean[i], i))
+            alive = [-1, *sorted(drawn[:(len(drawn) + 1) // 2])]
+    means = {i: sum(a for _, a in scores[i]) / max(len(scores[i]), 1) for i in alive}
+    best = max(alive, key=lambda i: (means[i], -i))  # of equal ones the default, then the earlier
+    return {"settings": settings[best], "accuracy": means[best], "fits": sum(map(len, scores.values())),
+            "scores": [(i, f, a) for i in sorted(scores) for f, a in scores[i]]}
+
+
 # ---------------------------------------------------------- threshold sweep
 def threshold_sweep(scored: DataFrame, p_col: str = "p", y_col: str = "y",
                     lo: int = 30, hi: int = 70) -> DataFrame:

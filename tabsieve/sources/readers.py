@@ -200,19 +200,22 @@ def save_model(pipeline_model, path: str) -> None:
     """Persist a fitted pipeline: Spark ML stages under ``path/stage_<i>``, the
     encoder's tables as Parquet under ``path/encoder_<i>_<j>`` (one row per
     person: score, and the global mean that scores everyone else) and what they
-    are for under ``path/encoders``.  A stage that cannot be written raises;
-    fit-time lineage cuts leave nothing to save."""
+    are for under ``path/encoders``; ``path/stages`` lists the stages in order.  Any
+    Spark ML stage will do; one that cannot be written raises.  Fit-time lineage
+    cuts leave nothing to save."""
     from ..operators.model import LineageCutModel, SmoothedEncoderModel
-    spark, notes = None, []
+    spark, notes, kinds = SparkSession.active(), [], []
     for i, stage in enumerate(pipeline_model.stages):
         if isinstance(stage, SmoothedEncoderModel):
             for j, (_, person, out_col, count_col, scores, mean) in enumerate(stage._fitted):
-                spark = scores.sparkSession
                 scores.select(person, "__score", mean.cast("double").alias("__mean")).write.mode("overwrite") \
                     .parquet(f"{path}/encoder_{i}_{j}")
                 notes.append((i, j, stage._entity, person, out_col, count_col))
+            kinds.append((i, "encoder"))
         elif not isinstance(stage, LineageCutModel):
             stage.write().overwrite().save(f"{path}/stage_{i}")
+            kinds.append((i, "ml"))
+    spark.createDataFrame(kinds, "stage int, kind string").coalesce(1).write.mode("overwrite").parquet(f"{path}/stages")
     if notes:
         spark.createDataFrame(notes, "stage int, place int, entity string, person string, out_col string, count_col string") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/encoders")
@@ -222,21 +225,21 @@ def load_model(spark: SparkSession, path: str, bridges: Sequence[DataFrame] = ()
     """The saved pipeline as a fitted one; ``bridges`` are the encoder's bridge
     tables in their order (they are data, so they are not saved)."""
     from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import RandomForestClassificationModel
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.util import DefaultParamsReader
 
     from ..operators.model import SmoothedEncoderModel
-    stages = {}
+    kinds = spark.read.parquet(f"{path}/stages").collect()  # a row per stage
+    # an encoder without bridges is a stage that does nothing
+    stages = {r["stage"]: SmoothedEncoderModel("", []) for r in kinds if r["kind"] == "encoder"}
     if path_exists(spark, f"{path}/encoders"):
         notes = spark.read.parquet(f"{path}/encoders").orderBy("stage", "place").collect()  # a row per bridge
         for n, bridge in zip(notes, bridges, strict=True):
             table = spark.read.parquet(f"{path}/encoder_{n['stage']}_{n['place']}")
             mean = F.lit(table.first()["__mean"])
-            stages.setdefault(n["stage"], SmoothedEncoderModel(n["entity"], []))._fitted.append(
+            stages[n["stage"]]._entity = n["entity"]
+            stages[n["stage"]]._fitted.append(
                 (bridge, n["person"], n["out_col"], n["count_col"], table.drop("__mean"), mean))
-    for i in range(10):
-        if path_exists(spark, f"{path}/stage_{i}"):
-            kind = spark.read.text(f"{path}/stage_{i}/metadata").first()[0]
-            loader = VectorAssembler if "VectorAssembler" in kind else RandomForestClassificationModel
-            stages[i] = loader.load(f"{path}/stage_{i}")
+    for r in kinds:
+        if r["kind"] == "ml":  # the stage's own metadata name its class
+            stages[r["stage"]] = DefaultParamsReader.loadParamsInstance(f"{path}/stage_{r['stage']}", spark)
     return PipelineModel([stages[i] for i in sorted(stages)])

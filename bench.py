@@ -21,7 +21,8 @@ HEADLINE = ["prestige", "prestige_oof", "stratified_folds", "impute_bucket_media
             "prior_count", "title_join", "nested_role_extract", "mann_whitney",
             "mi_permutation", "mi_knn", "screen_candidates", "partial_spearman", "spearman_matrix",
             "cov_matrix", "tfidf_top_terms", "tfidf_wide", "threshold_sweep", "cv_summary",
-            "redundancy_prune", "rf_predict", "pca_components", "ordered_scores"]
+            "redundancy_prune", "rf_predict", "pca_components", "ordered_scores",
+            "pagerank_bipartite", "nmf_loss", "stack_scores"]
 
 
 def main() -> None:

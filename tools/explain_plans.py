@@ -21,7 +21,7 @@ EAGER = {"cv_summary", "rf_predict", "predict_ordered", "redundancy_prune", "scr
 COUNTS = [("shuffles", r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition"),
           ("bcast joins", r"BroadcastHashJoin"), ("smj", r"SortMergeJoin"),
           ("windows", r"\bWindow \["), ("aggregates", r"HashAggregate|ObjectHashAggregate|SortAggregate"),
-          ("python", r"ArrowEvalPython|BatchEvalPython|MapInPandas"),
+          ("python", r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInArrow"),
           ("cartesian/nlj", r"CartesianProduct|BroadcastNestedLoopJoin")]
 
 

@@ -93,7 +93,7 @@ def test_token_output(stages):
 
 def test_registered():
     names = {k.split("_")[0] for k in __spark_entry__.queries() if re.match(r"op\d+_", k)}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in __spark_entry__.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 

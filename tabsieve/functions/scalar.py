@@ -87,11 +87,19 @@ def differs_flag(a: Column | str, b: Column | str) -> Column:
     return flag(a.isNotNull() & (a != F.lit("")) & (a != b))
 
 
+WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
+def strip(x: Column | str) -> Column:
+    """Text without white space at its ends: line ends, tabs and no-break spaces too."""
+    return F.btrim(_c(x).cast("string"), F.lit(WHITE))
+
+
 def canonical_id(x: Column | str, prefix: str = "tt", width: int = 7) -> Column:
     """Digits, an integer, a whole number written with a decimal point, or an
     id that has the prefix already -> ``tt%07d``; anything else, or NULL, ->
     NULL.  Ids longer than the width keep all digits."""
-    s = F.trim(_c(x).cast("string"))
+    s = strip(x)
     digits = F.regexp_extract(s, rf"^(?i:{prefix})?([0-9]+)(?:\.0*)?$", 1)
     n = F.when(digits != "", digits.try_cast("long"))
     return F.when(n.isNotNull(), F.format_string(f"{prefix}%0{width}d", n))
@@ -107,9 +115,9 @@ def truthy(x: Column | str) -> Column:
 
 
 def title_norm(x: Column | str) -> Column:
-    """lower, trim, strip one leading article (first in list order); NULL -> ''."""
+    """lower, :func:`strip`, drop one leading article (first in list order); NULL -> ''."""
     pattern = "^(" + "|".join(TITLE_ARTICLES) + ") "
-    return F.coalesce(F.regexp_replace(F.trim(F.lower(_c(x))), pattern, ""), F.lit(""))
+    return F.coalesce(F.regexp_replace(strip(F.lower(_c(x))), pattern, ""), F.lit(""))
 
 
 # Blanks and hyphens become underscores, parentheses go.

@@ -67,8 +67,8 @@ def prior_count(rows: DataFrame, pair_cols: Sequence[str], day_col: str,
 
 
 def title_key(c: Column | str) -> Column:
-    """lower(trim(title)) — the key of a title equi join."""
-    return F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
+    """lower(strip(title)) — the key of a title equi join."""
+    return F.lower(S.strip(c))
 
 
 def title_join(left: DataFrame, right: DataFrame, left_title: str, right_title: str,
@@ -114,7 +114,7 @@ def fill_rank(df: DataFrame, col: str, lookup: DataFrame, rank: str) -> DataFram
 
 
 __all__ = ["band_join", "prior_count", "title_join", "title_key", "parse_crew",
-           "names_with_role", "pair_explode", "fill_rank", "S"]
+           "names_with_role", "pair_explode", "fill_rank", "curated_list_features"]
 
 
 def curated_list_features(films: DataFrame, lookup: DataFrame, key: str = "tconst",

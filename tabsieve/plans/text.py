@@ -106,15 +106,38 @@ def tfidf_hashed(spark, sf):
 
 
 def mojibake_report(spark, sf):
-    d = table(spark, sf, "documents")
+    """Damage by source; every tenth document is its own UTF-8 bytes read as Latin-1."""
+    misread = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    d = table(spark, sf, "documents").select(
+        "source", F.when(F.col("doc_id") % 10 == 0, misread).otherwise(F.col("text")).alias("text"))
     return T.mojibake_report(d, "text", "source")
 
 
+# fixed values: the characters of the bytes 0x80 to 0x9F in the Windows code page, the five free ones left out
+_CP1252 = {b: bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+_CASES = " ".join(f"WHEN {ord(c)} THEN '{b:02X}'" for b, c in _CP1252.items())
+MOJIBAKE_SQL = f"""
+WITH hexed AS (SELECT doc_id, source, text, regexp_extract_all(hex(encode(text)), '..') AS h FROM documents),
+damaged AS (SELECT doc_id, source, CASE WHEN doc_id % 10 = 0
+    THEN array_to_string(list_transform(h, lambda x: chr(CAST('0x' || x AS INTEGER))), '') ELSE text END AS t FROM hexed),
+flagged AS (SELECT *, coalesce(contains(t, 'Ã') OR contains(t, 'â€') OR contains(t, 'Â'), false) AS bad FROM damaged),
+codes AS (SELECT doc_id, source, t, list_transform(string_split(t, ''), lambda c: unicode(c)) AS u FROM flagged WHERE bad),
+bytes AS (SELECT doc_id, t,
+    list_transform(u, lambda x: CASE WHEN x < 128 OR x BETWEEN 160 AND 255 THEN printf('%02X', x) ELSE CASE x {_CASES} END END) AS w,
+    list_transform(u, lambda x: CASE WHEN x < 256 THEN printf('%02X', x) END) AS l FROM codes),
+fixed AS (SELECT doc_id, t,
+    CASE WHEN len(list_filter(w, lambda x: x IS NULL)) = 0 THEN try(decode(unhex(array_to_string(w, '')))) END AS a,
+    CASE WHEN len(list_filter(l, lambda x: x IS NULL)) = 0 THEN try(decode(unhex(array_to_string(l, '')))) END AS b FROM bytes)
+SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE bad) AS n_flagged,
+       count(*) FILTER (WHERE coalesce(a <> f.t, false) OR coalesce(b <> f.t, false)) AS n_repaired
+FROM flagged LEFT JOIN fixed f ON f.doc_id = flagged.doc_id GROUP BY source"""
+
+
 QUERIES = {
     "token_counts": (token_counts, TOKEN_COUNTS_SQL),
     "tfidf_top_terms": (tfidf_top_terms, TFIDF_TOP_SQL),
     "idf_train_apply": (idf_train_apply, IDF_APPLY_SQL),
     "tfidf_wide": (tfidf_wide, TFIDF_WIDE_SQL),
     "tfidf_hashed": (tfidf_hashed, None),
-    "mojibake_report": (mojibake_report, None),
+    "mojibake_report": (mojibake_report, MOJIBAKE_SQL),
 }

@@ -18,19 +18,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import hashed_row_number
+from ..session import cut_lineage
 
 
 def smoothed_scores(labeled: DataFrame, bridge: DataFrame, entity: str, person: str,
-                    label: str, k: float = 20.0) -> tuple[DataFrame, F.Column]:
+                    label: str, k: float = 20.0, written: bool = False) -> tuple[DataFrame, F.Column]:
     """Per-person smoothed score from training rows ``labeled(entity, label)``.
 
-    Returns (scores(person, score), gm) with gm a scalar-subquery Column."""
+    Returns (scores(person, score), gm) with gm a scalar-subquery Column.
+    ``written``: for scores applied more than once, the persons' sums are
+    written and gm is a number, so no later plan joins the bridge to the labels."""
     joined = labeled.select(entity, label).join(
         bridge.select(entity, person).where(F.col(person).isNotNull()), entity, "inner")
     stats = joined.groupBy(person).agg(F.count(F.lit(1)).alias("__n"),
                                        F.sum(F.col(label).cast("double")).alias("__s"))
-    # over the same per-person aggregate, whose exchange is reused
-    gm = stats.select(F.try_divide(F.sum("__s"), F.sum("__n"))).scalar()
+    mean = F.try_divide(F.sum("__s"), F.sum("__n"))
+    if written:
+        stats = cut_lineage(stats)
+        gm = F.lit(stats.select(mean).first()[0]).cast("double")
+    else:  # over the same per-person aggregate, whose exchange is reused
+        gm = stats.select(mean).scalar()
     scores = stats.select(person, ((F.col("__s") + F.lit(k) * gm)
                                    / (F.col("__n") + F.lit(k))).alias("__score"))
     return scores, gm
@@ -40,10 +47,20 @@ def apply_scores(target: DataFrame, bridge: DataFrame, scores: DataFrame, gm: F.
                  entity: str, person: str, out_col: str,
                  count_col: str | None = None) -> DataFrame:
     """Mean person score per entity joined onto ``target``; defaults gm / 1."""
+    return join_encodings(target, entity_scores(bridge, scores, gm, entity, person), gm, entity, out_col, count_col)
+
+
+def entity_scores(bridge: DataFrame, scores: DataFrame, gm: F.Column, entity: str, person: str) -> DataFrame:
+    """(entity, __enc, __cnt): mean person score and members of every entity of the bridge."""
     per_row = bridge.select(entity, person).join(scores, person, "left")
-    per_entity = per_row.groupBy(entity).agg(
+    return per_row.groupBy(entity).agg(
         F.avg(F.coalesce(F.col("__score"), gm)).alias("__enc"),
         F.count(F.lit(1)).alias("__cnt"))
+
+
+def join_encodings(target: DataFrame, per_entity: DataFrame, gm: F.Column, entity: str, out_col: str,
+                   count_col: str | None = None) -> DataFrame:
+    """:func:`entity_scores` joined onto ``target``; defaults gm / 1."""
     out = target.join(per_entity, entity, "left")
     cols = [c for c in target.columns if c not in (out_col, count_col)]
     res = [F.coalesce(F.col("__enc"), gm).alias(out_col)]
@@ -104,9 +121,51 @@ def out_of_fold_encode(labeled: DataFrame, bridge: DataFrame, entity: str, perso
             .drop("__enc", "__gm"))
 
 
+def _fold_stats(rows: DataFrame, person: str, fold: str, fold_ids: list) -> DataFrame:
+    """(person, __n<i>, __s<i>): rows and label sum of the folds other than the
+    i-th, from (person, fold, __y).  Sums per (person, fold) come first: the
+    2 k columns are shuffled once a (person, fold), not once a bridge row."""
+    pf = rows.groupBy(person, fold).agg(F.count(F.lit(1)).alias("__npf"), F.sum("__y").alias("__spf"))
+    other = {i: F.col(fold) != F.lit(v) for i, v in enumerate(fold_ids)}
+    return pf.groupBy(person).agg(*[x for i, c in other.items() for x in (
+        F.sum(F.when(c, F.col("__npf")).otherwise(0)).alias(f"__n{i}"),
+        F.sum(F.when(c, F.col("__spf")).otherwise(0.0)).alias(f"__s{i}"))])
+
+
+def _fold_scores(stats: DataFrame, person: str, n: int, k: float, gm: list) -> DataFrame:
+    """(person, __e<i>): the smoothed scores of the n iterations."""
+    return stats.select(person, *[F.when(
+        F.col(f"__n{i}") > 0, (F.col(f"__s{i}") + F.lit(k) * gm[i]) / (F.col(f"__n{i}") + F.lit(k)))
+        .otherwise(gm[i]).alias(f"__e{i}") for i in range(n)])
+
+
+def _fold_means(per_row: DataFrame, entity: str, n: int) -> DataFrame:
+    """(entity, __cnt, __e<i>): rows and mean scores; one count serves all means."""
+    sums = per_row.groupBy(entity).agg(F.count(F.lit(1)).alias("__cnt"),
+                                       *[F.sum(f"__e{i}").alias(f"__e{i}") for i in range(n)])
+    return sums.select(entity, "__cnt", *[(F.col(f"__e{i}") / F.col("__cnt")).alias(f"__e{i}") for i in range(n)])
+
+
+def fold_encodings(labeled: DataFrame, bridge: DataFrame, entity: str, person: str, label: str, fold: str,
+                   fold_ids: list, k: float = 20.0) -> tuple[DataFrame, list[float | None]]:
+    """((entity, __cnt, __e<i>), gm): for every entity of the bridge and every fold what
+    :func:`smoothed_scores` of the other folds' rows and :func:`entity_scores`
+    give, in one pass over the bridge.  A person's sums are written once."""
+    lab = labeled.select(entity, fold, F.col(label).cast("double").alias("__y"))
+    br = bridge.select(entity, person)
+    rows = br.where(F.col(person).isNotNull()).join(lab, entity, "inner").select(person, fold, "__y")
+    stats = cut_lineage(_fold_stats(rows, person, fold, fold_ids))
+    n = len(fold_ids)
+    means = stats.agg(*[F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}")).alias(f"m{i}") for i in range(n)]).first()
+    gm = [F.lit(m).cast("double") for m in means]  # k numbers
+    per_row = br.join(_fold_scores(stats, person, n, k, gm), person, "left").select(
+        entity, *[F.coalesce(F.col(f"__e{i}"), gm[i]).alias(f"__e{i}") for i in range(n)])
+    return _fold_means(per_row, entity, n), list(means)
+
+
 def fold_iteration_encode(labeled: DataFrame, bridge: DataFrame, entity: str, person: str,
                           label: str, fold: str, out_col: str, count_col: str | None = None,
-                          k: float = 20.0) -> DataFrame:
+                          k: float = 20.0, wide: bool = False) -> DataFrame:
     """All k cross-validation iterations in one pass.
 
     Returns (``fold_iter``, entity, ``out_col`` [, ``count_col``]) for every
@@ -115,27 +174,27 @@ def fold_iteration_encode(labeled: DataFrame, bridge: DataFrame, entity: str, pe
     every entity gives).  Rows with ``fold_iter == fold`` are the out-of-fold
     encodings.  A person's k scores, from totals minus per-fold sums, are k
     columns of one row, so the bridge is joined once and averaged per entity;
-    the iterations become rows only after that."""
+    the iterations become rows only after that.
+
+    ``wide``: they stay columns instead, ``<out_col>__<i>`` for the i-th of the
+    sorted folds, one row per labelled row."""
     lab = labeled.select(entity, fold, F.col(label).cast("double").alias("__y"))
     br = bridge.select(entity, person).where(F.col(person).isNotNull())
     rows = br.join(lab, entity, "inner")
     fold_ids = sorted(r[0] for r in lab.select(fold).distinct().collect())  # k values
-    other = {i: F.col(fold) != F.lit(v) for i, v in enumerate(fold_ids)}
-    stats = rows.groupBy(person).agg(*[x for i, c in other.items() for x in (
-        F.count_if(c).alias(f"__n{i}"), F.sum(F.when(c, F.col("__y")).otherwise(0.0)).alias(f"__s{i}"))])
-    gm = [stats.select(F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}"))).scalar() for i in other]
-    scores = stats.select(person, *[F.when(
-        F.col(f"__n{i}") > 0, (F.col(f"__s{i}") + F.lit(k) * gm[i]) / (F.col(f"__n{i}") + F.lit(k)))
-        .otherwise(gm[i]).alias(f"__e{i}") for i in other])
-    per_entity = rows.select(entity, person).join(scores, person, "inner").groupBy(entity).agg(
-        *[F.avg(f"__e{i}").alias(f"__e{i}") for i in other], F.count(F.lit(1)).alias("__cnt"))
-    out = lab.select(entity).join(per_entity, entity, "left").select(entity, "__cnt", F.explode(F.array(*[F.struct(
-        F.lit(v).alias("fold_iter"), F.coalesce(F.col(f"__e{i}"), gm[i]).alias("enc"))
-        for i, v in enumerate(fold_ids)])).alias("__it"))
-    cols = [F.col("__it.enc").alias(out_col)]
-    if count_col:
-        cols.append(F.coalesce(F.col("__cnt"), F.lit(1)).cast("long").alias(count_col))
-    return out.select(F.col("__it.fold_iter").alias("fold_iter"), entity, *cols)
+    n = len(fold_ids)
+    stats = _fold_stats(rows, person, fold, fold_ids)
+    gm = [stats.select(F.try_divide(F.sum(f"__s{i}"), F.sum(f"__n{i}"))).scalar() for i in range(n)]
+    scores = _fold_scores(stats, person, n, k, gm)
+    per_entity = _fold_means(rows.select(entity, person).join(scores, person, "inner"), entity, n)
+    out = lab.select(entity).join(per_entity, entity, "left")
+    encs = [F.coalesce(F.col(f"__e{i}"), gm[i]) for i in range(n)]
+    count = [F.coalesce(F.col("__cnt"), F.lit(1)).cast("long").alias(count_col)] if count_col else []
+    if wide:
+        return out.select(entity, *[e.alias(f"{out_col}__{i}") for i, e in enumerate(encs)], *count)
+    out = out.select(entity, "__cnt", F.explode(F.array(*[F.struct(
+        F.lit(v).alias("fold_iter"), encs[i].alias("enc")) for i, v in enumerate(fold_ids)])).alias("__it"))
+    return out.select(F.col("__it.fold_iter").alias("fold_iter"), entity, F.col("__it.enc").alias(out_col), *count)
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: str = "",

@@ -93,22 +93,51 @@ class SmoothedEncoder(Estimator, _EncoderParams):
         ent, lab, k = self.getOrDefault("entityCol"), self.getOrDefault("labelCol"), self.getOrDefault("k")
         fitted = []
         for bridge, person, out_col, count_col in self._bridges:
-            scores, gm = encode.smoothed_scores(dataset.select(ent, lab), bridge, ent, person, lab, k)
+            scores, gm = encode.smoothed_scores(dataset.select(ent, lab), bridge, ent, person, lab, k, written=True)
             fitted.append((bridge, person, out_col, count_col, scores, gm))
         return SmoothedEncoderModel(ent, fitted)
 
+    def fold_encoded(self, dataset: DataFrame, fold_col: str, folds: Sequence) -> DataFrame:
+        """``dataset`` with ``<name>__<i>`` for the i-th fold, as this encoder fitted
+        on the other folds' rows adds ``<name>``, and the counts, the same for all."""
+        ent, lab, k = self.getOrDefault("entityCol"), self.getOrDefault("labelCol"), self.getOrDefault("k")
+        out = dataset
+        for bridge, person, out_col, count_col in self._bridges:
+            enc, gm = encode.fold_encodings(dataset.select(ent, lab, fold_col), bridge, ent, person, lab,
+                                            fold_col, list(folds), k)
+            out = out.drop(*[c for c in (out_col, count_col) if c]).join(enc, ent, "left")
+            out = out.withColumns({f"{out_col}__{i}": F.coalesce(F.col(f"__e{i}"), F.lit(m).cast("double"))
+                                   for i, m in enumerate(gm)})
+            if count_col:
+                out = out.withColumn(count_col, F.coalesce(F.col("__cnt"), F.lit(1)).cast("long"))
+            out = out.drop("__cnt", *[f"__e{i}" for i in range(len(gm))])
+        return out
+
+    def names(self) -> list[str]:
+        return [out_col for _, _, out_col, _ in self._bridges]
+
+
+def fold_view(data: DataFrame, names: Sequence[str], i: int) -> DataFrame:
+    """The i-th iteration of a table with ``<name>__<i>`` columns."""
+    wide = {f"{c}__" for c in names}
+    rest = [c for c in data.columns if not any(c.startswith(w) and c[len(w):].isdigit() for w in wide)]
+    return data.select(*rest, *[F.col(f"{c}__{i}").alias(c) for c in names])
+
 
 class SmoothedEncoderModel(Model):
     def __init__(self, entity: str, fitted):
         super().__init__()
         self._entity = entity
         self._fitted = fitted
+        self._encodings = None  # every entity's, written by the first transform for all
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        if self._encodings is None:
+            self._encodings = [cut_lineage(encode.entity_scores(bridge, scores, gm, self._entity, person))
+                               for bridge, person, _, _, scores, gm in self._fitted]
         out = dataset
-        for bridge, person, out_col, count_col, scores, gm in self._fitted:
-            out = encode.apply_scores(out, bridge, scores, gm, self._entity, person, out_col,
-                                      count_col)
+        for per_entity, (_, _, out_col, count_col, _, gm) in zip(self._encodings, self._fitted):
+            out = encode.join_encodings(out, per_entity, gm, self._entity, out_col, count_col)
         return out
 
 
@@ -137,11 +166,12 @@ class LineageCutModel(Model):
 
 def forest_pipeline(encoder: SmoothedEncoder | None, features: Sequence[str],
                     label: str = "y", num_trees: int = 30, max_depth: int = 8,
-                    seed: int = 42) -> Pipeline:
+                    seed: int = 42, cut: bool = True) -> Pipeline:
+    """``cut=False`` is for rows that are a written table already."""
     stages = [encoder] if encoder is not None else []
     stages += [VectorAssembler(inputCols=list(features), outputCol="features",
                                handleInvalid="keep"),
-               LineageCut(),
+               *([LineageCut()] if cut else []),
                RandomForestClassifier(labelCol=label, featuresCol="features",
                                       numTrees=num_trees, maxDepth=max_depth, seed=seed)]
     return Pipeline(stages=stages)
@@ -154,14 +184,23 @@ def positive_probability(df: DataFrame, col: str = "probability") -> Column:
 def cross_validate(pipeline: Pipeline, data: DataFrame, fold_col: str, label: str = "y",
                    keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Fit on every fold's complement, score the fold.  Returns
-    (per-fold accuracy table, out-of-fold scores (keys, fold, y, p))."""
+    (per-fold accuracy table, out-of-fold scores (keys, fold, y, p)).
+
+    A :class:`SmoothedEncoder` in first place is fitted for all folds in one
+    pass over its bridges; the learner reads the one table written."""
     data = cut_lineage(data)  # k fits and k scorings read it
+    stages = pipeline.getStages()
+    encoder = stages[0] if stages and isinstance(stages[0], SmoothedEncoder) else None
     folds = [r[0] for r in data.select(fold_col).distinct().orderBy(fold_col).collect()]
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     accs, oof = [], None
-    for f in folds:  # k is a small constant: k distributed fits, not a row loop
-        model = pipeline.fit(data.where(F.col(fold_col) != f))
-        scored = model.transform(data.where(F.col(fold_col) == f))
+    if encoder is not None:
+        data = cut_lineage(encoder.fold_encoded(data, fold_col, folds))
+        pipeline = Pipeline(stages=[s for s in stages[1:] if not isinstance(s, LineageCut)])
+    for i, f in enumerate(folds):  # k is a small constant: k distributed fits, not a row loop
+        rows = data if encoder is None else fold_view(data, encoder.names(), i)
+        model = pipeline.fit(rows.where(F.col(fold_col) != f))
+        scored = model.transform(rows.where(F.col(fold_col) == f))
         accs.append((int(f), float(evaluator.evaluate(scored))))
         part = scored.select(*keys, F.col(fold_col), F.col(label).alias("y"),
                              positive_probability(scored).alias("p"))
@@ -172,21 +211,27 @@ def cross_validate(pipeline: Pipeline, data: DataFrame, fold_col: str, label: st
 
 def cross_validate_encoded(pipeline: Pipeline, data: DataFrame, fold_col: str,
                            label: str = "y", iter_col: str = "fold_iter",
-                           parallelism: int = 4) -> DataFrame:
+                           parallelism: int = 4, wide: Sequence[str] = ()) -> DataFrame:
     """CV over a table that already holds every iteration's leak-free
     encodings (see :func:`tabsieve.operators.encode.fold_iteration_encode`):
     iteration f trains on ``iter == f and fold != f`` and scores
     ``iter == f and fold == f``.  The table is materialised once; only the
     learner is fitted per fold, ``parallelism`` folds at a time (concurrent
     Spark jobs from driver threads, as ``CrossValidator(parallelism=...)``
-    does).  Returns the per-fold accuracy table."""
+    does), fewer where one fit's tasks fill the cores.  Returns the per-fold accuracy table.
+
+    ``wide`` names encodings that are columns ``<name>__<i>`` of the i-th
+    of the sorted folds, one row per labelled row, instead of rows per iteration."""
     from concurrent.futures import ThreadPoolExecutor
     data = cut_lineage(data)
     folds = [r[0] for r in data.select(fold_col).distinct().orderBy(fold_col).collect()]
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    parallelism = min(parallelism, max(1, parallelism * cores // max(data.rdd.getNumPartitions(), 1)))
+
     def one(f):
-        it = data.where(F.col(iter_col) == f)
+        it = fold_view(data, wide, folds.index(f)) if wide else data.where(F.col(iter_col) == f)
         model = pipeline.fit(it.where(F.col(fold_col) != f))
         return int(f), float(evaluator.evaluate(model.transform(it.where(F.col(fold_col) == f))))
 

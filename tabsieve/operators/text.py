@@ -75,7 +75,7 @@ def top_terms(tf: DataFrame, n_train: Column, top_n: int = 50,
 def tfidf_weights(tf_all: DataFrame, tf_train: DataFrame, n_train: Column) -> DataFrame:
     """(doc, term, weight) for every doc with the training IDF; terms never seen
     in training get df = 0."""
-    dfs = tf_train.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    dfs = tf_train.groupBy("term").agg(F.count(F.lit(1)).alias("df")).hint("shuffle_hash")  # a row a term: no sort of tf
     j = tf_all.join(dfs, "term", "left")
     return j.select("doc", "term",
                     (F.col("tf") * idf_column(F.coalesce(F.col("df"), F.lit(0)), n_train))

@@ -51,6 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt out by ``cols`` over all shuffle partitions: for rows that are
+    few bytes but much work each, which AQE would gather into a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint directory
     and read it back: one job (an RDD checkpoint recomputes its plan unless

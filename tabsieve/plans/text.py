@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import text as T
+from ..session import cut_lineage, spread
 from .tables import r6, table
 
 # Fixed short stop list for the benchmark binding (four languages).
@@ -39,7 +40,8 @@ def _docs(spark, sf):
 
 def _tf(spark, sf):
     d = _docs(spark, sf)
-    tf_all = T.term_freqs(T.tokens(d, "doc_id", "text", STOP_WORDS))
+    # texts move once, by document; their (doc, term) pairs are then counted in place
+    tf_all = T.term_freqs(T.tokens(spread(d, "doc_id"), "doc_id", "text", STOP_WORDS))
     tf_train = tf_all.where(F.col("doc") % 10 < 8)
     n_train = d.where(F.col("doc_id") % 10 < 8).select(F.count(F.lit(1))).scalar()
     return d, tf_all, tf_train, n_train
@@ -65,7 +67,9 @@ SELECT term, round(idf, 6) AS idf, round(mass, 6) AS mass, CAST(idx AS INTEGER)
 
 
 def idf_train_apply(spark, sf):
-    d, tf_all, tf_train, n_train = _tf(spark, sf)
+    d, tf_all, _, n_train = _tf(spark, sf)
+    tf_all = cut_lineage(tf_all)  # read for the training IDF and for the weights
+    tf_train = tf_all.where(F.col("doc") % 10 < 8)
     w = T.tfidf_weights(tf_all, tf_train, n_train)
     per_doc = w.groupBy("doc").agg(F.count(F.lit(1)).alias("n_terms"),
                                    F.sum("weight").alias("tfidf_l1"),
@@ -85,6 +89,7 @@ FROM documents d LEFT JOIN wts ON wts.doc = d.doc_id GROUP BY d.doc_id"""
 
 def tfidf_wide(spark, sf):
     d, tf_all, _, n_train = _tf(spark, sf)
+    tf_all = cut_lineage(tf_all)  # read for the top terms and for their columns
     top = T.top_terms(tf_all, n_train, TOP_N, train=F.col("doc") % 10 < 8)
     wide = T.tfidf_wide(tf_all, top, d, "doc_id", TOP_N)
     return wide.select("doc_id", *[r6(f"tfidf_{i}") for i in range(TOP_N)])

@@ -49,10 +49,14 @@ SELECT o_orderkey,
 FROM imp"""
 
 
-def _training_table(spark, sf):
+def _features(spark, sf):
+    return M.feature_matrix(derived(spark, sf), ["o_orderkey"], BASE_FEATURES)
+
+
+def _training_table(spark, sf, features=None):
     mv = movies(spark, sf).where("is_train").select("o_orderkey", "y")
     mv = encode.stratified_folds(mv, "o_orderkey", "y", k=5)
-    d = M.feature_matrix(derived(spark, sf), ["o_orderkey"], BASE_FEATURES)
+    d = _features(spark, sf) if features is None else features
     return mv.join(d, "o_orderkey", "left")
 
 
@@ -69,39 +73,40 @@ MODEL_FEATURES = BASE_FEATURES + ["director_prestige", "writer_prestige", "n_dir
                                   "n_writers"]
 
 
-def _fit_final(spark, sf, num_trees=30, max_depth=8):
-    data = _training_table(spark, sf)
+def _fit_final(spark, sf, num_trees=30, max_depth=8, features=None):
+    data = cut_lineage(_training_table(spark, sf, features))  # read by both encoders and their application
     pipe = M.forest_pipeline(_encoder(spark, sf), MODEL_FEATURES, "y", num_trees, max_depth)
     return pipe.fit(data)
 
 
 def rf_predict(spark, sf):
-    model = _fit_final(spark, sf)
-    allrows = movies(spark, sf).select("o_orderkey", "y").join(
-        M.feature_matrix(derived(spark, sf), ["o_orderkey"], BASE_FEATURES), "o_orderkey", "left")
+    feats = cut_lineage(_features(spark, sf))  # for the training rows and for all
+    model = _fit_final(spark, sf, features=feats)
+    allrows = movies(spark, sf).select("o_orderkey", "y").join(feats, "o_orderkey", "left")
     scored = model.transform(allrows)
     return scored.select("o_orderkey", r6(M.positive_probability(scored), "p_positive"),
                          F.col("prediction").cast("int").alias("prediction"))
 
 
 def encoded_iterations(spark, sf):
-    """(fold_iter, o_orderkey, fold, y, features..., encodings...) for all k
-    CV iterations, from one pass over each bridge.  The training table is
+    """(o_orderkey, fold, y, features..., encodings <name>__<i> of the i-th fold's
+    iteration, counts) from one pass over each bridge.  The training table is
     read by both encoders and the final join, so it is written once."""
     data = cut_lineage(_training_table(spark, sf))
     lab = data.select("o_orderkey", "y", "fold")
     bs = supplier_bridge(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     bp = part_bridge(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     ed = encode.fold_iteration_encode(lab, bs, "o_orderkey", "l_suppkey", "y", "fold",
-                                      "director_prestige", "n_directors")
+                                      "director_prestige", "n_directors", wide=True)
     ew = encode.fold_iteration_encode(lab, bp, "o_orderkey", "l_partkey", "y", "fold",
-                                      "writer_prestige", "n_writers")
-    return ed.join(ew, ["fold_iter", "o_orderkey"]).join(data, "o_orderkey")
+                                      "writer_prestige", "n_writers", wide=True)
+    return ed.join(ew, "o_orderkey").join(data, "o_orderkey")
 
 
 def cv_summary(spark, sf):
-    pipe = M.forest_pipeline(None, MODEL_FEATURES, "y", num_trees=10, max_depth=6)
-    acc = M.cross_validate_encoded(pipe, encoded_iterations(spark, sf), "fold", "y")
+    pipe = M.forest_pipeline(None, MODEL_FEATURES, "y", num_trees=10, max_depth=6, cut=False)
+    acc = M.cross_validate_encoded(pipe, encoded_iterations(spark, sf), "fold", "y",
+                                   wide=["director_prestige", "writer_prestige"])
     return M.cv_summary(acc)
 
 

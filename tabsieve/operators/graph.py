@@ -49,17 +49,24 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, damping: float =
     edges = edges.filter("src is not null and dst is not null and weight > 0") \
         .groupBy("src", "dst").agg(F.sum(F.col("weight").cast("double")).alias("weight"))
     edges = cut_lineage(edges)
-    known = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node")))
+    none = F.lit(None).cast("double")
+    ends = edges.select(F.col("src").alias("node"), "weight", F.lit(1).alias("way")) \
+        .unionByName(edges.select(F.col("dst").alias("node"), none.alias("weight"), F.lit(0).alias("way")))
     if nodes is not None:
-        known = known.unionByName(nodes.select("node").filter("node is not null"))
-    out = edges.groupBy(F.col("src").alias("node")).agg(
-        F.sum("weight").alias("out"), F.ceil(F.count("*") / F.lit(split)).cast("int").alias("salts"))
-    known = cut_lineage(known.distinct().join(out, "node", "left"))
-    n = known.count()
+        ends = ends.unionByName(nodes.filter("node is not null").select(
+            "node", none.alias("weight"), F.lit(0).alias("way")))
+    # nodes, their weights and their numbers of ways out from one aggregate; out is NULL without any
+    known = cut_lineage(ends.groupBy("node").agg(
+        F.sum("weight").alias("out"), F.ceil(F.sum("way") / F.lit(split)).cast("int").alias("salts")))
+    n, most = known.agg(F.count("*"), F.max("salts")).first()
     if n == 0:
         return known.select("node", F.lit(0.0).alias("rank"), F.lit(0).alias("rounds"))
-    salted = edges.join(out.select(F.col("node").alias("src"), "salts"), "src").select(
-        "src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst", "weight")
+    salt = F.lit(0)
+    if most > 1:  # a hub's edges go to several buckets
+        hubs = known.filter("salts > 1").select(F.col("node").alias("src"), "salts")
+        edges = edges.join(hubs, "src", "left")
+        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int"), F.lit(0))
+    salted = edges.select("src", salt.alias("salt"), "dst", "weight")
     name = _bucketed(salted, "src", "salt")
     try:
         state, made = _walk(known, known.sparkSession.table(name), n, damping, rounds, tol)
@@ -77,10 +84,11 @@ def _walk(known: DataFrame, edges: DataFrame, n: int, damping: float, rounds: in
         sent = state.filter("out is not null").select(
             F.col("node").alias("src"), (F.col("rank") / F.col("out")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        got = edges.join(sent, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
+        # a row a node and salt on the hashed side, so the edges are not sorted again every round
+        got = edges.join(sent.hint("shuffle_hash"), ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
             F.sum(F.col("share") * F.col("weight")).alias("got"))
         rank = F.lit((1 - damping) / n) + F.lit(damping) * (F.coalesce("got", F.lit(0.0)) + F.lit(loose / n))
-        state = cut_lineage(state.withColumnRenamed("rank", "old").join(got, "node", "left").select(
+        state = cut_lineage(state.withColumnRenamed("rank", "old").join(got.hint("shuffle_hash"), "node", "left").select(
             "node", "out", "salts", "old", rank.alias("rank")))
         row = state.agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change"),
                         F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)).alias("loose")).first()

@@ -24,15 +24,17 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, ensure_checkpoint_dir
 
 SPLIT = 1 << 20  # edges of one source in one bucket
+# Spark takes a bucket of one file as sorted only with this: else every round sorts the edges again
+BUCKETS_ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def _bucketed(df: DataFrame, *cols: str) -> str:
-    """Name of a table of ``df`` whose files are dealt out by ``cols``: later
-    joins on them read it in place."""
+    """Name of a table of ``df`` whose files, one a bucket, are dealt out and
+    sorted by ``cols``: later joins on them read it in place."""
     spark = df.sparkSession
     name = f"edges_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, *cols).write.bucketBy(n, *cols).option(
+    df.repartition(n, *cols).write.bucketBy(n, *cols).sortBy(*cols).option(
         "path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
     return name
 
@@ -68,9 +70,13 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, damping: float =
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int"), F.lit(0))
     salted = edges.select("src", salt.alias("salt"), "dst", "weight")
     name = _bucketed(salted, "src", "salt")
+    conf = known.sparkSession.conf
+    ordered = conf.get(BUCKETS_ORDERED)
+    conf.set(BUCKETS_ORDERED, "true")
     try:
         state, made = _walk(known, known.sparkSession.table(name), n, damping, rounds, tol)
     finally:
+        conf.set(BUCKETS_ORDERED, ordered)
         known.sparkSession.sql(f"DROP TABLE {name}")  # its name only: the files lie outside the warehouse
     return state.select("node", "rank", F.lit(made).alias("rounds"))
 
@@ -84,8 +90,7 @@ def _walk(known: DataFrame, edges: DataFrame, n: int, damping: float, rounds: in
         sent = state.filter("out is not null").select(
             F.col("node").alias("src"), (F.col("rank") / F.col("out")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        # a row a node and salt on the hashed side, so the edges are not sorted again every round
-        got = edges.join(sent.hint("shuffle_hash"), ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
+        got = edges.join(sent.hint("merge"), ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
             F.sum(F.col("share") * F.col("weight")).alias("got"))
         rank = F.lit((1 - damping) / n) + F.lit(damping) * (F.coalesce("got", F.lit(0.0)) + F.lit(loose / n))
         state = cut_lineage(state.withColumnRenamed("rank", "old").join(got.hint("shuffle_hash"), "node", "left").select(
